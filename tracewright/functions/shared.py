@@ -48,3 +48,25 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Gives the executors this package, once an application, so that Python workers anywhere can import it."""
+    import shutil
+
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    folder = tempfile.mkdtemp(prefix="tracewright-ship-")  # the driver's own; addPyFile serves it to the executors
+    try:
+        archive = shutil.make_archive(f"{folder}/tracewright", "zip", root, "tracewright")
+        context.addPyFile(archive)
+    finally:
+        import atexit
+
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    _SHIPPED.add(context.applicationId)
