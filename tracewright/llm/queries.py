@@ -3,9 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tracewright.functions.shared import table
-from tracewright.llm import mixing, tokens
+from tracewright.llm import mixing, overlap, tokens
+
+
+def _evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "stage0_heldout")
+
+
+def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    corpus = table(spark, sf_dir, "stage0_corpus").select("row_id", "text", F.lit("stage0_corpus").alias("train_table"), F.col("source_name").alias("train_source"))
+    distilled = table(spark, sf_dir, "stage0_distilled").select("row_id", F.col("input").alias("text"), F.lit("stage0_distilled").alias("train_table"), F.col("source.name").alias("train_source"))
+    return corpus.unionByName(distilled)
+
+
+def p1_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.same_records(_evaluation(spark, sf_dir), _training(spark, sf_dir))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p1_pairs(spark, sf_dir).select("eval_row_id", "train_row_id")
+
+
+def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.by_split_and_source(p1_pairs(spark, sf_dir), _evaluation(spark, sf_dir), _training(spark, sf_dir))
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,5 +43,5 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(p7_mix(spark, sf_dir), table(spark, sf_dir, "mix_target"))
 
 
-QUERIES = {f.__name__: f for f in (p6_ids, p7_mix, p7_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p1_report, p6_ids, p7_mix, p7_shares)}
 ORACLES: dict[str, str] = {}
