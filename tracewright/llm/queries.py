@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions.shared import table
-from tracewright.llm import mixing, overlap, tokens
+from tracewright.llm import mixing, overlap, tokens, truncation
 
 
 def _evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,18 @@ def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.by_split_and_source(p1_pairs(spark, sf_dir), _evaluation(spark, sf_dir), _training(spark, sf_dir))
 
 
+def _coded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return table(spark, sf_dir, "envelope"), table(spark, sf_dir, "stage0_distilled")
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.cut_rows(truncation.judged(*_coded(spark, sf_dir)))
+
+
+def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return truncation.cut_shares(p3_found(spark, sf_dir), *_coded(spark, sf_dir))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_ids(table(spark, sf_dir, "documents"))
 
@@ -43,5 +55,5 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(p7_mix(spark, sf_dir), table(spark, sf_dir, "mix_target"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p1_report, p6_ids, p7_mix, p7_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p1_report, p3_found, p3_report, p6_ids, p7_mix, p7_shares)}
 ORACLES: dict[str, str] = {}
