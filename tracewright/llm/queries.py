@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions.shared import table
-from tracewright.llm import mixing, overlap, tokens, truncation
+from tracewright.llm import mixing, overlap, secrets, tokens, truncation
 
 
 def _evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,6 +43,14 @@ def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.cut_shares(p3_found(spark, sf_dir), *_coded(spark, sf_dir))
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.located(truncation.texts(*_coded(spark, sf_dir))).drop("rule")
+
+
+def p4_masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.redacted(truncation.texts(*_coded(spark, sf_dir)))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_ids(table(spark, sf_dir, "documents"))
 
@@ -55,5 +63,5 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(p7_mix(spark, sf_dir), table(spark, sf_dir, "mix_target"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p1_report, p3_found, p3_report, p6_ids, p7_mix, p7_shares)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p1_report, p3_found, p3_report, p4_found, p4_masked, p6_ids, p7_mix, p7_shares)}
 ORACLES: dict[str, str] = {}
