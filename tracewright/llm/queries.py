@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions.shared import table
-from tracewright.llm import mixing, overlap, secrets, tokens, truncation
+from tracewright.llm import mixing, overlap, pii, secrets, tokens, truncation
 
 
 def _evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,5 +63,13 @@ def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(p7_mix(spark, sf_dir), table(spark, sf_dir, "mix_target"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p1_report, p3_found, p3_report, p4_found, p4_masked, p6_ids, p7_mix, p7_shares)}
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.mentions(table(spark, sf_dir, "documents"))
+
+
+def p8_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.with_placeholders(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p1_report, p3_found, p3_report, p4_found, p4_masked, p6_ids, p7_mix, p7_shares, p8_found, p8_placeholders)}
 ORACLES: dict[str, str] = {}
