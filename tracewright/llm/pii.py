@@ -45,7 +45,7 @@ _NAMED = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, GIVEN), key=len, r
 _CAP = r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ'’]+(?:[A-Z][a-z]+)?"
 _FAMILY = rf"(?:(?:de|van|von|der|la|di|da|dos|del|el|al|bin) )*{_CAP}(?:-{_CAP})?"
 _ALLCAPS = r"[A-ZÀ-ÖØ-Þ]{3,}(?:-[A-ZÀ-ÖØ-Þ]{3,})?"
-_TITLE = r"(?:Dr|Prof|Mr|Mrs|Ms|Miss|Mme|Mlle|M|Frau|Herr|Sr|Sra|Srta|Dra|Señora|Señor|Sig|Ing|Sir|Professor|Doctor)"
+_TITLE = r"(?:Dr|Prof|Mr|Mrs|Ms|Miss|Mme|Mlle|Frau|Herr|Sr|Sra|Srta|Dra|Señora|Señor|Sig|Ing|Sir|Professor|Doctor)"
 
 # --- generators ---------------------------------------------------------------------------------------------------
 _AT = r"(?:@|\s?[\[({]\s?(?:at|AT|arroba)\s?[\])}]\s?|\s(?:AT|at)\s)"
@@ -113,6 +113,7 @@ _NAME_FORMS = [
     ("capslast", re.compile(rf"(?<![\w\-]){_CAP}(?:-{_CAP})? {_ALLCAPS}(?![\w])")),
 ]
 _TITLED = re.compile(rf"(?<![\w]){_TITLE}\.? ({_FAMILY})(?![\w])")
+_IS_TITLE = re.compile(rf"{_TITLE}\.?$")
 _NAME_LABEL = re.compile(r"(?:\b(?:author|authors|name|user|contact|contacto|owner|reviewer|maintainer|by|from|to|ask for|signed|firmada por|firmado por|responsável|responsable|ansprechpartner(?:in)?(?: ist)?|geprüft von|betreut von|von|von Frau|relu par|par|person|file|belongs to|thanks to|and to|TODO|FIXME|collected by|back to|dear|participant|patient|__author__)\s*(?:[:=(]|is)?\s*\\?[\"']?\s*)$", re.I)
 _CELL_BEFORE = re.compile(r"(?:^|[|,;]|\s{2}|\t)\s*$")
 _CELL_AFTER = re.compile(r"\s*(?:$|[|,;]|\s{2}|\t)")
@@ -219,6 +220,8 @@ def candidates(line: str) -> list[Candidate]:
                 a, b = m.span()
                 text = m.group()
                 words = re.split(r"[ ,]+", text)
+                if _IS_TITLE.match(words[0]):
+                    continue
                 known = [w in GIVEN or w in _UPPER_GIVEN for w in words]
                 label = _NAME_LABEL.search(line, max(0, a - 30), a) is not None
                 cell = row and _CELL_BEFORE.search(line, max(0, a - 4), a) and _CELL_AFTER.match(line, b)

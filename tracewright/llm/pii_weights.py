@@ -19,48 +19,48 @@ TRAINED: dict[str, float] = {
     "email:bias": 1.426,
     "email:cell": 1.738,
     "email:evading": 1.219,
-    "email:login": -3.813,
+    "email:login": -3.812,
     "email:plain": 1.267,
-    "id:cpf": 0.51,
-    "id:digits": -1.735,
+    "id:cpf": 0.508,
+    "id:digits": -1.736,
     "id:dni": 0.462,
-    "id:invalid": 1.067,
-    "id:label": 2.765,
+    "id:invalid": 1.07,
+    "id:label": 2.766,
     "id:nino": 1.252,
-    "id:nir": 0.257,
-    "id:pass": 0.596,
-    "id:pesel": 0.29,
-    "id:ssn": 0.582,
-    "id:tax": 0.383,
+    "id:nir": 0.256,
+    "id:pass": 0.595,
+    "id:pesel": 0.295,
+    "id:ssn": 0.587,
+    "id:tax": 0.382,
     "id:valid": 0.512,
-    "id_number:bias": -0.943,
-    "id_number:cell": -1.735,
-    "name:bias": 2.554,
-    "name:caps": 2.432,
-    "name:caps1": 2.304,
+    "id_number:bias": -0.942,
+    "id_number:cell": -1.736,
+    "name:bias": 2.553,
+    "name:caps": 2.467,
+    "name:caps1": 2.336,
     "name:cell": 1.072,
     "name:comma": 5.762,
     "name:comma1": 5.755,
-    "name:common": -1.447,
+    "name:common": -1.435,
     "name:double": 0.671,
-    "name:full": 0.482,
-    "name:given": 2.807,
-    "name:givenlast": -1.289,
+    "name:full": 0.484,
+    "name:given": 2.803,
+    "name:givenlast": -1.293,
     "name:glued": -0.025,
-    "name:heading": -0.897,
-    "name:initials": -4.292,
-    "name:label": 3.889,
-    "name:middle": -0.524,
-    "name:oddmiddle": -0.753,
-    "name:titled": 0.324,
-    "name:unknown": -0.001,
+    "name:heading": -0.929,
+    "name:initials": -4.418,
+    "name:label": 3.867,
+    "name:middle": -0.663,
+    "name:oddmiddle": -0.759,
+    "name:titled": 0.56,
+    "name:unknown": -0.0,
     "phone:area": 1.015,
-    "phone:bias": 1.189,
-    "phone:cell": 1.349,
-    "phone:label": -0.235,
+    "phone:bias": 1.188,
+    "phone:cell": 1.348,
+    "phone:label": -0.234,
     "phone:pairs": -0.407,
     "phone:plus": 1.46,
-    "phone:three": -0.722,
+    "phone:three": -0.726,
     "phone:trunk": -0.452,
     "phone:zeros": 0.831,
 }
