@@ -94,3 +94,8 @@ def human_seconds(c: Column) -> Column:
     """93784 -> 1d 2h 3m."""
     s = c.cast("bigint")
     return F.format_string("%dd %dh %dm", F.floor(s / 86400), F.floor(s % 86400 / 3600), F.floor(s % 3600 / 60))
+
+
+def micros(c: Column | str) -> Column:
+    """Microseconds since 1970 of a time with or without zone (UTC)."""
+    return F.unix_micros((F.col(c) if isinstance(c, str) else c).cast("timestamp"))

@@ -6,11 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.shared import materialise
+from tracewright.functions.text import micros
 
 
 def age_seconds(written: Column, now: Column) -> Column:
     """Never negative: a time in the future is as fresh as can be."""
-    return F.greatest(F.lit(0.0), (F.unix_micros(now) - F.unix_micros(written)) / 1e6)
+    return F.greatest(F.lit(0.0), (micros(now) - micros(written)) / 1e6)
 
 
 def freshness(state: Column, age: Column, limit: float) -> Column:

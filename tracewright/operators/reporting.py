@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions.statistics import entropy, finite, share
+from tracewright.functions.text import micros
 
 
 def by_reason(frame: DataFrame, reason: str = "reason") -> DataFrame:
@@ -103,7 +104,7 @@ def rollup_figures(frame: DataFrame, column: str) -> DataFrame:
 def rate_per_minute(frame: DataFrame, key: str, time: str, counter: str) -> DataFrame:
     """A counter's growth a minute between samples; null for the first and where no time passed."""
     w = Window.partitionBy(key).orderBy(time)
-    seconds = F.unix_micros(time) - F.lag(F.unix_micros(time)).over(w)
+    seconds = micros(time) - F.lag(micros(time)).over(w)
     return frame.withColumn("per_minute", F.try_divide((F.col(counter) - F.lag(counter).over(w)) * 60e6, F.nullif(seconds, F.lit(0))))
 
 

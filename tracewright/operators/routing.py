@@ -29,7 +29,7 @@ def choices(*maps: Column, selected: Column | None = None, confidence: Column |
     merged = F.map_from_entries(F.array().cast("array<struct<key:string,value:double>>"))
     for m in maps:
         m = F.coalesce(m, empty)
-        merged = F.map_concat(F.map_filter(merged, lambda k, v, m=m: ~F.map_contains_key(m, k)), m)
+        merged = F.map_concat(_lacking(merged, m), m)
     if selected is not None and confidence is not None:
         extra = F.when(selected.isNotNull() & confidence.isNotNull() & ~F.map_contains_key(merged, selected), F.create_map(selected, confidence.cast("double")))
         merged = F.map_concat(merged, F.coalesce(extra, empty))
@@ -42,6 +42,10 @@ def choices(*maps: Column, selected: Column | None = None, confidence: Column |
     )
 
 
+def _lacking(old: Column, new: Column) -> Column:
+    return F.map_filter(old, lambda k, v: ~F.map_contains_key(new, k))
+
+
 def offending(values: Column, allowed: tuple[str, ...]) -> Column:
     """At most three of the values outside the allowlist, sorted, joined by commas; null if there are none."""
     folded = F.array(*[F.lit(a.casefold()) for a in allowed])

@@ -27,10 +27,15 @@ def output_reason(entities: Column, classifications: Column, entity_names: list[
     odd_task = F.exists(classifications, lambda c: ~F.array_contains(tasks, c["task"]))
     bad = F.lit(False)
     for task, allowed in labels.items():
-        bad = bad | F.exists(classifications, lambda c, t=task, a=allowed: (c["task"] == t) & (F.size(F.array_except(c["true_label"], F.array(*map(F.lit, a)))) > 0))
+        bad = bad | _outside(classifications, task, allowed)
     return F.when(unknown != "", F.concat(F.lit("unknown_entity:"), unknown)).when(odd_task, "unknown_task").when(bad, "label_outside_set")
 
 
+def _outside(classifications: Column, task: str, allowed: list[str]) -> Column:
+    known = F.array(*map(F.lit, allowed))
+    return F.exists(classifications, lambda c: (c["task"] == task) & (F.size(F.array_except(c["true_label"], known)) > 0))
+
+
 def coerced(value: Column, dtype: str) -> Column:
     """A decoder's string as the field's type; null where it can't be read as that."""
     return {"int": lambda c: c.try_cast("bigint"), "float": lambda c: c.try_cast("double"), "bool": lambda c: F.lower(strip(c)).try_cast("boolean"), "list": lambda c: F.transform(F.split(c, ","), strip), "str": lambda c: c}[dtype](value)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,7 +51,7 @@ def started(lines: DataFrame, offset: int | None = None, first: bool = False, co
 def looped(lines: DataFrame, cycles: int) -> DataFrame:
     """The lines replayed ``cycles`` times; from the second on each carries ``loop_cycle`` and a new content hash, so its
     key differs. Lines are multiplied in place by an array of cycles."""
-    import pandas as pd
+
 
     @F.pandas_udf("string")
     def marked(value: pd.Series, cycle: pd.Series) -> pd.Series:
