@@ -50,6 +50,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """For stages that compute long on each row: more partitions where the input has fewer than there are cores (one
+    small file, say). Inputs of many splits, as any large table has, stay as they are and aren't shuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -153,7 +153,7 @@ def copies(messages: DataFrame) -> DataFrame:
 def exactly_once(envelope: DataFrame, delivery: DataFrame | None = None) -> DataFrame:
     """``envelope`` without its surplus rows. Rows without identity are kept, as nothing proves them copies."""
     surplus = copies(identified(envelope, delivery)).select(F.col("dup_seq_no").alias("_dup"))
-    return envelope.join(surplus, envelope["seq_no"] == F.col("_dup"), "left_anti")
+    return envelope.join(surplus, envelope["seq_no"] == surplus["_dup"], "left_anti")
 
 
 def seen_ranges(messages: DataFrame) -> DataFrame:
