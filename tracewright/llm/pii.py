@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.functions.shared import spread
+
 EMAIL, PHONE, ID, ADDRESS, NAME = "email", "phone", "id_number", "address", "name"
 TYPES = (EMAIL, PHONE, ID, ADDRESS, NAME)
 #: No segment is longer than this many characters.
@@ -422,9 +424,9 @@ def _replace(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def mentions(documents: DataFrame) -> DataFrame:
     """(doc_id, start_char, end_char, pii_type) of each mention; null and empty texts have none, whole texts are read."""
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text <> ''").mapInArrow(_find, "doc_id bigint, start_char bigint, end_char bigint, pii_type string")
+    return spread(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").where("text <> ''")).mapInArrow(_find, "doc_id bigint, start_char bigint, end_char bigint, pii_type string")
 
 
 def with_placeholders(documents: DataFrame) -> DataFrame:
     """(doc_id, text) of every document with typed placeholders for its mentions."""
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(_replace, "doc_id bigint, text string")
+    return spread(documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")).mapInArrow(_replace, "doc_id bigint, text string")

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.functions.shared import spread
+
 # Quotes as they may stand in source or, escaped once or twice, inside JSON.
 _Q = r"""(?:\\{0,3}["'`])"""
 _TRIPLE = r"""(?:(?:\\{0,3}["']){3}|\\{0,3}["'`])"""
@@ -280,9 +282,9 @@ def located(texts: DataFrame) -> DataFrame:
     """(src_table, row_key, start_char, end_char, rule) of each credential in (src_table, row_key, text).
 
     Null and empty texts have none; texts are searched whole; a row repeated whole gives its places once."""
-    return texts.select("src_table", "row_key", "text").where("text <> ''").mapInArrow(_find, "src_table string, row_key bigint, start_char bigint, end_char bigint, rule string").dropDuplicates()
+    return spread(texts.select("src_table", "row_key", "text").where("text <> ''")).mapInArrow(_find, "src_table string, row_key bigint, start_char bigint, end_char bigint, rule string").dropDuplicates()
 
 
 def redacted(texts: DataFrame) -> DataFrame:
     """(src_table, row_key, text) of all rows with each credential masked."""
-    return texts.select("src_table", F.col("row_key").cast("bigint").alias("row_key"), "text").mapInArrow(_mask, "src_table string, row_key bigint, text string")
+    return spread(texts.select("src_table", F.col("row_key").cast("bigint").alias("row_key"), "text")).mapInArrow(_mask, "src_table string, row_key bigint, text string")

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from tracewright.functions.shared import spread
 from tracewright.llm.bpe import PIECE, Encoder
 
 #: Where the public vocabularies lie; a parameter of every operator that needs one.
@@ -66,13 +67,13 @@ def token_ids(documents: DataFrame, tokenizers: str = TOKENIZERS, name: str = "b
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["doc_id", "ids"])
 
-    return documents.select(documents["doc_id"].cast("bigint"), documents["text"]).mapInArrow(run, "doc_id bigint, ids array<int>")
+    return spread(documents.select(documents["doc_id"].cast("bigint"), documents["text"])).mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
 def token_counts(documents: DataFrame, keep: list[str], tokenizers: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
     """The columns ``keep`` of each document with ``n_tokens`` (0 for null and empty texts) and ``n_text_chars``."""
     get = encoder_source(documents, tokenizers, name)
-    chosen = documents.select(*keep, "text")
+    chosen = spread(documents.select(*keep, "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = get()

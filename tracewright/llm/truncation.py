@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.functions.shared import materialise
+from tracewright.functions.shared import materialise, spread
 
 FULL, LISTED, PROSE, MARKED, BROKEN, OPEN = "full", "listed", "prose", "marked", "broken", "open"
 ENDINGS = (FULL, LISTED, PROSE, MARKED, BROKEN, OPEN)
@@ -214,7 +214,7 @@ def judged(envelope: DataFrame, distilled: DataFrame) -> DataFrame:
     Null and empty texts have no row; rows repeated whole are judged alike; either table may be empty.  Tables of
     counts are at most as large as sources x fields x endings (histograms: x distinct lengths, rounded above 65,536).
     """
-    rows = materialise(texts(envelope, distilled).mapInArrow(_features, FEATURES), "truncation-features")
+    rows = materialise(spread(texts(envelope, distilled)).mapInArrow(_features, FEATURES), "truncation-features")
     rounded = lambda c: F.when(F.col(c) <= EXACT, F.col(c)).otherwise(F.expr(f"bigint(pow(2.0D, floor(log2({c}) * 256) / 256))"))
     units = rows.where("chars > 0").select("src_table", "origin", "field", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), rounded("chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), rounded("bytes").alias("length")))).alias("u")).select("src_table", "origin", "field", "u.unit", "u.length")
     histogram = units.groupBy("src_table", "origin", "field", "unit", "length").count().withColumnRenamed("count", "n")
