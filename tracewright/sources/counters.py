@@ -42,7 +42,7 @@ def process_stat(c: Column) -> Column:
 def accelerator_rows(table: DataFrame, text: str = "value") -> DataFrame:
     """(index, name, utilisation, memory_used, memory_total) of a CSV table; [N/A] becomes null, short lines are left out."""
     lines = table.select(F.explode(F.split(text, "\n")).alias("line")).where("trim(line) <> ''")
-    c = F.transform(F.split("line", ","), F.trim)
+    c = F.transform(F.split("line", ","), lambda x: F.trim(x))
     rows = lines.select(c.alias("c")).where(F.size("c") >= 5)
     number = lambda i: F.regexp_extract(F.element_at("c", i), r"^(\d+(?:\.\d+)?)", 1).try_cast("double")
     return rows.select(number(1).cast("int").alias("index"), F.element_at("c", 2).alias("name"), number(3).alias("utilisation"), number(4).alias("memory_used"), number(5).alias("memory_total"))
