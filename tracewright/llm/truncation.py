@@ -88,7 +88,7 @@ def json_cut(value: str) -> bool | None:
         return True
     if message.startswith("Invalid \\u") or message.startswith("Invalid \\escape"):
         return len(rest) <= 6
-    return len(rest) <= 5 and any(w.startswith(rest) for w in ("true", "false", "null", "-"))
+    return rest in (".", "e", "E", "e-", "e+", "E-", "E+") or len(rest) <= 5 and any(w.startswith(rest) for w in ("true", "false", "null", "-"))
 
 
 def _envelope_texts(value: dict) -> Iterator[tuple[str, str]]:
@@ -191,16 +191,17 @@ def latent_classes(table: pd.DataFrame) -> pd.DataFrame:
     at_limit = table["at_limit"].to_numpy(bool)
     kind = table["ending"].map({e: i for i, e in enumerate(ENDINGS)}).to_numpy()
     group = table.groupby(["src_table", "origin", "field"], sort=False).ngroup().to_numpy()
-    cut = np.array([1e-6, 0.08, 0.5, 0.1, 0.1, 0.2])
-    whole = np.array([0.7, 0.28, 0.016, 0.002, 0.001, 0.001])
+    # Where estimation starts; as pseudo-counts these also steady it where there are few texts.
+    cut = first_cut = np.array([1e-6, 0.08, 0.5, 0.1, 0.1, 0.2])
+    whole = first_whole = np.array([0.7, 0.28, 0.016, 0.002, 0.001, 0.001])
     odds = np.where(at_limit, prior, START)
     post = np.zeros(len(n))
     for _ in range(60):
         a, b = odds * cut[kind], (1 - odds) * whole[kind]
         post = a / np.maximum(a + b, 1e-300)
-        cut = np.bincount(kind, n * post, len(ENDINGS)) + 0.5
+        cut = np.bincount(kind, n * post, len(ENDINGS)) + 20 * first_cut
         cut[0] = 1e-6 * cut.sum()
-        whole = np.bincount(kind, n * (1 - post), len(ENDINGS)) + np.array([0.5, 0.5, 1e-3, 1e-3, 1e-3, 1e-3])
+        whole = np.bincount(kind, n * (1 - post), len(ENDINGS)) + 100 * first_whole
         cut, whole = cut / cut.sum(), whole / whole.sum()
         away = ~at_limit
         share = (np.bincount(group[away], (n * post)[away], group.max() + 1) + START) / (np.bincount(group[away], n[away], group.max() + 1) + 1)
