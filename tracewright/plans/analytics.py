@@ -26,18 +26,18 @@ _RANKED = f"j AS (SELECT vec_id, unnest({_P}) AS e FROM embeddings), r AS (SELEC
 
 
 @query(f"WITH {_RANKED}, k AS (SELECT vec_id, label, rank FROM r WHERE rank <= 3 AND p >= 0.25), f AS (SELECT vec_id, label, rank FROM r WHERE rank = 1 AND vec_id NOT IN (SELECT vec_id FROM k) UNION ALL SELECT * FROM k) SELECT vec_id, string_agg(label, ',' ORDER BY rank) AS labels FROM f GROUP BY vec_id")
-def p23_top_labels(spark: Spark, d: str) -> Frame:
+def proj23_top_labels(spark: Spark, d: str) -> Frame:
     return _judged(spark, d).select("vec_id", F.array_join(st.top_labels(F.col("judged"), 3, 0.25), ",").alias("labels"))
 
 
 @query(f"WITH {_RANKED} SELECT vec_id, max(label) FILTER (rank = 1) AS task_type, string_agg(label, ',' ORDER BY rank) FILTER (rank <= 3 AND (p >= 0.25 OR rank = 1)) AS decision_choice FROM r GROUP BY vec_id")
-def p25_synthesized(spark: Spark, d: str) -> Frame:
+def proj25_synthesized(spark: Spark, d: str) -> Frame:
     pick = lambda t: F.array_join(shaping.shaped_labels(F.col("judged"), t), ",")
     return _judged(spark, d).select("vec_id", pick("task_type").alias("task_type"), pick("decision_choice").alias("decision_choice"))
 
 
 @query(f"WITH {_RANKED} SELECT vec_id, string_agg(label || ':' || (round(least(1.0, p * 3) * 1000)::INT), ',' ORDER BY least(1.0, p * 3) DESC, label) AS choices FROM r GROUP BY vec_id")
-def p28_choices(spark: Spark, d: str) -> Frame:
+def proj28_choices(spark: Spark, d: str) -> Frame:
     maps = F.map_from_entries(F.transform("judged", lambda e: F.struct(e["label"].alias("key"), (e["p"] * 3).alias("value"))))
     shown = F.transform(routing.choices(maps), lambda c: F.concat(c["choice"], F.lit(":"), F.round(c["probability"] * 1000).cast("int").cast("string")))
     return _judged(spark, d).select("vec_id", F.array_join(shown, ",").alias("choices"))
@@ -57,7 +57,7 @@ _HELD = "h AS (SELECT row_id, text, unnest(map_entries(labels)) AS e FROM stage0
 
 
 @query(f"WITH {_HELD} SELECT row_id, label, value, (instr(text, value) - 1)::INT AS start, (instr(text, value) - 1 + length(value))::INT AS \"end\" FROM v WHERE instr(text, value) > 0")
-def p17_evidence(spark: Spark, d: str) -> Frame:
+def proj17_evidence(spark: Spark, d: str) -> Frame:
     rows = table(spark, d, "stage0_heldout").where("text is not null").select("row_id", "text", F.explode("labels").alias("label", "values"))
     return rows.select("row_id", "label", F.explode(shaping.evidence(F.col("text"), F.col("values"))).alias("s")).select("row_id", "label", F.col("s.text").alias("value"), "s.start", "s.end")
 
@@ -70,7 +70,7 @@ def f8_evidence_holds(spark: Spark, d: str) -> Frame:
 
 
 @query("SELECT row_id, len(list_distinct(list_filter(list_transform(flatten(map_values(labels)), lambda x: trim(x)), lambda x: x <> '')))::INT AS n_spans FROM stage0_heldout WHERE labels IS NOT NULL")
-def p26_span_sets(spark: Spark, d: str) -> Frame:
+def proj26_span_sets(spark: Spark, d: str) -> Frame:
     return table(spark, d, "stage0_heldout").where("labels is not null").select("row_id", F.size(shaping.span_set(F.flatten(F.map_values("labels")))).alias("n_spans"))
 
 
@@ -149,7 +149,7 @@ def f7_output_reason(spark: Spark, d: str) -> Frame:
 
 
 @query("WITH e AS (SELECT row_id, unnest(map_entries(output.entities)) AS x FROM stage0_distilled), s AS (SELECT row_id, x.key AS label, list_distinct(list_filter(list_transform(x.value, lambda v: trim(v)), lambda v: v <> ''))[1:12] AS v FROM e) SELECT row_id, label, len(v)::INT AS n FROM s WHERE label IN ('technology', 'tool') AND len(v) > 0")
-def p24_shaped_entities(spark: Spark, d: str) -> Frame:
+def proj24_shaped_entities(spark: Spark, d: str) -> Frame:
     rows = table(spark, d, "stage0_distilled").where("output.entities is not null")
     return rows.select("row_id", F.explode(shaping.shaped_entities(F.col("output.entities"), ["technology", "tool"])).alias("label", "v")).select("row_id", "label", F.size("v").alias("n"))
 

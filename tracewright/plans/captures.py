@@ -103,19 +103,19 @@ def l4_path_order(spark: Spark, d: str) -> Frame:
 
 
 @query("SELECT rel_path, byte_offset, 'raw-' || substr(sha256(rel_path || '#' || byte_offset), 1, 32) AS record_id, sha256(raw || chr(10)) AS line_sha256 FROM raw_capture")
-def p9_record_ids(spark: Spark, d: str) -> Frame:
+def proj9_record_ids(spark: Spark, d: str) -> Frame:
     return table(spark, d, "raw_capture").select("rel_path", "byte_offset", capture.record_id(F.col("rel_path"), F.col("byte_offset")).alias("record_id"), F.sha2(F.concat("raw", F.lit("\n")), 256).alias("line_sha256"))
 
 
 @query()
-def p1_normalized_texts(spark: Spark, d: str) -> Frame:
+def proj1_normalized_texts(spark: Spark, d: str) -> Frame:
     return capture.normalized(_lines(spark, d)).select("rel_path", "byte_offset", "shape", "request", "response")
 
 
 @query("""WITH v AS (SELECT rel_path, byte_offset, CASE WHEN json_valid(raw) THEN raw::JSON END AS j FROM raw_capture WHERE json_valid(raw) AND json_type(raw) = 'OBJECT')
 SELECT rel_path, byte_offset, coalesce(nullif(j->>'$.model', ''), nullif(j->>'$.upstream_model', ''), nullif(j->>'$.requested_model', ''), nullif(j->>'$.requestBody.value.model', '')) AS model,
 coalesce(nullif(j->>'$.created_at', ''), nullif(j->>'$.receivedAt', ''), nullif(j->>'$.startedAt', ''), nullif(j->>'$.finishedAt', '')) AS retrieved_at FROM v""")
-def p7_observed(spark: Spark, d: str) -> Frame:
+def proj7_observed(spark: Spark, d: str) -> Frame:
     rows = table(spark, d, "raw_capture").where("try_parse_json(raw) is not null and raw like '{%'")
     return rows.select("rel_path", "byte_offset", capture.observed_model("raw").alias("model"), capture.retrieved_at("raw").alias("retrieved_at"))
 
@@ -164,7 +164,7 @@ def f2_omitted(spark: Spark, d: str) -> Frame:
 
 
 @query("SELECT seq_no, CASE WHEN record_id IS NOT NULL AND content_sha256 IS NOT NULL THEN record_id || '|' || content_sha256 END AS idempotency_key FROM envelope")
-def p12_idempotency_key(spark: Spark, d: str) -> Frame:
+def proj12_idempotency_key(spark: Spark, d: str) -> Frame:
     return table(spark, d, "envelope").select("seq_no", envelopes.idempotency_key(F.col("record_id"), F.col("content_sha256")).alias("idempotency_key"))
 
 
@@ -184,20 +184,20 @@ def f4_validation_client(spark: Spark, d: str) -> Frame:
 
 
 @query()
-def p10_canonical(spark: Spark, d: str) -> Frame:
+def proj10_canonical(spark: Spark, d: str) -> Frame:
     from tracewright.functions.text import canonical_json, content_hash
 
     return table(spark, d, "envelope").select("seq_no", canonical_json("value").alias("canonical"), content_hash("value").alias("computed"))
 
 
 @query()
-def p8_built_envelopes(spark: Spark, d: str) -> Frame:
+def proj8_built_envelopes(spark: Spark, d: str) -> Frame:
     rows = capture.normalized(_lines(spark, d)).withColumn("reason", capture.admission_reason(["orin-7b-chat", "orin-7b", "tern-code-3", "halden-mini"]))
     return capture.envelopes(rows.where("reason is null"), "task_trace", 2, "0" * 64)
 
 
 @query()
-def p13_training_examples(spark: Spark, d: str) -> Frame:
+def proj13_training_examples(spark: Spark, d: str) -> Frame:
     rows = table(spark, d, "envelope").select("seq_no", envelopes.training_example(F.col("value")).alias("e"))
     return rows.where("e is not null").select("seq_no", "e.input", "e.output")
 
@@ -310,18 +310,18 @@ def f6_landing_reason(spark: Spark, d: str) -> Frame:
 
 
 @query(r"""SELECT row_id, regexp_replace(regexp_replace(regexp_replace(input, '(?i)(api[_-]?key|token|password|secret|passwd)\s*[:=]\s*\S+', '\1: [REDACTED]', 'g'), '(?i)bearer\s+[A-Za-z0-9._\-]+', '[REDACTED]', 'g'), '\bsk-[A-Za-z0-9]{10,}\b', '[REDACTED]', 'g') AS redacted FROM stage0_distilled""")
-def p15_redacted(spark: Spark, d: str) -> Frame:
+def proj15_redacted(spark: Spark, d: str) -> Frame:
     return table(spark, d, "stage0_distilled").select("row_id", redact("input", unicode_space=False).alias("redacted"))
 
 
 @query("SELECT row_id AS request_id, sha256(concat_ws(chr(31), row_id::VARCHAR, input, source_name)) AS record_digest FROM (SELECT row_id, input, source.name AS source_name FROM stage0_distilled WHERE input IS NOT NULL AND source.name IS NOT NULL)")
-def p16_admitted(spark: Spark, d: str) -> Frame:
+def proj16_admitted(spark: Spark, d: str) -> Frame:
     rows = table(spark, d, "stage0_distilled").select(F.col("row_id").alias("request_id"), F.col("input").alias("request"), F.col("source.name").alias("response")).where("request is not null and response is not null")
     return landing.admitted(rows, "s", "p").select("request_id", "record_digest")
 
 
 @query("SELECT row_id, substr(concat_ws(chr(10) || chr(10), 'Extract all entities.', input), 1, 200) AS framed FROM stage0_distilled")
-def p22_framed(spark: Spark, d: str) -> Frame:
+def proj22_framed(spark: Spark, d: str) -> Frame:
     return table(spark, d, "stage0_distilled").select("row_id", capture.framed("Extract all entities.", F.col("input"), 200).alias("framed"))
 
 
