@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tracewright.functions.shared import materialise
 from tracewright.llm.tokens import TOKENIZERS, token_counts
 
-BINS = 4096
+BINS = 512
 #: Characters a token of clean prose has with such vocabularies; the quality weight is a text's own figure against it.
 PROSE = 4.0
 LEAST_WEIGHT = 0.05
