@@ -115,11 +115,12 @@ def test_choices_and_top_labels(spark):
 
 
 def test_percentiles(spark):
-    df = spark.createDataFrame([(v,) for v in (10.0, 20.0, 30.0, 40.0, float("nan"))], "v double")
-    v = F.col("v")
-    row = df.agg(st.percentile_linear(v, 0.95), st.percentile_nearest(v, 0.5), st.percentile_floor(v, 0.95), st.percentile_soak(v, 0.5)).first()
-    assert tuple(row) == (38.5, 30.0, 30.0, 30.0)
-    assert df.where("false").agg(st.percentile_nearest(v, 0.5)).first()[0] is None
+    df = spark.createDataFrame([("k", v) for v in (10.0, 20.0, 30.0, 40.0, float("nan"))] + [("n", float("inf")), ("t", 1.0), ("t", 1.0)], "k string, v double")
+    read = lambda f: {r.k: r.v for r in f.collect()}
+    assert read(st.percentile_linear(df, "k", "v", 0.95)) == {"k": pytest.approx(38.5), "t": 1.0}
+    assert read(st.percentile_nearest(df, "k", "v", 0.5)) == {"k": 30.0, "t": 1.0}
+    assert read(st.percentile_floor(df, "k", "v", 0.95))["k"] == 30.0 and read(st.percentile_soak(df, "k", "v", 0.5))["k"] == 30.0
+    assert read(st.percentile_soak(df.where("false"), "k", "v", 0.95)) == {}
 
 
 def test_drift_cases():
@@ -139,9 +140,27 @@ def test_fifo_window_and_warmup():
     assert ordered.warmup([True, True, False, True], 3) == [2, 1, 3, 2]
 
 
-def test_averages_agree(spark):
-    df = spark.createDataFrame([("k", i, float(i % 7)) for i in range(50)], "k string, i int, v double")
-    assert ordered.moving_average(df, "k", ["i"], "v", 0.9).first().ema == pytest.approx(ordered.moving_average_weights(df, "k", ["i"], "v", 0.9).first().ema)
+def test_moving_average_is_the_fold(spark):
+    values = [float(i * 7 % 11) for i in range(50)]
+    df = spark.createDataFrame([("k", i, v) for i, v in enumerate(values)], "k string, i int, v double")
+    old = values[0]
+    for v in values[1:]:
+        old = old * 0.9 + v * 0.1
+    assert ordered.moving_average(df, "k", ["i"], "v", 0.9).first().ema == pytest.approx(old)
+
+
+def test_streamed_folds_cross_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        rows = [(f"s{k}", i, f"{i % 13}") for k in range(3) for i in range(60)] + [(None, i, "x") for i in range(9)]
+        got = ordered.fifo_deduplicated(spark.createDataFrame(rows, "s string, n int, id string"), "s", "n", "id", 5).collect()
+        expected = []
+        for s in ("s0", "s1", "s2", None):
+            own = [r for r in rows if r[0] == s]
+            expected += [r for r, fresh in zip(own, ordered.fifo_dedup([r[2] for r in own], 5)[0]) if fresh]
+        assert sorted(map(tuple, got), key=str) == sorted(expected, key=str)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
 
 
 def test_pairing_and_failure(spark):

@@ -1,8 +1,10 @@
-"""The percentile definitions in use, entropy, rates and rankings, as aggregates over columns."""
+"""The percentile definitions in use, entropy, rates and rankings."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -11,35 +13,41 @@ def finite(c: Column) -> Column:
     return F.when(~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))), c)
 
 
-def _sorted(c: Column) -> Column:
-    return F.sort_array(F.collect_list(finite(c)))
+def at_ranks(frame: DataFrame, key: str, value: str, ranks: Callable[[Column], list[Column]]) -> DataFrame:
+    """(key, v0, v1, ...): the finite values of a key at given ranks (from 0) of their order, computed from its number n.
+
+    Equal values are counted before anything is shuffled and running counts find the ranks, so no group is collected
+    into an array, however many rows a key has."""
+    counts = frame.select(key, finite(F.col(value)).alias("_v")).where("_v is not null").groupBy(key, "_v").agg(F.count("*").alias("_c"))
+    sizes = counts.groupBy(key).agg(F.sum("_c").alias("_n"))
+    upto = F.sum("_c").over(Window.partitionBy(key).orderBy("_v"))
+    placed = counts.withColumn("_to", upto).join(sizes, key)
+    found = [F.min(F.when(F.col("_to") > r, F.col("_v"))).alias(f"v{i}") for i, r in enumerate(ranks(F.col("_n")))]
+    return placed.groupBy(key).agg(F.max("_n").alias("_n"), *found)
 
 
-def percentile_nearest(c: Column, q: float, digits: int | None = 3) -> Column:
-    """The value of rank round(q (n - 1)), half to even; null over nothing."""
-    a = _sorted(c)
-    v = F.try_element_at(a, (F.bround(F.lit(q) * (F.size(a) - 1)) + 1).cast("int"))
-    v = F.when(F.size(a) > 0, v)
-    return v if digits is None else F.round(v, digits)
+def percentile_nearest(frame: DataFrame, key: str, value: str, q: float, digits: int | None = 3) -> DataFrame:
+    """(key, v): the value of rank round(q (n - 1)), half to even. A key without finite values has no row."""
+    out = at_ranks(frame, key, value, lambda n: [F.bround(F.lit(q) * (n - 1))])
+    return out.select(key, (F.col("v0") if digits is None else F.round("v0", digits)).alias("v"))
 
 
-def percentile_linear(c: Column, q: float) -> Column:
-    """Linear interpolation between ranks."""
-    return F.percentile(finite(c), F.lit(q))
+def percentile_linear(frame: DataFrame, key: str, value: str, q: float) -> DataFrame:
+    """(key, v): linear interpolation between ranks."""
+    out = at_ranks(frame, key, value, lambda n: [F.floor(F.lit(q) * (n - 1)), F.ceil(F.lit(q) * (n - 1))])
+    place = F.lit(q) * (F.col("_n") - 1)
+    return out.select(key, (F.col("v0") + (F.col("v1") - F.col("v0")) * (place - F.floor(place))).alias("v"))
 
 
-def percentile_floor(c: Column, q: float) -> Column:
-    """The value of rank floor((n - 1) q)."""
-    a = _sorted(c)
-    return F.when(F.size(a) > 0, F.try_element_at(a, (F.floor((F.size(a) - 1) * q) + 1).cast("int")))
+def percentile_floor(frame: DataFrame, key: str, value: str, q: float) -> DataFrame:
+    """(key, v): the value of rank floor((n - 1) q)."""
+    return at_ranks(frame, key, value, lambda n: [F.floor((n - 1) * F.lit(q))]).select(key, F.col("v0").alias("v"))
 
 
-def percentile_soak(c: Column, q: float) -> Column:
-    """Median: rank n div 2; others: rank int(n q) - 1, at least the first."""
-    a = _sorted(c)
-    n = F.size(a)
-    rank = F.floor(n / 2) if q == 0.5 else F.greatest(F.floor(n * F.lit(q)) - 1, F.lit(0))
-    return F.when(n > 0, F.try_element_at(a, (rank + 1).cast("int")))
+def percentile_soak(frame: DataFrame, key: str, value: str, q: float) -> DataFrame:
+    """(key, v). Median: rank n div 2; others: rank int(n q) - 1, at least the first."""
+    rank = lambda n: F.floor(n / 2) if q == 0.5 else F.greatest(F.floor(n * F.lit(q)) - 1, F.lit(0))
+    return at_ranks(frame, key, value, lambda n: [rank(n)]).select(key, F.col("v0").alias("v"))
 
 
 def entropy(probabilities: Column) -> Column:

@@ -6,7 +6,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.text import canonical_text, is_sha256
@@ -151,10 +151,12 @@ def routed(messages: DataFrame, verdicts: DataFrame, seen: DataFrame | None = No
         rows = rows.join(seen.select("key", F.lit(True).alias("_seen")).distinct(), "key", "left")
     else:
         rows = rows.withColumn("_seen", F.lit(None).cast("boolean"))
-    w = Window.partitionBy("key").orderBy("seq_no")
+    # A delivery is a duplicate if its key was seen, or if a fit one came before it: one minimum a key, aggregated before
+    # its shuffle, tells that.
     fit = (F.col("route_class") == "accepted") & (F.col("attempts") <= max_deliver)
-    rows = rows.withColumn("_before", F.max(F.when(fit & F.col("key").isNotNull(), 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, -1)))
-    duplicate = F.col("key").isNotNull() & (F.coalesce("_seen", F.lit(False)) | (F.coalesce("_before", F.lit(0)) == 1))
+    firsts = rows.where(fit & F.col("key").isNotNull()).groupBy("key").agg(F.min("seq_no").alias("_first"))
+    rows = rows.join(firsts, "key", "left")
+    duplicate = F.col("key").isNotNull() & (F.coalesce("_seen", F.lit(False)) | F.coalesce(F.col("_first") < F.col("seq_no"), F.lit(False)))
     return rows.select(
         "seq_no",
         F.when(duplicate, "duplicate").when(F.col("attempts") > max_deliver, "dlq").otherwise(F.col("route_class")).alias("route"),

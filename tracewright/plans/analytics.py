@@ -272,7 +272,7 @@ def w8_loss_average(spark: Spark, d: str) -> Frame:
 @query(f"WITH {_EMA} SELECT lineage, round(list_reduce(v, lambda a, x: a * 0.9 + x * 0.1), 5) AS ema FROM e")
 def w7_weighted_average(spark: Spark, d: str) -> Frame:
     rows = table(spark, d, "events").withColumnRenamed("user_id", "lineage")
-    return ordered.moving_average_weights(rows, "lineage", ["ts", "event_id"], "value", 0.9).withColumn("ema", F.round("ema", 5))
+    return ordered.moving_average(rows, "lineage", ["ts", "event_id"], "value", 0.9).withColumn("ema", F.round("ema", 5))
 
 
 @query("WITH c AS (SELECT *, CASE WHEN lag(event_type) OVER w IS NOT DISTINCT FROM event_type AND row_number() OVER w > 1 THEN 0 ELSE 1 END AS ch FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)), s AS (SELECT *, sum(ch) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS sn FROM c) SELECT user_id, sn::BIGINT AS session_no, event_type, count(*) AS n FROM s GROUP BY ALL")
@@ -361,28 +361,24 @@ def t16_deltas(spark: Spark, d: str) -> Frame:
 _LIST = "SELECT event_type, list_sort(list(value)) AS v FROM events WHERE NOT isnan(value) GROUP BY event_type"
 
 
-def _by_type(spark: Spark, d: str, agg) -> Frame:
-    return table(spark, d, "events").groupBy("event_type").agg(agg.alias("v"))
-
-
 @query(f"SELECT event_type, round(v[round_even(0.95 * (len(v) - 1), 0)::INT + 1], 3) AS v FROM ({_LIST})")
 def a14_percentile_nearest(spark: Spark, d: str) -> Frame:
-    return _by_type(spark, d, st.percentile_nearest(F.col("value"), 0.95))
+    return st.percentile_nearest(table(spark, d, "events"), "event_type", "value", 0.95)
 
 
 @query("SELECT event_type, round(quantile_cont(value, 0.95), 6) AS v FROM events GROUP BY event_type")
 def a15_percentile_linear(spark: Spark, d: str) -> Frame:
-    return _by_type(spark, d, F.round(st.percentile_linear(F.col("value"), 0.95), 6))
+    return st.percentile_linear(table(spark, d, "events"), "event_type", "value", 0.95).withColumn("v", F.round("v", 6))
 
 
 @query(f"SELECT event_type, v[floor((len(v) - 1) * 0.95)::INT + 1] AS v FROM ({_LIST})")
 def a16_percentile_floor(spark: Spark, d: str) -> Frame:
-    return _by_type(spark, d, st.percentile_floor(F.col("value"), 0.95))
+    return st.percentile_floor(table(spark, d, "events"), "event_type", "value", 0.95)
 
 
 @query(f"SELECT event_type, v[greatest(floor(len(v) * 0.95)::INT - 1, 0) + 1] AS v FROM ({_LIST})")
 def a17_percentile_soak(spark: Spark, d: str) -> Frame:
-    return _by_type(spark, d, st.percentile_soak(F.col("value"), 0.95))
+    return st.percentile_soak(table(spark, d, "events"), "event_type", "value", 0.95)
 
 
 @query("WITH r AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS back FROM events) SELECT user_id, round(avg(value), 6) AS mean_recent FROM r WHERE back <= 50 GROUP BY user_id")
