@@ -43,3 +43,20 @@ def test_command_line(tmp_path, capsys):
     assert cli.main(["validate", str(good)]) == 0 and capsys.readouterr().out.startswith("ok ")
     assert cli.main(["validate", str(bad)]) == 2 and cli.main(["validate", "nowhere"]) == 2 and cli.main(["nonsense"]) == 2
     assert cli.main(["list"]) == 0 and "p5_found" in capsys.readouterr().out
+
+
+def test_contracts(spark):
+    from tracewright.sources.contract import Contract, Field, StreamConfig, cached_labels, unanswered
+
+    good = Contract("c", 1, ("tool",), (Field("n", "int", True),), {"task": ("a", "b")}, ("uses",))
+    assert good.problems() == [] and [f.dataType.simpleString() for f in good.struct()] == ["array<struct<text:string,start:int,end:int,confidence:double>>", "bigint", "map<string,double>", "array<struct<head:string,tail:string>>"]
+    assert good.digest() == Contract("c", 1, ("tool",), (Field("n", "int", True),), {"task": ("a", "b")}, ("uses",)).digest() != Contract("c", 2).digest()
+    assert len(Contract("", 1, ("x", "x"), (Field("f", "date"),), {"t": ()}).problems()) == 4
+    stream = StreamConfig("p", models=(("m", ("n", "m")), ("o", ())))
+    assert stream.problems() == [] and stream.allowed_models() == ["m", "n", "o"] and stream.options()["patterns"] == "*.ndjson"
+    assert len(StreamConfig("", ("a*b",), 1, secrets={"k": "plain"}).problems()) == 4
+    docs = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "k int, text string")
+    asked = cached_labels(docs, spark.createDataFrame([], "request_sha256 string, output string"), good.digest())
+    assert unanswered(asked).count() == 2
+    cache = unanswered(asked).where("text = 'b'").selectExpr("request_sha256", "'x' as output")
+    assert sorted((r.k, r.output) for r in cached_labels(docs, cache, good.digest()).collect()) == [(1, None), (2, "x"), (3, "x")]

@@ -10,6 +10,7 @@ from tracewright.functions.scorer import DictionaryScorer, scored
 from tracewright.functions.shared import table
 from tracewright.operators import audit, capture, routing
 from tracewright.plans.registry import query
+from tracewright.sources import contract
 
 Spark, Frame = SparkSession, DataFrame
 
@@ -145,3 +146,10 @@ def proj5_completed_responses(spark: Spark, d: str) -> Frame:
         return pd.DataFrame(out, columns=["prompt", "answer"])
 
     return table(spark, d, "raw_capture").distinct().select("rel_path", "byte_offset", read("raw").alias("r")).select("rel_path", "byte_offset", "r.prompt", "r.answer")
+
+
+@query("WITH c AS (SELECT sha256('v1' || chr(10) || input) AS h, min(row_id)::VARCHAR AS output FROM stage0_distilled WHERE input IS NOT NULL AND row_id % 2 = 0 GROUP BY 1) SELECT d.row_id, c.output FROM stage0_distilled d LEFT JOIN c ON c.h = sha256('v1' || chr(10) || d.input) WHERE d.input IS NOT NULL")
+def m7_cached_labels(spark: Spark, d: str) -> Frame:
+    docs = table(spark, d, "stage0_distilled").where("input is not null").select("row_id", "input")
+    cache = docs.where("row_id % 2 = 0").select(F.sha2(F.concat_ws("\n", F.lit("v1"), "input"), 256).alias("request_sha256"), F.col("row_id").cast("string").alias("output"))
+    return contract.cached_labels(docs, cache, "v1", "input").select("row_id", "output")

@@ -14,7 +14,7 @@ def _messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested_tables.links(nested_tables.occurrences(table(spark, sf_dir, "raw_capture")))
+    return nested_tables.links(nested_tables.occurrences(table(spark, sf_dir, "raw_capture"), once=False))
 
 
 def p2_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
