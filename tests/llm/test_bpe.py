@@ -40,6 +40,11 @@ def test_equals_the_public_tokenizer_on_noise(encoder, public):
     assert encoder.failed > 0  # exact merging was needed for some
 
 
+def test_both_ways_of_splitting_agree(encoder):
+    text = "".join(chr(i) + chr(j) for i in range(128) for j in range(128)) + " don't we'll I'm ' 's  \n x"
+    assert bpe.ASCII_WORDS(text) == encoder.split(text)
+
+
 def test_every_token_is_its_own_encoding(encoder):
     rng = random.Random(1)
     for word, i in rng.sample(sorted(encoder.ids.items()), 4000):

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import heapq
 import json
+import re
 from itertools import chain
 
 import numpy as np
@@ -19,12 +20,17 @@ import regex
 
 #: Fixed: the split of text before merging, as the public vocabulary defines it.
 WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: The same for ASCII texts, which need no Unicode classes.
+ASCII_WORDS = re.compile(r" ?[A-Za-z]+| ?[0-9]+|'(?:s|t|re|ve|m|ll|d)| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.A).findall
 #: Texts are worked through in pieces of about this many characters, cut where a word must end.
 PIECE = 1 << 20
 #: Distinct words remembered by a worker, a bound on its memory only.
 REMEMBERED = 400_000
 
 
+_NEVER = (1 << 40, -1)
+
+
 def _byte_letters() -> dict[str, int]:
     """The printable stand-ins that vocabulary files use for the 256 bytes."""
     plain = [*range(ord("!"), ord("~") + 1), *range(ord("\xa1"), ord("\xac") + 1), *range(ord("\xae"), ord("\xff") + 1)]
@@ -43,7 +49,11 @@ class Encoder:
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         special = {n for n in names if not all(c in letters for c in n)} | {"<|endoftext|>"}
         self.ids = {asbytes(n): i for n, i in names.items() if n not in special}
-        self.longest = max(map(len, self.ids))
+        # By its first three bytes, how long a token can be: the greedy match tries no more.
+        self.reach: dict[bytes, int] = {}
+        for word in self.ids:
+            if len(word) > 2:
+                self.reach[word[:3]] = max(len(word), self.reach.get(word[:3], 0))
         size = max(names.values()) + 1
         # Of each token the rank of its merge (-1: a single byte) and its two halves.
         self.rank = np.full(size, -1, np.int64)
@@ -73,6 +83,18 @@ class Encoder:
         """Merges the lowest-ranked adjacent pair, leftmost first, until none is left."""
         tokens = [self.single[b] for b in word]
         n = len(tokens)
+        if n <= 24:  # looking at all pairs again is cheaper than keeping a heap
+            pairs = self.pairs
+            found = [pairs.get(p, _NEVER) for p in zip(tokens, tokens[1:])]
+            while found and (low := min(found)) is not _NEVER:
+                i = found.index(low)
+                tokens[i : i + 2] = [low[1]]
+                del found[i]
+                if i:
+                    found[i - 1] = pairs.get((tokens[i - 1], low[1]), _NEVER)
+                if i < len(found):
+                    found[i] = pairs.get((low[1], tokens[i + 1]), _NEVER)
+            return tokens
         after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
         heap = [(found[0], i, found[1], tokens[i], tokens[i + 1]) for i in range(n - 1) if (found := self.pairs.get((tokens[i], tokens[i + 1])))]
         heapq.heapify(heap)
@@ -93,9 +115,9 @@ class Encoder:
 
     def greedy(self, word: bytes) -> list[int]:
         """The longest match at each place."""
-        ids, out, at, n = self.ids, [], 0, len(word)
+        ids, reach, out, at, n = self.ids, self.reach, [], 0, len(word)
         while at < n:
-            end = min(n, at + self.longest)
+            end = min(n, at + reach.get(word[at : at + 3], 2))
             while (found := ids.get(word[at:end])) is None:
                 end -= 1
             out.append(found)
@@ -211,7 +233,7 @@ class Encoder:
             if not text:
                 continue
             for piece in self.pieces(text):
-                found = self.split(piece)
+                found = ASCII_WORDS(piece) if piece.isascii() else self.split(piece)
                 words.extend(found)
                 marks.append((i, len(found)))
                 held += len(piece)
