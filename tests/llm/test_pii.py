@@ -44,6 +44,15 @@ def test_placeholders():
     assert op.replaced(None, F) is None and op.replaced("", F) == ""
 
 
+def test_long_lines_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for text in ("aB3/x-9+" * 40_000, "1 " * 100_000, "Ab " * 100_000, "a@" * 100_000, "12, Rue " * 20_000, "+1 " * 50_000, "A1" * 100_000):
+        F(text)
+    assert time.perf_counter() - began < 40
+
+
 def best(line, weights):
     """The best segmentation by trying all sets of candidates that don't overlap."""
     found = [(a, b, k, op.score(f, weights)) for a, b, k, f in op.candidates(line)]

@@ -49,6 +49,15 @@ def test_placeholders_keep_length_alphabet_and_structure(text, secret):
     assert set(json.loads(m)) == {"k"}
 
 
+def test_long_runs_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for text in ("token " + "aB3/x-" * 100_000, "password" * 50_000, "://" + "a" * 300_000 + "@", "secret = '" + "a" * 300_000, "-----BEGIN PRIVATE KEY-----" * 3000, "curl mysql " * 30_000):
+        op.find_secrets(text)
+    assert time.perf_counter() - began < 20
+
+
 def test_checksum_form():
     body = "A" * 30
     import zlib

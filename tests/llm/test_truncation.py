@@ -25,6 +25,15 @@ def test_endings(text, how):
     assert op.ending(text)[0] == how
 
 
+def test_long_runs_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for text in ("a" + " " * 500_000 + "b", "\n" * 500_000 + "x", "```\n" * 100_001, "a " * 300_000 + "'" * 100_000, "...." * 100_000):
+        op.ending(text)
+    assert time.perf_counter() - began < 10
+
+
 def test_the_mark_does_not_count_to_the_length():
     assert op.ending("abc def... ")[1] == 7 and op.ending("abc def [truncated]")[1] == 7
 

@@ -351,7 +351,7 @@ _LINES = re.compile(r"\n|\\n")
 _MAYBE = re.compile(
     r"@|[\[({ ](?:at|AT)[\])} ]|\+\d|\(\d{3}\)|\d{3}[.\-]\d{3}[.\-]\d{2,4}|\d\d[ \-.]\d{2,4}[ \-.]\d{2,4}|00\d\d-|0\d{3,4} \d{3}|\d{7,}|\d\d ?[A-Z]\b|[A-Z]\d{2}[A-Z0-9]{4}|"
     + _STREETLIKE.pattern
-    + r"|[A-ZÀ-ÖØ-Þ][\w'’\-]*[.,]? (?:[A-Z]\. ?)*[A-ZÀ-ÖØ-Þ][\w'’]"
+    + r"|[A-ZÀ-ÖØ-Þ][\w'’\-]{0,40}[.,]? (?:[A-Z]\. ?){0,3}[A-ZÀ-ÖØ-Þ][\w'’]"
 )
 
 

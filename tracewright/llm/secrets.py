@@ -30,7 +30,7 @@ from tracewright.functions.shared import spread
 _Q = r"""(?:\\{0,3}["'`])"""
 _TRIPLE = r"""(?:(?:\\{0,3}["']){3}|\\{0,3}["'`])"""
 _SENSITIVE = r"(?:pass(?:word|wd|phrase|code)?|pwd|secret(?:[_\-.]?(?:access[_\-.]?)?key)?|token|api[_\-.]?key|app[_\-.]?key|access[_\-.]?key(?:[_\-.]?id)?|auth[_\-.]?key|private[_\-.]?key|account[_\-.]?key|shared[_\-.]?key|encryption[_\-.]?key|signing[_\-.]?key|client[_\-.]?key|credentials?|client[_\-.]?secret|connection[_\-.]?string)"
-_NAME = rf"(?<![A-Za-z0-9])(?:[A-Za-z0-9_\-.$/:@]*[_\-.$/:@a-z])?{_SENSITIVE}(?![A-Za-z0-9_])"
+_NAME = rf"(?<![A-Za-z0-9])(?:[A-Za-z0-9_\-.$/:@]{{0,64}}[_\-.$/:@a-z])?{_SENSITIVE}(?![A-Za-z0-9_])"
 _VALUE = r"""(?:[^\s"'`\\,;&<>(){}\[\]]|\\(?![nrt"'`\\]))+"""
 
 _FIXED = {

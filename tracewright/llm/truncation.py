@@ -39,7 +39,7 @@ _MARK = re.compile(r"\s*(?:\[(?:truncated|cut|snip|more|continued|\.\.\.|…)\]|
 _CLOSERS = re.compile(r"(?:[\s\"'”’»)\]*_]|</[A-Za-z][A-Za-z0-9]*>)+$")
 _STOP = ".!?。！？"
 _LISTED = re.compile(r"(?:[-*+•]|\d+[.)]|#{1,6}|\$|>)\s+\S[^\n]*$|(?:.*\s)?https?://\S+$|(?:.*\s)?\(see [^()\n]+\)$|[|].*[|]$")
-_FENCE = re.compile(r"^\s*```", re.M)
+_FENCE = re.compile(r"^[ \t]*```", re.M)
 
 
 def ending(text: str) -> tuple[str, int]:
@@ -49,7 +49,7 @@ def ending(text: str) -> tuple[str, int]:
         return FULL, len(text)
     if body[-1] == "�":
         return BROKEN, len(body.rstrip("�"))
-    if body[-1] in ".…])>e" and (m := _MARK.search(body)) and not body[: m.start()].rstrip().endswith(tuple(_STOP)):
+    if body[-1] in ".…])>e" and (m := _MARK.search(body, max(0, len(body) - 64))) and not body[max(0, m.start() - 64) : m.start()].rstrip().endswith(tuple(_STOP)):
         return MARKED, m.start()
     if "```" in text and len(_FENCE.findall(text)) % 2:
         return OPEN, len(text)
