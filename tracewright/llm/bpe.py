@@ -38,6 +38,19 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Places(dict):
+    """Numbers words in the order they are first asked for, and notes which are new."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = place = len(self)
+        self.new.append(word)
+        return place
+
+
 class Encoder:
     """Encodes texts with a byte-level vocabulary given as the JSON of a public tokenizer file."""
 
@@ -74,7 +87,7 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index, self.learned = Places(), 0
         self.starts, self.sizes = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.flat, self.used = np.zeros(1 << 18, np.int32), 0
         self.failed = 0
@@ -167,7 +180,7 @@ class Encoder:
             self.failed += len(bad)
             sizes = np.fromiter(map(len, proposals), np.int64, len(proposals))
             flat = np.fromiter(chain.from_iterable(proposals), np.int64, int(sizes.sum()))
-        known, need = len(self.index), self.used + len(flat)
+        known, need = self.learned, self.used + len(flat)
         while known + len(words) > len(self.starts):
             self.starts, self.sizes = np.concatenate([self.starts, self.starts]), np.concatenate([self.sizes, self.sizes])
         while need > len(self.flat):
@@ -177,7 +190,7 @@ class Encoder:
         self.sizes[known : known + len(words)] = sizes
         self.flat[self.used : need] = flat
         self.used = need
-        self.index.update(zip(words, range(known, known + len(words))))
+        self.learned += len(words)
 
     def pieces(self, text: str):
         """Parts of a text between which no word runs: cuts lie before a space that follows no white space."""
@@ -193,10 +206,11 @@ class Encoder:
     def _places(self, words: list[str]) -> np.ndarray:
         if len(self.index) > REMEMBERED:
             self._reset()
-        new = set(words).difference(self.index)
-        if new:
-            self.learn(list(new))
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        places = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        if self.index.new:
+            new, self.index.new = self.index.new, []
+            self.learn(new)
+        return places
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids one after another, number of ids of each text); null and empty texts have none."""
