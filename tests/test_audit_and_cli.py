@@ -60,3 +60,11 @@ def test_contracts(spark):
     assert unanswered(asked).count() == 2
     cache = unanswered(asked).where("text = 'b'").selectExpr("request_sha256", "'x' as output")
     assert sorted((r.k, r.output) for r in cached_labels(docs, cache, good.digest()).collect()) == [(1, None), (2, "x"), (3, "x")]
+
+
+def test_written_tables_are_released(spark):
+    from tracewright.functions.shared import materialise, release
+
+    release(spark)
+    df = materialise(spark.range(5), "released")
+    assert df.count() == 5 and release(spark) == 1 and release(spark) == 0

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -36,16 +38,32 @@ def shared_dir(spark: SparkSession) -> str:
     if given:
         return given
     if spark.sparkContext.master.startswith("local["):
-        folder = "file://" + tempfile.mkdtemp(prefix="tracewright-")
+        own = tempfile.mkdtemp(prefix="tracewright-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        folder = f"file://{own}"
         spark.conf.set("spark.checkpoint.dir", folder)
         return folder
     raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
 
 
+#: The tables this process wrote to the shared folder.
+_WRITTEN: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Deletes the tables that ``materialise`` wrote, once no DataFrame that reads them is needed any more; how many."""
+    context, n = spark.sparkContext, 0
+    while _WRITTEN:
+        path = context._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        n += bool(path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True))
+    return n
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Cuts lineage with a table written in the shared folder; survives the loss of executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -62,8 +80,6 @@ _SHIPPED: set[str] = set()
 
 def ship(spark: SparkSession) -> None:
     """Gives the executors this package, once an application, so that Python workers anywhere can import it."""
-    import shutil
-
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
@@ -73,7 +89,5 @@ def ship(spark: SparkSession) -> None:
         archive = shutil.make_archive(f"{folder}/tracewright", "zip", root, "tracewright")
         context.addPyFile(archive)
     finally:
-        import atexit
-
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
     _SHIPPED.add(context.applicationId)
