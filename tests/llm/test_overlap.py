@@ -76,6 +76,19 @@ def test_nothing_but_stock_phrases_and_hot_copies(spark):
     assert got(spark, ev, tr) == brute(ev, tr)
 
 
+def test_near_copies_are_met_however_many_there_are(spark):
+    rng = random.Random(11)
+    e = sentence(rng, 42)
+    replaced = lambda: " ".join(f"new{rng.randrange(10**6)}" if i in out else w for i, w in enumerate(e.split())) if (out := set(rng.sample(range(42), 8))) else e
+    tr = [replaced() for _ in range(300)]
+    chunks, counts, _ = op.Chunker().batch([op.words_of(x) for x in [e, *tr]])
+    of = [set(chunks[sum(counts[:i]) : sum(counts[: i + 1])].tolist()) for i in range(len(counts))]
+    meet = [p for p in brute([e], tr) if of[0] & of[p[1] - 1000]]
+    assert len(meet) > 280 and got(spark, [e], tr) == meet
+    # each alone in its table gives the same
+    assert all(got(spark, [e], [tr[t - 1001]]) for _, t in meet[:3])
+
+
 def test_edges(spark):
     assert got(spark, [None, "", "...", "one two three"], [None, "", "!", "one two three"]) == [(4, 1004)]
     assert got(spark, [], ["a"]) == [] and got(spark, ["a"], []) == []

@@ -7,11 +7,11 @@ shared chunks are summed per pair of records, and every pair found is settled ex
 record's words that stand in the training record in the same order (longest common subsequence).
 
 Skew.  Texts equal after normalisation form a class and only one of each takes part.  An evaluation record is looked
-up by all its chunks that at most ``COMMON`` training classes have, and by more common ones, rarest first, until those
-left out are less than ``LEFT`` of its words: a training record that shares that much in whole chunks is always met,
-however common its chunks are.  Before texts are fetched, a pair must pass a test that no true case fails: bitmaps of
-hashed words bound from below how many words are missing.  The training side's chunk rows are shuffled once, and only
-those that evaluation records share go on; a chunk that fills the table is split by the join like any skewed key.
+up by all its chunks, however common they are, so whether a pair is met depends on its two records alone.  Pairs that
+meet in a chunk must pass a test that no true case fails: bitmaps of hashed words bound from below how many words are
+missing.  The training side's chunk rows are shuffled once, and only those that evaluation records share go on.  A chunk
+that is common on both sides costs the product of the two numbers in comparisons of bitmaps, done as products of matrices;
+only pairs that pass are written.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.shared import materialise, spread
@@ -32,8 +32,6 @@ from tracewright.functions.shared import materialise, spread
 #: Words a chunk has at least, and words after these until the cut, on average.
 LEAST_CHUNK = 3
 MEAN_CHUNK = 3
-COMMON = 16
-LEFT = 0.3
 #: The least share of the evaluation record's words that must stand in the training record in order.
 SAME = 0.8
 
@@ -187,6 +185,52 @@ def share_in_order(words: list[str], other: list[str]) -> float:
     return (len(words) - v.bit_count()) / len(words)
 
 
+#: Groups of more pairs than this are compared by matrices, of so many evaluation records at a time.
+_SMALL, _BLOCK = 2000, 512
+
+
+def _compared(ids: np.ndarray, bits: np.ndarray, spare: np.ndarray, first: np.ndarray, middle: np.ndarray, end: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(evaluation ids, training ids, groups) of pairs that may be true; group i has evaluation rows from first[i] to
+    middle[i] and training rows from there to end[i]. A pair passes unless more words are missing than may be."""
+    n_e, n_t = middle - first, end - middle
+    small = np.flatnonzero((n_e * n_t > 0) & (n_e * n_t <= _SMALL))
+    for at in range(0, len(small), 1000):
+        g = small[at : at + 1000]
+        count = n_e[g] * n_t[g]
+        k = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        g = np.repeat(g, count)
+        e, t = first[g] + k // n_t[g], middle[g] + k % n_t[g]
+        keep = np.bitwise_count(bits[e] & ~bits[t]).sum(axis=1) <= spare[e]
+        yield ids[e[keep]], ids[t[keep]], g[keep]
+    for i in np.flatnonzero(n_e * n_t > _SMALL):
+        absent = 1 - np.unpackbits(bits[middle[i] : end[i]].view(np.uint8), axis=1).astype(np.float32).T
+        for at in range(first[i], middle[i], _BLOCK):
+            to = min(at + _BLOCK, middle[i])
+            e, t = np.nonzero(np.unpackbits(bits[at:to].view(np.uint8), axis=1).astype(np.float32) @ absent <= spare[at:to, None] + 0.5)
+            yield ids[at + e], ids[middle[i] + t], np.full(len(e), i)
+
+
+def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs by chunk from rows sorted by chunk, evaluation rows before training rows; between batches only the evaluation
+    rows of the last chunk are kept."""
+    kept = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        chunk, side, ids, spare, *b = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        rows = [chunk, side, ids, spare, np.stack(b, axis=1).view(np.uint64)]
+        if kept is not None:
+            rows = [np.concatenate(x) for x in zip(kept, rows)]
+        chunk, side, ids, spare, bits = rows
+        first = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+        end = np.append(first[1:], len(chunk))
+        middle = first + np.add.reduceat(side == 0, first, dtype=np.int64)
+        for e, t, g in _compared(ids, np.ascontiguousarray(bits), spare, first, middle, end):
+            if len(e):
+                yield pa.RecordBatch.from_arrays([pa.array(e), pa.array(t), pa.array(chunk[first[g]])], names=["e_id", "t_id", "chunk"])
+        kept = [x[first[-1] : middle[-1]] for x in rows]
+
+
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last_text, last = None, []
     for batch in batches:
@@ -215,23 +259,21 @@ def same_records(evaluation: DataFrame, training: DataFrame) -> DataFrame:
     """
     ev, tr = materialise(chunked(evaluation), "overlap-eval"), materialise(chunked(training), "overlap-train")
     ev_firsts, tr_firsts = _first_of_class(ev), _first_of_class(tr)
-    ev_chunks = ev_firsts.select(F.col("row_id").alias("e_id"), F.col("n_words").alias("e_words"), F.explode("chunks").alias("chunk")).distinct()
+    bits = [f"b{i}" for i in range(4)]
+    ev_chunks = ev_firsts.select(F.explode("chunks").alias("chunk"), F.lit(0).alias("side"), F.col("row_id").alias("id"), F.floor(F.col("n_words") * (1 - SAME) + 1e-9).cast("int").alias("spare"), *bits).dropDuplicates(["chunk", "id"])
     # Chunk rows of the training side are shuffled once; only those that evaluation records have go on. Neither side of
     # these joins has a bound, so they are merged at every size.
-    tr_chunks = tr_firsts.select(F.col("row_id").alias("t_id"), F.explode("chunks").alias("chunk"))
-    met = materialise(tr_chunks.join(ev_chunks.select("chunk").distinct().hint("merge"), "chunk", "left_semi").select("t_id", "chunk").distinct(), "overlap-met")
-    spread = met.groupBy("chunk").agg(F.count("*").alias("n"))
+    tr_chunks = tr_firsts.select(F.col("row_id").alias("id"), F.explode("chunks").alias("chunk"))
+    met = materialise(tr_chunks.join(ev_chunks.select("chunk").distinct().hint("merge"), "chunk", "left_semi").select("id", "chunk").distinct(), "overlap-met")
+    tr_bits = tr.select(F.col("row_id").alias("id"), *bits).dropDuplicates(["id"])
+    sides = ev_chunks.unionByName(met.join(tr_bits.hint("merge"), "id").select("chunk", F.lit(1).alias("side"), "id", F.lit(0).alias("spare"), *bits))
     length, way = F.col("chunk").bitwiseAND(F.lit(127)), F.col("chunk").bitwiseAND(F.lit(128))
-    commoner = Window.partitionBy("e_id", way).orderBy(F.col("n").desc(), "chunk").rowsBetween(Window.unboundedPreceding, 0)
-    lookups = materialise(
-        ev_chunks.join(spread, "chunk").withColumn("_reach", F.sum(length).over(commoner)).where((F.col("n") <= COMMON) | (F.col("_reach") >= F.col("e_words") * LEFT)).select("e_id", "chunk"),
-        "overlap-lookups",
-    )
-    pairs = met.join(lookups.hint("merge"), "chunk").groupBy("e_id", "t_id").agg(F.greatest(F.sum(F.when(way == 0, length).otherwise(0)), F.sum(F.when(way != 0, length).otherwise(0))).alias("shared_words"))
-    maps = lambda rows, key, p: rows.select(F.col("row_id").alias(key), *[F.col(f"b{i}").alias(f"{p}{i}") for i in range(4)], *([F.col("n_words").alias("e_words")] if p == "e" else []))
-    missing = sum((F.bit_count(F.col(f"e{i}").bitwiseAND(F.bitwise_not(f"t{i}"))) for i in range(1, 4)), F.bit_count(F.col("e0").bitwiseAND(F.bitwise_not("t0"))))
     pairs = materialise(
-        pairs.join(maps(ev, "e_id", "e"), "e_id").join(maps(tr, "t_id", "t"), "t_id").where(missing <= F.floor(F.col("e_words") * (1 - SAME) + 1e-9)).select("e_id", "t_id", "shared_words").distinct(),
+        sides.repartition("chunk")
+        .sortWithinPartitions("chunk", "side")
+        .mapInArrow(_meet, "e_id bigint, t_id bigint, chunk bigint")
+        .groupBy("e_id", "t_id")
+        .agg(F.greatest(F.sum(F.when(way == 0, length).otherwise(0)), F.sum(F.when(way != 0, length).otherwise(0))).alias("shared_words")),
         "overlap-candidates",
     )
     texts = lambda df, key, name: df.select(F.col("row_id").alias(key), F.col("text").alias(name)).dropDuplicates([key])
