@@ -34,6 +34,24 @@ def test_dismissed(text):
     assert op.find_secrets(text) == []
 
 
+LONG = "Zq7/aB3+" * 80
+SHAPED = [
+    ("_authToken=/yLjxHCdYejH8/uZ+hcx73wuI1O27zoDTI6Z3OI4c2U=", "/yLjxHCdYejH8/uZ+hcx73wuI1O27zoDTI6Z3OI4c2U="), ('SECRET_KEY = "/IrCnD7L4DJFSnGFFLdI1fV5MqpoA1aC"', "/IrCnD7L4DJFSnGFFLdI1fV5MqpoA1aC"),
+    ('password: "Pa$sw0rd-91xK"', "Pa$sw0rd-91xK"), ("DB_PASS=hunt3r7", "hunt3r7"), (f'api_key = "{LONG}"', LONG), (f'login("token", "{LONG}")', LONG), (f"<add key='AccessKey' value='{LONG}' />", LONG),
+]
+
+
+@pytest.mark.parametrize("text,secret", SHAPED)
+def test_values_are_not_dismissed_by_shape(text, secret):
+    assert [text[a:b] for a, b, _ in op.find_secrets(text)] == [secret]
+    assert secret not in op.masked(text)
+
+
+@pytest.mark.parametrize("text", ['secret = "/run/secrets/token"', "TOKEN=/etc/ssl/private/key-2024.pem", "private_key: /home/User1/.ssh/id_rsa", 'token = "/var/lib/docker/overlay2/3f9a8b7c6d5e"', 'password = "$DB_PASSWORD"', 'api_key: "/api/v2/Users"'])
+def test_paths_and_references_are_none(text):
+    assert op.find_secrets(text) == []
+
+
 def test_every_occurrence_counts():
     text = 'password: "ax-1vAgnVqwXPa"\ncheck("ax-1vAgnVqwXPa") # ax-1vAgnVqwXPa'
     assert len(op.find_secrets(text)) == 3 and "ax-1vAgnVqwXPa" not in op.masked(text)
@@ -58,6 +76,15 @@ def test_long_runs_take_linear_time():
     assert time.perf_counter() - began < 20
 
 
+def test_long_values_take_linear_time():
+    import time
+
+    began = time.perf_counter()
+    for text in ("token='" * 60_000, "a_token=\"" + "b-token='x" * 40_000, "secret:`" + "a/" * 300_000, 'password=\\"' + "c_secret:" * 40_000, "(\"token\",'" * 40_000):
+        op.find_secrets(text)
+    assert time.perf_counter() - began < 20
+
+
 def test_checksum_form():
     body = "A" * 30
     import zlib

@@ -17,6 +17,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -54,12 +55,14 @@ _FIXED = {
 ISSUED = {k: re.compile(f"({p})") for k, p in _FIXED.items()}
 
 _KEY_BLOCK = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----(?:(?!-----BEGIN).){16,20000}?-----END (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----", re.S)
-_ASSIGNED = re.compile(
-    rf"(?P<name>{_NAME}){_Q}?\]?\s*(?::\s*&?'?[A-Za-z_][\w<>\[\]&' ]{{0,20}}?\s*=(?!=)|:=|=>|=(?![=>~])|:(?!:))\s*(?:(?P<open>{_Q})(?P<quoted>(?:(?!(?P=open))[^\n]){{4,512}}?)(?P=open)|(?P<bare>{_VALUE}))",
-    re.I,
-)
-_CALLED = re.compile(rf"\(\s*{_Q}{_NAME}{_Q}\s*,\s*(?P<open>{_Q})(?P<quoted>(?:(?!(?P=open))[^\n]){{4,512}}?)(?P=open)", re.I)
-_ATTRIBUTE = re.compile(rf"(?:key|name)\s*=\s*{_Q}{_NAME}{_Q}\s+value\s*=\s*(?P<open>{_Q})(?P<quoted>(?:(?!(?P=open))[^\n]){{4,512}}?)(?P=open)", re.I)
+_TO = rf"""{_Q}?\]?\s*(?::\s*&?'?[A-Za-z_][\w<>\[\]&' ]{{0,20}}?\s*=(?!=)|:=|=>|=(?![=>~])|:(?!:))\s*"""
+_QUOTED = rf"(?P<open>{_Q})(?P<quoted>(?:(?!(?P=open))[^\n]){{4,512}}?)(?P=open)"
+# Longer values have no white space, so a run of them is read once and never given back.
+_LENGTHY = rf"(?P<open>{_Q})(?P<quoted>(?:(?!(?P=open))\S){{513,}}+)(?P=open)"
+_ASSIGNED = re.compile(rf"(?P<name>{_NAME}){_TO}(?:{_QUOTED}|(?P<bare>{_VALUE}))", re.I)
+_CALLED, _CALLED_LONG = (re.compile(rf"\(\s*{_Q}{_NAME}{_Q}\s*,\s*{q}", re.I) for q in (_QUOTED, _LENGTHY))
+_ATTRIBUTE, _ATTRIBUTE_LONG = (re.compile(rf"(?:key|name)\s*=\s*{_Q}{_NAME}{_Q}\s+value\s*=\s*{q}", re.I) for q in (_QUOTED, _LENGTHY))
+_ASSIGNED_LONG = re.compile(rf"(?P<name>{_NAME}){_TO}{_LENGTHY}", re.I)
 _SCHEME = re.compile(rf"authorization{_Q}?\s*[:=,]\s*{_Q}?\s*(?:bearer|token|basic|apikey)\s+(?P<bare>{_VALUE})", re.I)
 _URL = re.compile(r"[A-Za-z][A-Za-z0-9+.\-]{1,20}://[^\s:/@\"'`<>\\]{0,80}:(?P<bare>[^\s:/@\"'`<>\\]{3,128})@(?=[A-Za-z0-9\[])")
 _LOGIN = re.compile(rf"\.(?:login|auth|authenticate)\(\s*{_Q}[^\n]{{1,80}}?{_Q}\s*,\s*(?P<open>{_Q})(?P<quoted>(?:(?!(?P=open))[^\n]){{4,256}}?)(?P=open)", re.I)
@@ -71,7 +74,7 @@ _COMMANDS = re.compile(
     re.I,
 )
 _COOKIE = re.compile(rf"cookie{_Q}?\s*[:=]\s*{_Q}?[^\n\"'`]{{0,120}}?(?:session|sid|auth|jwt)[A-Za-z0-9_\-]*=(?P<bare>[^\s;\"'`\\]{{20,}})", re.I)
-_SPOKEN = re.compile(r"(?:credential|password|secret|token|api key|access key)s?\b[^\n:=\"'`]{0,60}:\s+(?P<bare>[A-Za-z0-9_\-./+=!@#%^*?~]{8,})(?=\s|\\n|\\r|\"|$)", re.I)
+_SPOKEN = re.compile(r"(?:credential|password|secret|token|api key|access key)s?\b[^\n:=\"'`]{0,60}:\s+(?P<bare>[A-Za-z0-9_\-./+=!@#%^*?~]{6,})(?=\s|\\n|\\r|\"|$)", re.I)
 
 #: keyword -> the rules it switches on
 _RULES: dict[str, tuple[str, ...]] = {
@@ -85,8 +88,9 @@ _RULES: dict[str, tuple[str, ...]] = {
     "://": ("url",),
 }
 _PLAIN = {"assigned": _ASSIGNED, "called": _CALLED, "attribute": _ATTRIBUTE, "scheme": _SCHEME, "url": _URL, "login": _LOGIN, "commands": _COMMANDS, "cookie": _COOKIE, "spoken": _SPOKEN}
+_LONG = {"assigned": _ASSIGNED_LONG, "called": _CALLED_LONG, "attribute": _ATTRIBUTE_LONG}
 
-_REFERENCE = re.compile(r"\$\{|\$\(|\{\{|\}\}|<[^<>]*>|%\(|%\w+%|\$[A-Za-z_]|^(?:env|file|vault|ref|secretref|ssm|arn|op|keyring|aws-sm|gcp-sm|kms)[:/]", re.I)
+_REFERENCE = re.compile(r"\$\{|\$\(|\{\{|\}\}|<[^<>]*>|%\(|%\w+%|^\$[A-Za-z_]|^(?:env|file|vault|ref|secretref|ssm|arn|op|keyring|aws-sm|gcp-sm|kms)[:/]", re.I)
 _PLACEHOLDER = re.compile(
     r"^(?:none|null|nil|true|false|undefined|changeme|change[_\-]?it|change[_\-]?me|example|placeholder|redacted|removed|masked|hidden|secret|password|passw0rd|token|test|dummy|sample|todo|tbd|default|string|str|bytes|self|empty|n/?a|foo|bar|your.*|my[_\-]?(?:password|secret|token|key|api[_\-]?key)|insert.*|replace.*|enter.*|some[_\-].*|[\[<(*.…].*[\]>)*.…])$"
     r"|x{4,}|\*{3,}|•{3,}|#{4,}|\.{3}|…|_{4,}|(?:^|[_\-])(?:example|placeholder|redacted|changeme|dummy)(?:$|[_\-])|your[_\-]",
@@ -113,16 +117,30 @@ def _varied(value: str) -> bool:
     return digits and letters or bool(re.search(r"[a-z][A-Z]|[A-Z][a-z].*[A-Z]", value)) or sum(not c.isalnum() for c in value) >= 2
 
 
+def _drawn(value: str) -> bool:
+    """Whether letters and digits change as often as in random characters; a capital before small letters is no change."""
+    kinds = ["d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "" for c in value]
+    return sum(x != y and (x, y) != ("u", "l") and x != "" and y != "" for x, y in zip(kinds, kinds[1:])) >= max(3, len(value) / 6)
+
+
+def _path(value: str) -> bool:
+    """Whether a value that begins with a slash is a path: it ends in a file extension, most of its parts are words, or nothing
+    in it looks drawn. Base64 begins with a slash once in 64 times."""
+    parts = [p for p in value.split("/") if p]
+    words = sum(re.fullmatch(r"[.@:]?(?:[a-z]+|[A-Z][a-z]+|[A-Z]+)(?:[-_.]?(?:[a-z]+|[A-Z][a-z]+|\d+))*", p) is not None for p in parts)
+    return re.search(r"\.[A-Za-z]\w{0,5}$", value) is not None or len(parts) > 1 and 2 * words > len(parts) or not _drawn(value)
+
+
 def usable(value: str, bare: bool, name: str = "") -> bool:
     """Whether a value found where a credential belongs is one that is written out."""
     if len(value) < 6 or len(set(value)) < 4 or _REFERENCE.search(value) or _PLACEHOLDER.search(value) or _HASHED.match(value):
         return False
-    if value.startswith(("-----", "http://", "https://", "/", "./", "~/", ")")) or " " in value or "\\n" in value:
+    if value.startswith(("-----", "http://", "https://", "./", "~/", ")")) or value.startswith("/") and _path(value) or " " in value or "\\n" in value:
         return False
     if value.isdigit():
         return len(value) >= 8 and not bare
     if bare:
-        if len(value) < 8 or not _varied(value) and not (len(value) >= 12 and value.isalpha() and "pass" in name.lower()):
+        if not _varied(value) and not (len(value) >= 12 and value.isalpha() and "pass" in name.lower()):
             return False
         if _CODE.match(value) and re.match(r"[A-Za-z_]\w*\.[a-z_]\w*$", value) and not any(c.isdigit() for c in value):
             return False
@@ -180,10 +198,11 @@ def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
     blocks = list(spans)
     for rule in ISSUED.keys() & rules:
         spans += [(m.start(1), m.end(1), rule) for m in ISSUED[rule].finditer(text) if _issued(rule, m.group(1))]
+    lengthy = len(text) > 512 and max(map(len, text.split()), default=0) > 512
     for rule in ("assigned", "called", "attribute", "scheme", "url", "login", "commands", "cookie", "spoken"):
         if rule not in rules:
             continue
-        for m in _PLAIN[rule].finditer(text):
+        for m in chain(_PLAIN[rule].finditer(text), _LONG[rule].finditer(text) if lengthy and rule in _LONG else ()):
             groups = m.groupdict()
             for g, value in groups.items():
                 if value is None or g == "name" or g[0] == "o":
