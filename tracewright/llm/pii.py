@@ -45,13 +45,15 @@ _UPPER_GIVEN = {g.upper() for g in GIVEN}
 _NAMED = re.compile(r"\b(?:" + "|".join(sorted(map(re.escape, GIVEN), key=len, reverse=True)) + r")\b")
 
 _CAP = r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ'’]+(?:[A-Z][a-z]+)?"
-_FAMILY = rf"(?:(?:de|van|von|der|la|di|da|dos|del|el|al|bin) )*{_CAP}(?:-{_CAP})?"
+_PARTICLES = r"(?:(?:de|van|von|der|la|di|da|dos|del|el|al|bin) )*"
+_FAMILY = rf"{_PARTICLES}{_CAP}(?:-{_CAP})?"
 _ALLCAPS = r"[A-ZÀ-ÖØ-Þ]{3,}(?:-[A-ZÀ-ÖØ-Þ]{3,})?"
 _TITLE = r"(?:Dr|Prof|Mr|Mrs|Ms|Miss|Mme|Mlle|Frau|Herr|Sr|Sra|Srta|Dra|Señora|Señor|Sig|Ing|Sir|Professor|Doctor)"
 
 # --- generators ---------------------------------------------------------------------------------------------------
 _AT = r"(?:@|\s?[\[({]\s?(?:at|AT|arroba)\s?[\])}]\s?|\s(?:AT|at)\s)"
 _DOT = r"(?:\.|\s?[\[({]\s?(?:dot|DOT|punkt|punto)\s?[\])}]\s?|\s(?:DOT|dot)\s)"
+_ATLIKE = re.compile(r"@|[\[({]\s?(?:at|AT|arroba)\s?[\])}]|\s(?:AT|at)\s")
 _EMAIL = re.compile(rf"(?<![\w.+\-@/])[A-Za-z0-9À-ÿ_][A-Za-z0-9À-ÿ._%+\-]{{0,63}}{_AT}(?:[A-Za-z0-9](?:[A-Za-z0-9\-]{{0,62}}){_DOT}){{1,5}}[A-Za-z]{{2,24}}(?![\w\-])")
 _PHONES = [
     ("plus", re.compile(r"(?<![\w+])\+\d{1,3}(?:[ .\-/]?\(?\d{1,5}\)?){2,6}(?![\w])")),
@@ -74,18 +76,27 @@ _IDS = [
     ("pass", re.compile(r"(?<![\w.\-])(?=[A-Z0-9]*\d)[A-Z][A-Z0-9]{7,8}(?![\w\-])")),
     ("digits", re.compile(r"(?<![\w.\-])\d{7,12}(?![\w\-]|\.\d)")),
 ]
+#: What every phone or identity number has.
+_NUMBERLIKE = re.compile(
+    r"\+\d|00\d\d[ \-/]\d|\(\d{3}\) ?\d{3}|\d{3}[.\-]\d{3}[.\-]\d|0\d[ .]\d\d[ .]\d\d|0\d{2,4}[ \-/]\d{3}|[A-Z]{2} ?\d\d ?\d\d ?\d\d|\d{3}[ \-]\d\d[ \-]\d{4}"
+    r"|[12] ?\d\d ?\d\d ?(?:\d\d|2[AB]) ?\d{3}|\d\d \d{3} \d{3} \d{3}|\d{7}|[A-Z]{2}\d\d ?[A-Z0-9]{4}|(?<![\w.\-])[A-Z](?=[A-Z]{0,8}\d)[A-Z0-9]{7}"
+)
 _ID_LABEL = re.compile(r"(?:\b(?:SSN|CPF|CNPJ|DNI|NIE|NIF|NIR|NHS|PESEL|BSN|SIN|IBAN|CURP|NINO|NI number|NI no\.?|national insurance(?: number| no\.?)?|social security(?: number| no\.?)?|passport(?: number| no\.?)?|Reisepass(?:nummer)?|pasaporte|passeport|Steuer-?ID|Steuernummer|Steueridentifikationsnummer|tax id|ID(?: card)?(?: number| no\.?)|identity (?:card|number)(?: no\.?)?|Personalausweis(?:nummer)?|personnummer|codice fiscale|numéro de sécurité sociale|driver'?s licen[cs]e(?: no\.?)?)\s*(?:[:#=]|no\.?|nr\.?|is)?\s*[:#]?\s*)$", re.I)
 _PHONE_LABEL = re.compile(r"(?:\b(?:phone|tel|tél|telephone|telefon|telefone|teléfono|téléphone|mobile|mobil|cell|fax|call|text|ring|dial|whatsapp|sms|appeler(?: le| au)?|joignable au|erreichbar unter|unter|llamar(?: al)?|ligue(?: para)?|contact|or text)\.?\s*(?:no\.?|nr\.?|number)?\s*[:=]?\s*[\"'(]?\s*)$", re.I)
 
 _SUFFIX = r"(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Court|Ct|Terrace|Ter|Way|Row|Place|Pl|Square|Sq|Boulevard|Blvd|Close|Crescent|Parkway|Pkwy|Highway|Hwy|Walk|Gardens|Grove|Hill|Mews|Alley|Circle|Cir)\.?"
 _UNIT = r"(?:(?:Flat|Apt\.?|Apartment|Unit|Suite|Ste\.?|Room|Rm\.?|#) ?\d*[A-Za-z]?\d*)"
 _NUMBER = r"\d{1,5}(?: ?[a-zA-Z](?![\w]))?(?: bis| ter)?"
+_FRENCH = r"(?:rue|avenue|boulevard|place|chemin|allée|impasse|quai|route|cours)"
+_GERMAN = r"(?:straße|strasse|str\.|weg|gasse|platz|allee|ring|damm|ufer|markt|chaussee)"
+_GERMAN_APART = r"(?:Straße|Strasse|Str\.|Weg|Gasse|Platz|Allee|Ring|Damm)"
+_ROMANCE = r"(?:Calle|C/|Avenida|Av\.|Plaza|Paseo|Camino|Via|Viale|Piazza|Corso|Rua|Travessa|Praça)"
 _STREETS = [
-    ("english", rf"(?:{_UNIT},? )?{_NUMBER} (?:[NSEW]\.? )?(?:{_CAP} ){{1,3}}{_SUFFIX}(?:,? {_UNIT})?"),
-    ("french", rf"{_NUMBER},? (?:rue|avenue|boulevard|place|chemin|allée|impasse|quai|route|cours)(?: (?:de la|de l'|du|des|de|d'))? ?{_CAP}(?:[ \-]{_CAP}){{0,3}}"),
-    ("german", rf"(?:{_CAP}[ \-])?[A-ZÄÖÜ][a-zäöüß]+(?:straße|strasse|str\.|weg|gasse|platz|allee|ring|damm|ufer|markt|chaussee) \d{{1,4}} ?[a-z]?(?![\w])"),
-    ("german", rf"{_CAP} (?:Straße|Strasse|Str\.|Weg|Gasse|Platz|Allee|Ring|Damm) \d{{1,4}} ?[a-z]?(?![\w])"),
-    ("romance", rf"(?:Calle|C/|Avenida|Av\.|Plaza|Paseo|Camino|Via|Viale|Piazza|Corso|Rua|Travessa|Praça)(?: (?:de la|de las|de los|del|de|da|do|dos|das|di|della))? ?{_CAP}(?: {_CAP}){{0,2}},? (?:n[º°o]\.? ?)?\d{{1,5}} ?[a-z]?(?![\w])"),
+    ("english", rf"(?:{_UNIT},? )?{_NUMBER} (?:[NSEW]\.? )?(?:{_CAP} ){{1,3}}{_SUFFIX}(?![a-z])(?:,? {_UNIT})?"),
+    ("french", rf"{_NUMBER},? {_FRENCH}(?: (?:de la|de l'|du|des|de|d'))? ?{_CAP}(?:[ \-]{_CAP}){{0,3}}"),
+    ("german", rf"(?:{_CAP}[ \-])?[A-ZÄÖÜ][a-zäöüß]+{_GERMAN} \d{{1,4}} ?[a-z]?(?![\w])"),
+    ("german", rf"{_CAP} {_GERMAN_APART} \d{{1,4}} ?[a-z]?(?![\w])"),
+    ("romance", rf"{_ROMANCE}(?: (?:de la|de las|de los|del|de|da|do|dos|das|di|della))? ?{_CAP}(?: {_CAP}){{0,2}},? (?:n[º°o]\.? ?)?\d{{1,5}} ?[a-z]?(?![\w])"),
     ("box", r"P\.? ?O\.? Box \d{1,6}"),
 ]
 _TOWN = rf"{_CAP}(?:[ \-](?:{_CAP}|am|an|der|sur|en|la|le|de|upon|on)){{0,3}}"
@@ -100,7 +111,8 @@ _TAILS = [
 ]
 _STREET = [(k, re.compile(rf"(?<![\w.\-/]){p}")) for k, p in _STREETS]
 _TAIL = [(k, re.compile(p)) for k, p in _TAILS]
-_STREETLIKE = re.compile(rf" {_SUFFIX}(?![a-z])|straße|strasse|str\. \d|weg \d|gasse \d|platz \d|allee \d|Calle|Avenida|Plaza|Paseo| rue | boulevard | avenue | place | chemin | allée |Rua |Via |Box \d")
+#: What every street has, from the same words as the forms above.
+_STREETLIKE = re.compile(rf" {_SUFFIX}(?![a-z])|{_GERMAN} \d| {_GERMAN_APART} \d|{_ROMANCE}[ A-ZÀ-ÖØ-Þ]| {_FRENCH}[ A-ZÀ-ÖØ-Þ]|Box \d")
 
 _NAME_FORMS = [
     ("full", re.compile(rf"(?<![\w\-]){_CAP}(?:-{_CAP})? {_FAMILY}(?![\w])")),
@@ -115,8 +127,12 @@ _NAME_FORMS = [
     ("capslast", re.compile(rf"(?<![\w\-]){_CAP}(?:-{_CAP})? {_ALLCAPS}(?![\w])")),
 ]
 _TITLED = re.compile(rf"(?<![\w]){_TITLE}\.? ({_FAMILY})(?![\w])")
+#: What every name has: capitals, particles, initials and commas as the forms above join them.
+_NAMELIKE = re.compile(rf"(?<!\w)[A-ZÀ-ÖØ-Þ](?:[\w'’\-]{{0,{LONGEST}}}+[.,]? |\.)(?:[A-Z]\. ?){{0,3}}{_PARTICLES}[A-ZÀ-ÖØ-Þ][\w'’.]")
 _IS_TITLE = re.compile(rf"{_TITLE}\.?$")
-_NAME_LABEL = re.compile(r"(?:\b(?:author|authors|name|user|contact|contacto|owner|reviewer|maintainer|by|from|to|ask for|signed|firmada por|firmado por|responsável|responsable|ansprechpartner(?:in)?(?: ist)?|geprüft von|betreut von|von|von Frau|relu par|par|person|file|belongs to|thanks to|and to|TODO|FIXME|collected by|back to|dear|participant|patient|__author__)\s*(?:[:=(]|is)?\s*\\?[\"']?\s*)$", re.I)
+_NAME_LABELS = r"(?:author|authors|name|user|contact|contacto|owner|reviewer|maintainer|by|from|to|ask for|signed|firmada por|firmado por|responsável|responsable|ansprechpartner(?:in)?(?: ist)?|geprüft von|betreut von|von|von Frau|relu par|par|person|file|belongs to|thanks to|and to|TODO|FIXME|collected by|back to|dear|participant|patient|__author__)"
+_NAME_LABEL = re.compile(rf"(?:\b{_NAME_LABELS}\s*(?:[:=(]|is)?\s*\\?[\"']?\s*)$", re.I)
+_LABELLIKE = re.compile(rf"\b{_NAME_LABELS}", re.I)
 _CELL_BEFORE = re.compile(r"(?:^|[|,;]|\s{2}|\t)\s*$")
 _CELL_AFTER = re.compile(r"\s*(?:$|[|,;]|\s{2}|\t)")
 _ROW = re.compile(r"^\s*(?:\[?\d+\]?)\s*(?:[|,;\t]|\s{2})")
@@ -157,7 +173,7 @@ def candidates(line: str) -> list[Candidate]:
             features[f"{kind}:cell"] = 1.0
         out.append((a, b, kind, features))
 
-    if "@" in line or " at " in line or " AT " in line or "at]" in line or "at)" in line or "AT" in line:
+    if _ATLIKE.search(line):
         for m in _EMAIL.finditer(line):
             a, b = m.span()
             text = m.group()
@@ -170,7 +186,7 @@ def candidates(line: str) -> list[Candidate]:
                 f["email:loose"] = 1.0
             add(a, b, EMAIL, f)
     digits = sum(map(line.count, "0123456789"))
-    if digits >= 6:
+    if digits and _NUMBERLIKE.search(line):
         for form, pattern in _PHONES:
             for m in pattern.finditer(line):
                 a, b = m.span()
@@ -214,8 +230,10 @@ def candidates(line: str) -> list[Candidate]:
                     if re.match(r",? (?:\d{4,5}|[A-Z]{2} \d{5}|[A-Z]{1,2}\d[A-Z\d]? ?\d[A-Z]{2})(?!\w)", line[end : end + 14]):
                         f["address:more"] = 1.0
                     add(a, end, ADDRESS, f)
+    if not _NAMELIKE.search(line):
+        return out
     named = _NAMED.search(line) is not None
-    labelled = row or re.search(r"(?i)author|name|user|contact|ask for|belongs|thanks|TODO|person|file:|signed|firmad|responsá|ansprech|par |von |ship|collected|from|by ", line) is not None
+    labelled = row or _LABELLIKE.search(line) is not None
     if named or labelled:
         for form, pattern in _NAME_FORMS:
             for m in pattern.finditer(line):
@@ -348,11 +366,14 @@ def fit(lines: list[tuple[str, set[tuple[int, int, str]]]], rounds: int = 60, ra
 
 # --- whole texts ----------------------------------------------------------------------------------------------------
 _LINES = re.compile(r"\n|\\n")
-_MAYBE = re.compile(
-    r"@|[\[({ ](?:at|AT)[\])} ]|\+\d|\(\d{3}\)|\d{3}[.\-]\d{3}[.\-]\d{2,4}|\d\d[ \-.]\d{2,4}[ \-.]\d{2,4}|00\d\d-|0\d{3,4} \d{3}|\d{7,}|\d\d ?[A-Z]\b|[A-Z]\d{2}[A-Z0-9]{4}|"
-    + _STREETLIKE.pattern
-    + r"|[A-ZÀ-ÖØ-Þ][\w'’\-]{0,40}[.,]? (?:[A-Z]\. ?){0,3}[A-ZÀ-ÖØ-Þ][\w'’]"
-)
+_DIGIT = re.compile(r"\d")
+
+
+def maybe(line: str) -> bool:
+    """Whether a line can have candidates: each test is met by all that the generators of its types propose."""
+    if _NAMELIKE.search(line) or _ATLIKE.search(line):
+        return True
+    return _DIGIT.search(line) is not None and (_NUMBERLIKE.search(line) is not None or _STREETLIKE.search(line) is not None)
 
 
 class Finder:
@@ -365,9 +386,9 @@ class Finder:
         self.known: dict[str, tuple] = {}
 
     def line(self, line: str) -> tuple[tuple[int, int, str], ...]:
-        if not _MAYBE.search(line):
-            return ()
         plain = line.replace("\\t", "  ").replace('\\"', ' "') if "\\" in line else line
+        if not maybe(plain):
+            return ()
         return tuple(segment(plain, self.weights))
 
     def __call__(self, text: str | None) -> list[tuple[int, int, str]]:
@@ -380,7 +401,7 @@ class Finder:
         for whole in text.split("\n"):
             inner = at
             for part in whole.split("\\n") if "\\n" in whole else (whole,):
-                if len(part) > 6:
+                if len(part) > 3:
                     found = known.get(part)
                     if found is None:
                         found = self.line(part)
