@@ -100,6 +100,14 @@ def test_edges(spark):
     assert [(r.eval_row_id, r.train_row_id, r.overlap) for r in again] == [(1, 1001, 1.0)]
 
 
+def test_overlap_of_a_pair_is_the_same_in_any_table(spark):
+    rng = random.Random(5)
+    e = sentence(rng, 60)
+    copies = [e + " " + sentence(rng, 4) for _ in range(40)]
+    overlap = lambda tr: op.same_records(frame(spark, [e], 1), frame(spark, tr, 1001)).where("train_row_id = 1001").first().overlap
+    assert overlap(copies[:1]) == overlap(copies) > 0.8
+
+
 def test_report(spark):
     ev, tr = frame(spark, ["alpha beta gamma delta"], 1), frame(spark, ["alpha beta gamma delta"] * 2, 1001).selectExpr("row_id", "text", "'t' as train_table", "'s' as train_source")
     r = op.by_split_and_source(op.same_records(ev, tr), ev, tr).collect()

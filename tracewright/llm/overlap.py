@@ -255,7 +255,7 @@ def same_records(evaluation: DataFrame, training: DataFrame) -> DataFrame:
 
     ``evaluation`` and ``training`` have (row_id, text); other columns are ignored.  Null, empty and wordless texts are
     never cases; rows repeated whole count once; either table may be empty.  ``overlap`` is the sum of shared chunk
-    lengths over the evaluation record's words, from the chunks it was looked up by and the better of the two cuttings.
+    lengths over the evaluation record's words, all shared chunks, in the better of the two cuttings.
     """
     ev, tr = materialise(chunked(evaluation), "overlap-eval"), materialise(chunked(training), "overlap-train")
     ev_firsts, tr_firsts = _first_of_class(ev), _first_of_class(tr)
