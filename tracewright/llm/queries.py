@@ -44,7 +44,7 @@ def p3_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.located(truncation.texts(*_coded(spark, sf_dir))).drop("rule")
+    return secrets.located(truncation.texts(*_coded(spark, sf_dir))).drop("rule", "checksum")
 
 
 def p4_masked(spark: SparkSession, sf_dir: str) -> DataFrame:

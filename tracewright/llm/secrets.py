@@ -1,7 +1,7 @@
 """Credentials written out in code and configuration: finding them, and masking them without breaking the text.
 
 Texts pass a keyword automaton first; only the rules whose keywords occur are run.  Rules are issuer formats (with
-their structure or checksum validated), key-value assignments, places where commands and URLs carry passwords, and
+their structure validated and their checksum reported), key-value assignments, places where commands and URLs carry passwords, and
 private-key blocks.  What a rule finds must be usable: references to variables or stores, placeholders, masked values,
 hashes with their scheme and calls are dismissed.  Every further occurrence of a secret in the same text counts too.
 
@@ -279,16 +279,16 @@ def masked(text: str | None) -> str | None:
 
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows: list[tuple[str, int, int, int, str]] = []
+        rows: list[tuple[str, int, int, int, str, bool | None]] = []
         for i in range(batch.num_rows):
             text = batch.column(2)[i].as_py()
             found = find_secrets(text)
             if found:
                 table, key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                rows += [(table, key, a, b, rule) for a, b, rule in found]
+                rows += [(table, key, a, b, rule, checksum(text[a:b])) for a, b, rule in found]
         if rows:
-            t, k, a, b, r = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(k, pa.int64()), pa.array(np.array(a, np.int64)), pa.array(np.array(b, np.int64)), pa.array(r)], names=["src_table", "row_key", "start_char", "end_char", "rule"])
+            t, k, a, b, r, c = zip(*rows)
+            yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(k, pa.int64()), pa.array(np.array(a, np.int64)), pa.array(np.array(b, np.int64)), pa.array(r), pa.array(c, pa.bool_())], names=["src_table", "row_key", "start_char", "end_char", "rule", "checksum"])
 
 
 def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,10 +298,11 @@ def _mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def located(texts: DataFrame) -> DataFrame:
-    """(src_table, row_key, start_char, end_char, rule) of each credential in (src_table, row_key, text).
+    """(src_table, row_key, start_char, end_char, rule, checksum) of each credential in (src_table, row_key, text).
 
+    ``checksum`` says whether the credential's own checksum holds, null where its format has none.
     Null and empty texts have none; texts are searched whole; a row repeated whole gives its places once."""
-    return spread(texts.select("src_table", "row_key", "text").where("text <> ''")).mapInArrow(_find, "src_table string, row_key bigint, start_char bigint, end_char bigint, rule string").dropDuplicates()
+    return spread(texts.select("src_table", "row_key", "text").where("text <> ''")).mapInArrow(_find, "src_table string, row_key bigint, start_char bigint, end_char bigint, rule string, checksum boolean").dropDuplicates()
 
 
 def redacted(texts: DataFrame) -> DataFrame:
