@@ -95,3 +95,13 @@ def test_empty_and_repeated(spark):
     judged, e, d = cut(spark, [(VALUE[:9], "s")], [("x" * 3_000_000 + ".", "n")])
     twice, _, _ = op.judged(e.union(e), d), e, d
     assert op.cut_rows(twice).count() == 1
+
+
+def test_each_limit_is_judged_by_its_own_posterior():
+    import pandas as pd
+
+    ending = op.ENDINGS[1]
+    rows = [("t", "s", "f", True, 0.99, ending, 50), ("t", "s", "f", True, 0.02, ending, 50), ("t", "s", "f", False, 0.0, op.ENDINGS[0], 1000)]
+    got = op.latent_classes(pd.DataFrame(rows, columns=["src_table", "origin", "field", "at_limit", "censored", "ending", "n"]))
+    by = dict(zip(got["censored"], got["posterior"]))
+    assert by[0.99] > 0.5 > by[0.02]

@@ -183,7 +183,7 @@ def limits_of(histogram: pd.DataFrame) -> pd.DataFrame:
 
 
 def latent_classes(table: pd.DataFrame) -> pd.DataFrame:
-    """Posterior of being cut for each (src_table, origin, field, at_limit, ending) of the table of counts.
+    """Posterior of being cut for each (src_table, origin, field, at_limit, censored, ending) of the table of counts.
 
     A text that ends with a full stop is no case, so cut texts are given none of these endings.
     """
@@ -206,14 +206,14 @@ def latent_classes(table: pd.DataFrame) -> pd.DataFrame:
         away = ~at_limit
         share = (np.bincount(group[away], (n * post)[away], group.max() + 1) + START) / (np.bincount(group[away], n[away], group.max() + 1) + 1)
         odds = np.where(at_limit, prior, share[group])
-    return table.assign(posterior=post)[["src_table", "origin", "field", "at_limit", "ending", "posterior"]]
+    return table.assign(posterior=post)[["src_table", "origin", "field", "at_limit", "censored", "ending", "posterior"]]
 
 
 def judged(envelope: DataFrame, distilled: DataFrame) -> DataFrame:
     """(src_table, row_key, origin, field, ending, at_limit, posterior) of each text of both tables.
 
     Null and empty texts have no row; rows repeated whole are judged alike; either table may be empty.  Tables of
-    counts are at most as large as sources x fields x endings (histograms: x distinct lengths, rounded above 65,536).
+    counts are at most as large as sources x fields x limits x endings (histograms: x distinct lengths, rounded above 65,536).
     """
     rows = materialise(spread(texts(envelope, distilled)).mapInArrow(_features, FEATURES), "truncation-features")
     rounded = lambda c: F.when(F.col(c) <= EXACT, F.col(c)).otherwise(F.expr(f"bigint(pow(2.0D, floor(log2({c}) * 256) / 256))"))
@@ -224,9 +224,10 @@ def judged(envelope: DataFrame, distilled: DataFrame) -> DataFrame:
     at = lambda unit: limits.where(F.col("unit") == unit).select("src_table", "origin", "field", rounded("length").alias(unit), F.col("censored").alias(f"by_{unit}"))
     placed = rows.join(at("chars"), ["src_table", "origin", "field", "chars"], "left").join(at("bytes"), ["src_table", "origin", "field", "bytes"], "left")
     placed = placed.withColumn("censored", F.greatest(F.coalesce("by_chars", F.lit(0.0)), F.coalesce("by_bytes", F.lit(0.0)))).withColumn("at_limit", F.col("censored") > 0)
-    counts = placed.groupBy("src_table", "origin", "field", "at_limit", "ending").agg(F.count("*").alias("n"), F.avg("censored").alias("censored"))
-    posterior = counts.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(latent_classes, "src_table string, origin string, field string, at_limit boolean, ending string, posterior double")
-    return placed.join(posterior, ["src_table", "origin", "field", "at_limit", "ending"]).select("src_table", "row_key", "origin", "field", "ending", "at_limit", "posterior")
+    # Each limit is judged by its own censoring posterior; there are as many of these as candidate limits.
+    counts = placed.groupBy("src_table", "origin", "field", "at_limit", "censored", "ending").agg(F.count("*").alias("n"))
+    posterior = counts.withColumn("all", F.lit(1)).groupBy("all").applyInPandas(latent_classes, "src_table string, origin string, field string, at_limit boolean, censored double, ending string, posterior double")
+    return placed.join(posterior, ["src_table", "origin", "field", "at_limit", "censored", "ending"]).select("src_table", "row_key", "origin", "field", "ending", "at_limit", "posterior")
 
 
 def cut_rows(judgements: DataFrame) -> DataFrame:
