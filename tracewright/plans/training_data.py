@@ -46,4 +46,9 @@ ranked AS (SELECT seq_no, min(seq_no) OVER (PARTITION BY record_id, content) AS
 ORACLES = {
     "p5_found": f"WITH {_KEYED} SELECT first_seq_no AS kept_seq_no, seq_no AS dup_seq_no FROM ranked WHERE seq_no <> first_seq_no",
     "p5_kept": f"WITH {_KEYED} SELECT e.seq_no, e.record_id, lower(e.content_sha256) AS content_sha256 FROM envelope e LEFT JOIN ranked r ON e.seq_no = r.seq_no WHERE r.seq_no IS NULL OR r.seq_no = r.first_seq_no",
+    "p5_ranges": r"""WITH m AS (SELECT DISTINCT regexp_extract(source_ref.uri, '^[A-Za-z][A-Za-z0-9+.\-]*://(.+)#([0-9]{1,18})$', 1) AS producer, regexp_extract(source_ref.uri, '^[A-Za-z][A-Za-z0-9+.\-]*://(.+)#([0-9]{1,18})$', 2)::BIGINT AS lo, greatest(coalesce(d.raw_bytes, 1), 1) AS width
+FROM envelope e LEFT JOIN delivery d USING (seq_no) WHERE record_id <> '' AND content_sha256 <> '' AND regexp_matches(source_ref.uri, '^[A-Za-z][A-Za-z0-9+.\-]*://(.+)#([0-9]{1,18})$')),
+r AS (SELECT *, max(lo + width) OVER (PARTITION BY producer ORDER BY lo, width ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM m),
+i AS (SELECT *, sum(CASE WHEN lo <= reach THEN 0 ELSE 1 END) OVER (PARTITION BY producer ORDER BY lo, width) AS island FROM r)
+SELECT producer, min(lo) AS range_lo, max(lo + width)::BIGINT AS range_hi FROM i GROUP BY producer, island""",
 }
