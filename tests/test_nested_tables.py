@@ -1,4 +1,7 @@
 import json
+import sys
+
+import pytest
 
 from tracewright.operators import nested_tables as op
 
@@ -7,7 +10,7 @@ SCHEMA = "rel_path string, byte_offset bigint, raw string, bytes bigint, node_pa
 
 def rows(spark, lines):
     df = spark.createDataFrame([(f, o, r, 1, "clash", None) for f, o, r in lines], SCHEMA)
-    return sorted(((r.rel_path, r.byte_offset, r.node_path, r.parent_path) for r in op.links(op.occurrences(df)).collect()), key=str)
+    return sorted(((r.rel_path, r.byte_offset, r.node_path, r.parent_path) for r in op.links(df).collect()), key=str)
 
 
 def walk(value, path="", parent=""):
@@ -51,9 +54,62 @@ def test_repeated_lines_nulls_and_depth(spark):
 
 
 def test_identical_objects_are_stored_once(spark):
-    df = spark.createDataFrame([("f", 0, '{"requestBody": {"a": [{"x": {"y": [{"z": 1}]}}, {"x": {"y": [{"z": 1}]}}]}}', 1, None, None)], SCHEMA)
+    df = spark.createDataFrame([("f", 0, '{"requestBody": {"a": [{"x": {"y": [{"z": 1}]}}, {"x": {"y": [{"z": 1}]}}], "tags": ["x", "y"], "meta": {"k": 1}}}', 1, None, None)], SCHEMA)
+    bridge = op.occurrences(df)
+    rows = {r.node_no: r for r in bridge.collect()}
+    assert len(rows) == 12 and sum(r.element for r in rows.values()) == 4 and rows[0].parent_no is None
+    stored = {r.object_id: r for r in op.objects(bridge).collect()}
+    assert len(stored) == 8 and sorted(r.n for r in stored.values()) == [1, 1, 1, 1, 2, 2, 2, 2]
+    assert {'["x","y"]', '{"k":1}', '{"z":1}'} < {r.form for r in stored.values()}
+    twins = [r for r in rows.values() if r.element and stored[r.object_id].form != '{"z":1}']
+    assert [r.ordinal for r in twins] == [0, 1] and twins[0].object_id == twins[1].object_id and rows[twins[0].parent_no].key == "a"
+    [record] = op.records(bridge, op.objects(bridge)).collect()
+    assert record.body == '{"a":[{"x":{"y":[{"z":1}]}},{"x":{"y":[{"z":1}]}}],"meta":{"k":1},"tags":["x","y"]}'
+
+
+def test_records_are_put_together_again(spark, small):
+    lines = spark.read.parquet(f"{small.replace('sf0.001', 'sf0.01')}/raw_capture.parquet")
+    bridge = op.occurrences(lines)
+    got = {(r.rel_path, r.byte_offset): r.body for r in op.records(bridge, op.objects(bridge)).collect()}
+    expected = {}
+    for r in lines.collect():
+        try:
+            body = op.unwrapped(json.loads(r.raw or "")["requestBody"])
+        except (ValueError, TypeError, KeyError):
+            continue
+        if isinstance(body, (dict, list)):
+            expected[r.rel_path, r.byte_offset] = json.dumps(body, sort_keys=True, ensure_ascii=False, separators=(",", ":"))
+    assert got == expected and len(got) > 400
+
+
+def test_depth_is_no_limit(spark):
+    def line(n):
+        return '{"requestBody": {"a": ' + '[{"k": ' * n + "1" + "}]" * n + "}}"
+
+    def frame(n):
+        return spark.createDataFrame([("f", 0, line(n), 1, None, None)], SCHEMA)
+
+    assert len(op.links(frame(3000)).collect()) == 3000
+    bridge = op.occurrences(frame(100_000))
+    assert bridge.count() == 200_001
+    assert op.rebuilt(bridge.first().root_id, {r.object_id: r.form for r in bridge.collect()}) == line(100_000)[16:-1].replace(" ", "")
+
+
+@pytest.mark.parametrize("text", ['{"a": [1, -2.5e3, "x\\u00e9\\n", true, false, null, {}, []], "b": {"c": [[]]}}', " [ ] ", '"x"', "1", '{"a":1,}', "[1,]", '{"a" 1}', "[1 2]", "{1: 2}", "[", '{"a":', "nul", "[1] x", "", '["\n"]', "[NaN, Infinity, -Infinity]", '{"a": 1, "a": 2}'])
+def test_the_parser_of_deep_texts(text):
+    def outcome(parse):
+        try:
+            return repr(parse(text))
+        except ValueError:
+            return "error"
+
+    assert outcome(op._unnested) == outcome(json.loads)
+
+
+def test_long_numbers_and_lone_surrogates(spark):
+    sys.set_int_max_str_digits(0)
+    body = {"n": int("1" * 6000), "s": "\ud800", "a": [{"\ud800": 1}]}
+    df = spark.createDataFrame([("f", 0, json.dumps({"requestBody": body}), 1, None, None)], SCHEMA)
     bridge = op.occurrences(df)
-    assert bridge.count() == 4
-    assert sorted(r.n for r in op.objects(bridge).collect()) == [2, 2]
-    by = {r.node_path: r for r in bridge.collect()}
-    assert by["a[0].x.y[0]"].parent_id == by["a[0]"].object_id == by["a[1]"].object_id and by["a[1].x.y[0]"].ordinal == 0
+    [record] = op.records(bridge, op.objects(bridge)).collect()
+    assert json.loads(record.body) == body and op.links(df).count() == 1
