@@ -32,17 +32,18 @@ _Q = r"""(?:\\{0,3}["'`])"""
 _TRIPLE = r"""(?:(?:\\{0,3}["']){3}|\\{0,3}["'`])"""
 _SENSITIVE = r"(?:pass(?:word|wd|phrase|code)?|pwd|secret(?:[_\-.]?(?:access[_\-.]?)?key)?|token|api[_\-.]?key|app[_\-.]?key|access[_\-.]?key(?:[_\-.]?id)?|auth[_\-.]?key|private[_\-.]?key|account[_\-.]?key|shared[_\-.]?key|encryption[_\-.]?key|signing[_\-.]?key|client[_\-.]?key|credentials?|client[_\-.]?secret|connection[_\-.]?string)"
 _NAME = rf"(?<![A-Za-z0-9])(?:[A-Za-z0-9_\-.$/:@]{{0,64}}[_\-.$/:@a-z])?{_SENSITIVE}(?![A-Za-z0-9_])"
-_VALUE = r"""(?:[^\s"'`\\,;&<>(){}\[\]]|\\(?![nrt"'`\\]))+"""
+# A backslash belongs to a bare value unless it begins an escape of white space, a quote or another sign that ends one.
+_VALUE = r"""(?:[^\s"'`\\,;&<>(){}\[\]]|\\(?![nrtbf"'`\\]|u00(?:0[9aAdD]|2[0267cC]|3[bBcCeE])))+"""
 
 _FIXED = {
     # Published formats of issuers' credentials.
     "akia": r"(?<![A-Za-z0-9])(?:AKIA|ASIA|ABIA|ACCA)[A-Z2-7]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])",
     "asia": r"(?<![A-Za-z0-9])ASIA[A-Z0-9]{16}(?![A-Za-z0-9])",
-    "gh": r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,255}(?![A-Za-z0-9])|(?<![A-Za-z0-9])github_pat_[A-Za-z0-9_]{50,255}(?![A-Za-z0-9_])",
-    "glpat": r"(?<![A-Za-z0-9])glpat-[A-Za-z0-9_\-]{20,64}(?![A-Za-z0-9_\-])",
-    "xox": r"(?<![A-Za-z0-9])xox[abeoprs]-[A-Za-z0-9\-]{10,250}(?![A-Za-z0-9\-])",
-    "sk-": r"(?<![A-Za-z0-9_\-])sk-(?:proj-|live-|svcacct-|ant-)?[A-Za-z0-9_\-]{20,250}(?![A-Za-z0-9_\-])",
-    "_live_": r"(?<![A-Za-z0-9])[srp]k_live_[A-Za-z0-9]{16,250}(?![A-Za-z0-9])",
+    "gh": r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36,}+(?![A-Za-z0-9])|(?<![A-Za-z0-9])github_pat_[A-Za-z0-9_]{50,}+(?![A-Za-z0-9_])",
+    "glpat": r"(?<![A-Za-z0-9])glpat-[A-Za-z0-9_\-]{20,}+(?![A-Za-z0-9_\-])",
+    "xox": r"(?<![A-Za-z0-9])xox[abeoprs]-[A-Za-z0-9\-]{10,}+(?![A-Za-z0-9\-])",
+    "sk-": r"(?<![A-Za-z0-9_\-])sk-(?:proj-|live-|svcacct-|ant-)?[A-Za-z0-9_\-]{20,}+(?![A-Za-z0-9_\-])",
+    "_live_": r"(?<![A-Za-z0-9])[srp]k_live_[A-Za-z0-9]{16,}+(?![A-Za-z0-9])",
     "aiza": r"(?<![A-Za-z0-9_\-])AIza[A-Za-z0-9_\-]{35}(?![A-Za-z0-9_\-])",
     "eyj": r"(?<![A-Za-z0-9_\-.])eyJ[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{8,}\.[A-Za-z0-9_\-]{16,}(?![A-Za-z0-9_\-])",
     "npm_": r"(?<![A-Za-z0-9])npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])",
@@ -51,10 +52,11 @@ _FIXED = {
     "sg.": r"(?<![A-Za-z0-9])SG\.[A-Za-z0-9_\-]{22}\.[A-Za-z0-9_\-]{43}(?![A-Za-z0-9_\-])",
     "dop_v1": r"(?<![A-Za-z0-9])dop_v1_[a-f0-9]{64}(?![a-f0-9])",
 }
-#: Issuer formats are matched with case; each is run only if its keyword occurs.
-ISSUED = {k: re.compile(f"({p})") for k, p in _FIXED.items()}
+#: Issuer formats are matched with case; each is run only if its keyword occurs. The letter of an escape such as \\n may
+#: stand before them.
+ISSUED = {k: re.compile("(" + re.sub(r"\(\?<!(\[[^\]]*\])\)", r"(?:(?<=\\\\[nrtbf])|(?<!\1))", p) + ")") for k, p in _FIXED.items()}
 
-_KEY_BLOCK = re.compile(r"-----BEGIN (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----(?:(?!-----BEGIN).){16,20000}?-----END (?:[A-Z0-9]+ )*PRIVATE KEY(?: BLOCK)?-----", re.S)
+_KEY_EDGE = re.compile(r"-----(?P<kind>BEGIN|END) (?:(?P<key>(?:[A-Z0-9]+ ){0,8}PRIVATE KEY(?: BLOCK)?-----)|(?=[A-Z]))")
 _TO = rf"""{_Q}?\]?\s*(?::\s*&?'?[A-Za-z_][\w<>\[\]&' ]{{0,20}}?\s*=(?!=)|:=|=>|=(?![=>~])|:(?!:))\s*"""
 _QUOTED = rf"(?P<open>{_Q})(?P<quoted>(?:(?!(?P=open))[^\n]){{4,512}}?)(?P=open)"
 # Longer values have no white space, so a run of them is read once and never given back.
@@ -64,12 +66,13 @@ _CALLED, _CALLED_LONG = (re.compile(rf"\(\s*{_Q}{_NAME}{_Q}\s*,\s*{q}", re.I) fo
 _ATTRIBUTE, _ATTRIBUTE_LONG = (re.compile(rf"(?:key|name)\s*=\s*{_Q}{_NAME}{_Q}\s+value\s*=\s*{q}", re.I) for q in (_QUOTED, _LENGTHY))
 _ASSIGNED_LONG = re.compile(rf"(?P<name>{_NAME}){_TO}{_LENGTHY}", re.I)
 _SCHEME = re.compile(rf"authorization{_Q}?\s*[:=,]\s*{_Q}?\s*(?:bearer|token|basic|apikey)\s+(?P<bare>{_VALUE})", re.I)
-_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.\-]{1,20}://[^\s:/@\"'`<>\\]{0,80}:(?P<bare>[^\s:/@\"'`<>\\]{3,128})@(?=[A-Za-z0-9\[])")
-_LOGIN = re.compile(rf"\.(?:login|auth|authenticate)\(\s*{_Q}[^\n]{{1,80}}?{_Q}\s*,\s*(?P<open>{_Q})(?P<quoted>(?:(?!(?P=open))[^\n]){{4,256}}?)(?P=open)", re.I)
+# Neither part of a login may hold a colon or slash, so each place of a URL is read a bounded number of times.
+_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.\-]{1,20}://[^\s:/@\"'`<>\\]*+:(?P<bare>[^\s:/@\"'`<>\\]{3,}+)@(?=[A-Za-z0-9\[])")
+_LOGIN = re.compile(rf"\.(?:login|auth|authenticate)\(\s*{_Q}[^\n]{{1,80}}?{_Q}\s*,\s*(?P<open>{_Q})(?P<quoted>(?:(?!(?P=open))[^\n]){{4,}}+)(?P=open)", re.I)
 _COMMANDS = re.compile(
-    rf"(?:sshpass\s+-p\s*(?:(?P<o1>{_Q})(?P<q1>[^\n]{{3,128}}?)(?P=o1)|(?P<b1>{_VALUE}))"
-    rf"|(?:mysql|mysqldump|mysqladmin|mariadb)\b[^\n|;]{{0,120}}?\s-p(?:(?P<o2>{_Q})(?P<q2>[^\n]{{3,128}}?)(?P=o2)|(?P<b2>{_VALUE}))"
-    rf"|identified\s+by\s+(?:password\s+)?(?P<o3>{_Q})(?P<q3>[^\n]{{3,128}}?)(?P=o3)"
+    rf"(?:sshpass\s+-p\s*(?:(?P<o1>{_Q})(?P<q1>(?:(?!(?P=o1))[^\n]){{3,}}+)(?P=o1)|(?P<b1>{_VALUE}))"
+    rf"|(?:mysql|mysqldump|mysqladmin|mariadb)\b[^\n|;]{{0,120}}?\s-p(?:(?P<o2>{_Q})(?P<q2>(?:(?!(?P=o2))[^\n]){{3,}}+)(?P=o2)|(?P<b2>{_VALUE}))"
+    rf"|identified\s+by\s+(?:password\s+)?(?P<o3>{_Q})(?P<q3>(?:(?!(?P=o3))[^\n]){{3,}}+)(?P=o3)"
     rf"|curl\b[^\n|;]{{0,120}}?\s(?:-u|--user)\s*{_Q}?[^\s:\"'`]{{1,64}}:(?P<b4>{_VALUE}))",
     re.I,
 )
@@ -90,7 +93,7 @@ _RULES: dict[str, tuple[str, ...]] = {
 _PLAIN = {"assigned": _ASSIGNED, "called": _CALLED, "attribute": _ATTRIBUTE, "scheme": _SCHEME, "url": _URL, "login": _LOGIN, "commands": _COMMANDS, "cookie": _COOKIE, "spoken": _SPOKEN}
 _LONG = {"assigned": _ASSIGNED_LONG, "called": _CALLED_LONG, "attribute": _ATTRIBUTE_LONG}
 
-_REFERENCE = re.compile(r"\$\{|\$\(|\{\{|\}\}|<[^<>]*>|%\(|%\w+%|^\$[A-Za-z_]|^(?:env|file|vault|ref|secretref|ssm|arn|op|keyring|aws-sm|gcp-sm|kms)[:/]", re.I)
+_REFERENCE = re.compile(r"\$\{|\$\(|\{\{|\}\}|<[^<>]*>|%\(|^%\w+%$|^\$[A-Za-z_]|^(?:env|file|vault|ref|secretref|ssm|arn|op|keyring|aws-sm|gcp-sm|kms)[:/]", re.I)
 _PLACEHOLDER = re.compile(
     r"^(?:none|null|nil|true|false|undefined|changeme|change[_\-]?it|change[_\-]?me|example|placeholder|redacted|removed|masked|hidden|secret|password|passw0rd|token|test|dummy|sample|todo|tbd|default|string|str|bytes|self|empty|n/?a|foo|bar|your.*|my[_\-]?(?:password|secret|token|key|api[_\-]?key)|insert.*|replace.*|enter.*|some[_\-].*|[\[<(*.…].*[\]>)*.…])$"
     r"|x{4,}|\*{3,}|•{3,}|#{4,}|\.{3}|…|_{4,}|(?:^|[_\-])(?:example|placeholder|redacted|changeme|dummy)(?:$|[_\-])|your[_\-]",
@@ -140,7 +143,8 @@ def usable(value: str, bare: bool, name: str = "") -> bool:
     if value.isdigit():
         return len(value) >= 8 and not bare
     if bare:
-        if not _varied(value) and not (len(value) >= 12 and value.isalpha() and "pass" in name.lower()):
+        # What is called a password may also be a long word, or capitals with a sign that names don't have.
+        if not _varied(value) and not ("pass" in name.lower() and (len(value) >= 12 and value.isalpha() or re.fullmatch(r"(?=.*[A-Z])[A-Z]*[^\w\s][A-Z\W]*", value))):
             return False
         if _CODE.match(value) and re.match(r"[A-Za-z_]\w*\.[a-z_]\w*$", value) and not any(c.isdigit() for c in value):
             return False
@@ -161,13 +165,18 @@ def _base62(n: int, width: int) -> str:
 def checksum(value: str) -> bool | None:
     """Of formats whose last six characters are a CRC32 in base 62: whether it holds. None: the format has none.
 
-    A wrong checksum only says that the credential was mistyped or made up, so it is reported, not used to dismiss."""
+    One that holds proves the credential, whatever it looks like. A wrong one may be a typing error in a credential that
+    works elsewhere, so it is reported and doesn't dismiss."""
     if value[:4] in ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "npm_") and len(value) == 40:
         return _base62(zlib.crc32(value[4:-6].encode()), 6) == value[-6:]
     return None
 
 
 def _issued(rule: str, value: str) -> bool:
+    """Whether a text of an issuer's format is a credential: its checksum holds, or it is neither a placeholder nor
+    badly structured."""
+    if checksum(value):
+        return True
     if _PLACEHOLDER.search(value) or value.endswith("EXAMPLE") or len(set(value[4:])) < 6:
         return False
     if rule == "eyj":  # the first part must be a JSON object that names an algorithm
@@ -180,6 +189,38 @@ def _issued(rule: str, value: str) -> bool:
     return True
 
 
+def _matches(pattern: re.Pattern, text: str) -> Iterator[tuple[re.Match, list[str]]]:
+    """Matches with a list for the usable values the caller finds in each. Where it finds none the search goes on inside the
+    match: a quote that ends a text may have been taken for one that begins a value, up to the next value's quote."""
+    at = 0
+    while m := pattern.search(text, at):
+        found: list[str] = []
+        yield m, found
+        inner = min(m.start(g) for g, v in m.groupdict().items() if v is not None and g != "name" and g[0] != "o")
+        at = m.end() if found else max(inner, m.start() + 1)
+
+
+def _escaped(text: str, at: int) -> bool:
+    """Whether the character there belongs to an escape, as the n of a line break written as backslash and n."""
+    n = at
+    while n > 0 and text[n - 1] == "\\":
+        n -= 1
+    return (at - n) % 2 == 1
+
+
+def _key_blocks(text: str) -> list[tuple[int, int, str]]:
+    """Private keys, from the first dash of the opening line to the last of the closing one, whatever their length."""
+    out, opened = [], None
+    for m in _KEY_EDGE.finditer(text):
+        if m["kind"] == "BEGIN":
+            opened = m if m["key"] else None
+        elif m["key"] and opened is not None:
+            if len(re.sub(r"\\+n|\s", "", text[opened.end() : m.start()])) > 16:
+                out.append((opened.start(), m.end(), "block"))
+            opened = None
+    return out
+
+
 def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
     """(start, end, rule) of each credential, in order and without overlaps; offsets count code points."""
     if not text:
@@ -194,7 +235,7 @@ def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
         return []
     spans: list[tuple[int, int, str]] = []
     if "block" in rules:
-        spans += [(m.start(), m.end(), "block") for m in _KEY_BLOCK.finditer(text) if len(re.sub(r"\\n|\s", "", m.group())) > 60]
+        spans += _key_blocks(text)
     blocks = list(spans)
     for rule in ISSUED.keys() & rules:
         spans += [(m.start(1), m.end(1), rule) for m in ISSUED[rule].finditer(text) if _issued(rule, m.group(1))]
@@ -202,7 +243,7 @@ def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
     for rule in ("assigned", "called", "attribute", "scheme", "url", "login", "commands", "cookie", "spoken"):
         if rule not in rules:
             continue
-        for m in chain(_PLAIN[rule].finditer(text), _LONG[rule].finditer(text) if lengthy and rule in _LONG else ()):
+        for m, found in chain(_matches(_PLAIN[rule], text), ((m, []) for m in _LONG[rule].finditer(text)) if lengthy and rule in _LONG else ()):
             groups = m.groupdict()
             for g, value in groups.items():
                 if value is None or g == "name" or g[0] == "o":
@@ -218,13 +259,15 @@ def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
                         continue  # a call or an index
                 if usable(value, bare and rule not in ("url", "commands"), groups.get("name") or ""):
                     spans.append((start, end, rule))
+                    found.append(value)
     if not spans:
         return []
     # Every further place where one of the secrets stands.
     for value in {text[a:b] for a, b, rule in spans if rule != "block"}:
         at = text.find(value)
         while at >= 0:
-            spans.append((at, at + len(value), "again"))
+            if not _escaped(text, at):
+                spans.append((at, at + len(value), "again"))
             at = text.find(value, at + len(value))
     # Blocks hold what is inside them; of others the leftmost, then longest, then the rule before its repeats.
     order = {"block": 0, **{k: 1 for k in ISSUED}, "again": 3}
@@ -237,23 +280,27 @@ def find_secrets(text: str | None) -> list[tuple[int, int, str]]:
     return out
 
 
+#: One character, or an escape as JSON and programming languages write them, with all its backslashes.
+_UNIT = re.compile(r"\\+(?:u[0-9A-Fa-f]{4}|U[0-9A-Fa-f]{8}|x[0-9A-Fa-f]{2}|[0-7]{1,3}|.)?|.", re.S)
+_HEX = re.compile(r"[0-9a-f\-]+")
+
+
 def placeholder(secret: str) -> str:
     """A text of the same length whose characters have the same alphabets; line breaks, dashes and escapes stay."""
     if secret.startswith("-----"):
         head, tail = secret.index("-----", 5) + 5, secret.rindex("-----END")
         return secret[:head] + placeholder(secret[head:tail]) + secret[tail:]
     seed = hashlib.sha256(secret.encode("utf-8", "surrogatepass")).digest()
-    out, i, n = [], 0, len(secret)
-    while i < n:
-        c = secret[i]
-        if c == "\\" and i + 1 < n:  # an escape stays as it stands
-            out.append(secret[i : i + 2])
-            i += 2
-            continue
-        k = seed[i % 32] + i
-        if "0" <= c <= "9":
+    low = _HEX.fullmatch(secret) is not None
+    out: list[str] = []
+    for m in _UNIT.finditer(secret):
+        c = m.group()
+        k = seed[m.start() % 32] + m.start()
+        if len(c) > 1:  # an escape stays as it stands
+            out.append(c)
+        elif "0" <= c <= "9":
             out.append(chr(48 + k % 10))
-        elif "a" <= c <= "f" and re.fullmatch(r"[0-9a-f\-]+", secret):
+        elif low and "a" <= c <= "f":
             out.append("abcdef"[k % 6])
         elif "a" <= c <= "z":
             out.append(chr(97 + k % 26))
@@ -261,7 +308,6 @@ def placeholder(secret: str) -> str:
             out.append(chr(65 + k % 26))
         else:
             out.append(c)
-        i += 1
     return "".join(out)
 
 
@@ -280,11 +326,9 @@ def masked(text: str | None) -> str | None:
 def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows: list[tuple[str, int, int, int, str, bool | None]] = []
-        for i in range(batch.num_rows):
-            text = batch.column(2)[i].as_py()
+        for table, key, text in zip(*(c.to_pylist() for c in batch.columns)):
             found = find_secrets(text)
             if found:
-                table, key = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 rows += [(table, key, a, b, rule, checksum(text[a:b])) for a, b, rule in found]
         if rows:
             t, k, a, b, r, c = zip(*rows)
