@@ -19,12 +19,31 @@ def cut(spark, env, dist):
 @pytest.mark.parametrize(
     "text,how",
     [("All is well.", "full"), ("Is it?", "full"), ("He said “go.”", "full"), ("<p>Done.</p>", "full"), ("A.\n\n- take the first\n- take the second", "listed"), ("See\nhttps://a.example/x", "listed"), ("x.\n$ make all", "listed"), ("a.\n# Status: closed", "listed"), ("It ends here. (see parser)", "listed"),
-     ("It stops in the mid", "prose"), ("It stops in the ", "prose"), ("It stops…", "marked"), ("It stops in the [truncated]", "marked"), ("It stops (cut)", "marked"), ("It stops in … [more]", "marked"), ("It stops in the w�", "broken"), ("```py\nx = 1", "open"), ("```py\nx = 1\n```", "full"), ("# file: a.py\nx = 1", "open"), ("# file: a.py\nx = 1\n# end of file", "full"), ("", "full"), ("  \n", "full")],
+     ("It stops in the mid", "prose"), ("It stops in the ", "prose"), ("It stops…", "marked"), ("It stops in the [truncated]", "marked"), ("It stops (cut)", "marked"), ("It stops in … [more]", "marked"), ("It stops in the w�", "broken"), ("```py\nx = 1", "open"), ("```py\nx = 1\n```", "full"), ("# file: a.py\nx = 1", "prose"), ("", "full"), ("  \n", "full")],
 )
 def test_endings(text, how):
     assert op.ending(text)[0] == how
 
 
+def test_blocks_are_learnt_from_the_texts(spark):
+    """Headers and footers this corpus doesn't have; where the footer is missing the text was cut."""
+    whole = [f"Some words on item {i}.\n%% section: s{i}\nx = {i}\n%% over" for i in range(60)]
+    cut_off = [f"Some words on item {i}.\n%% section: s{i}\nx = {i}" for i in range(8)]
+    other = [f"Some words.\n%% note {i}\nThat is all of {i}." for i in range(60)]
+    judged, *_ = cut(spark, [], [(t, "s") for t in whole + cut_off + other])
+    rows = {r.row_key: r for r in judged.collect()}
+    assert {rows[i].ending for i in range(60)} == {"full"} and {rows[i].ending for i in range(60, 68)} == {"open"} and {rows[i].ending for i in range(68, 128)} == {"full"}
+    assert {r.row_key for r in op.cut_rows(judged).collect()} == set(range(60, 68))
+
+
+def test_limits_are_matched_exactly_however_long(spark):
+    rng = random.Random(4)
+    texts = ["word " * (rng.randrange(100, 15_000)) + "end." for _ in range(300)] + [("words " * 20_000)[:90_007] for _ in range(30)] + ["word " * 18_001 + "end."]
+    judged, *_ = cut(spark, [], [(t, "s") for t in texts])
+    at = [r.row_key for r in judged.where("at_limit").collect()]
+    assert sorted(at) == list(range(300, 330))
+
+
 def test_long_runs_take_linear_time():
     import time
 

@@ -8,6 +8,9 @@ list or link, open code block, mark, in mid-sentence) is combined with that by l
 probabilities for cut and for whole texts, and the share of cut texts of each source away from its limits, are
 estimated by expectation maximisation over the table of counts (source x at limit x ending).
 
+Which lines open and close a block (headers and footers of files, say) is learnt from the texts: a line that many texts
+end with, and that is hardly ever met without a certain other line before it, closes what that one opens.
+
 JSON values that end within a string or structure are cut; values broken in other ways are not.
 """
 
@@ -28,12 +31,11 @@ from tracewright.functions.shared import materialise, spread
 
 FULL, LISTED, PROSE, MARKED, BROKEN, OPEN = "full", "listed", "prose", "marked", "broken", "open"
 ENDINGS = (FULL, LISTED, PROSE, MARKED, BROKEN, OPEN)
-#: Lengths above this are counted in steps of a 256th, which bounds a source's histogram.
-EXACT = 1 << 16
 #: Share of texts cut in transfer that the estimation starts from, away from limits.
 START = 0.02
 
-FEATURES = "src_table string, row_key bigint, origin string, field string, chars bigint, bytes bigint, ending string"
+FEATURES = "src_table string, row_key bigint, origin string, field string, chars bigint, bytes bigint, ending string, signs array<string>, places array<int>, last string"
+_ARROW = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int32()), pa.string())
 
 _MARK = re.compile(r"\s*(?:\[(?:truncated|cut|snip|more|continued|\.\.\.|…)\]|\((?:truncated|cut|more|continued|snip)\)|<(?:truncated|cut|snip)>|…\s*(?:\[more\]|\(more\)|read more)?|\.\.\.\s*(?:\[more\]|\(more\)|read more)?)\s*$", re.I)
 _CLOSERS = re.compile(r"(?:[\s\"'”’»)\]*_]|</[A-Za-z][A-Za-z0-9]*>)+$")
@@ -53,9 +55,7 @@ def ending(text: str) -> tuple[str, int]:
         return MARKED, m.start()
     if "```" in text and len(_FENCE.findall(text)) % 2:
         return OPEN, len(text)
-    if "# file:" in text and (at := text.rfind("# file:")) >= 0 and (at == 0 or text[at - 1] == "\n") and "# end of file" not in text[at:]:
-        return OPEN, len(text)
-    if body.endswith("```") or body.endswith("# end of file"):
+    if body.endswith("```"):
         return FULL, len(text)
     last = body[body.rfind("\n") + 1 :][-2000:]
     if body[-1] in _STOP:
@@ -66,6 +66,18 @@ def ending(text: str) -> tuple[str, int]:
     return (LISTED if text[-1] == body[-1] and _LISTED.match(last) else PROSE), len(text)
 
 
+#: A line that begins with signs: these and the words after them, up to a colon or anything else.
+_SIGN = re.compile(r"^[^\w\s\"'(\[{},;.]{1,5} ?[A-Za-z_]+(?: [A-Za-z_]+){0,3}(?![A-Za-z_]):?", re.M)
+
+
+def signs(text: str) -> tuple[dict[str, int], str | None]:
+    """The signed lines of a text, each with the place where it stands last, and the one that is the last line whole."""
+    found = {m.group(): m.start() for m in _SIGN.finditer(text)}
+    end = text.rstrip()
+    last = end[end.rfind("\n") + 1 :]
+    return found, last if last in found else None
+
+
 def json_cut(value: str) -> bool | None:
     """None: whole JSON. True: it ends inside a string or structure. False: broken in another way."""
     try:
@@ -111,7 +123,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if table == "envelope":
                     cut = json_cut(text)
                     if cut is not None:
-                        out.append((table, key, origin, "value", len(text), len(text.encode("utf-8", "replace")), OPEN if cut else FULL))
+                        out.append((table, key, origin, "value", len(text), len(text.encode("utf-8", "replace")), OPEN if cut else FULL, [], [], None))
                         continue
                     value = json.loads(text)
                     fields = list(_envelope_texts(value)) if isinstance(value, dict) else []
@@ -119,10 +131,10 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     fields = [("input", text)]
                 for field, own in fields:
                     how, chars = ending(own)
-                    out.append((table, key, origin, field, chars, len(own[:chars].encode("utf-8", "replace")), how))
+                    found, last = signs(own)
+                    out.append((table, key, origin, field, chars, len(own[:chars].encode("utf-8", "replace")), how, list(found), list(found.values()), last))
             if out:
-                types = (pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=[x.split(" ")[0] for x in FEATURES.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _ARROW)], names=[x.split(" ")[0] for x in FEATURES.split(", ")])
 
 
 def texts(envelope: DataFrame, distilled: DataFrame) -> DataFrame:
@@ -170,10 +182,9 @@ def limits_of(histogram: pd.DataFrame) -> pd.DataFrame:
     lengths, counts = h["length"].to_numpy(), h["n"].to_numpy()
     total, above = counts.sum(), counts.sum() - np.cumsum(counts)
     found = []
-    for i in np.flatnonzero(counts >= 5):
-        near = counts[(lengths < lengths[i]) & (lengths >= lengths[i] * 0.9)].sum() / max(lengths[i] * 0.1, 1)
-        if counts[i] < 8 * max(near, 0.25) or above[i] > 0.1 * counts[i]:
-            continue
+    upto = np.append(0, np.cumsum(counts))
+    near = (upto[:-1] - upto[np.searchsorted(lengths, lengths * 0.9)]) / np.maximum(lengths * 0.1, 1)
+    for i in np.flatnonzero((counts >= 5) & (counts >= 8 * np.maximum(near, 0.25)) & (above <= 0.1 * counts)):
         mean, deviation = censored_fit(lengths, counts, lengths[i])
         z = (math.log(lengths[i]) - mean) / deviation
         survive = _normal_tail(z)
@@ -209,19 +220,54 @@ def latent_classes(table: pd.DataFrame) -> pd.DataFrame:
     return table.assign(posterior=post)[["src_table", "origin", "field", "at_limit", "censored", "ending", "posterior"]]
 
 
+#: A closing line ends at least so many texts, and this share of all texts.
+LEAST_CLOSED, CLOSING_SHARE = 20, 0.002
+
+
+def learnt_blocks(rows: DataFrame) -> DataFrame:
+    """(opens, closes): the lines that open and close blocks, from the signed lines of all texts; at most 500 rows.
+
+    A closing line is the last of at least a 500th of all texts (so there are at most 500), and of three in ten that have
+    it. What opens its block stands before it in 19 of 20 texts that have it, and is closed by it in more than half of
+    the texts that have the opening line; of several such lines the one most often closed counts.
+    """
+    marked = rows.where("size(signs) > 0")
+    closing = (
+        marked.select(F.explode("signs").alias("closes"), "last")
+        .groupBy("closes")
+        .agg(F.count("*").alias("n_closes"), F.count_if(F.col("last") == F.col("closes")).alias("n_last"))
+        .join(F.broadcast(rows.agg(F.count("*").alias("n_texts"))))  # one row
+        .where((F.col("n_last") >= LEAST_CLOSED) & (F.col("n_last") >= F.col("n_texts") * CLOSING_SHARE) & (F.col("n_last") >= 0.3 * F.col("n_closes")))
+        .select("closes", "n_closes")
+    )
+    # Closing lines are at most 1 / CLOSING_SHARE = 500, so a text's lines meet only these.
+    own = F.arrays_zip("signs", "places")
+    met = marked.select(own.alias("own")).withColumn("c", F.explode("own")).join(F.broadcast(closing), F.col("c.signs") == F.col("closes"))
+    before = met.select("closes", "n_closes", F.explode(F.filter("own", lambda o: o["places"] < F.col("c.places"))).alias("o")).groupBy("closes", "n_closes", F.col("o.signs").alias("opens")).agg(F.count("*").alias("n_both"))
+    opened = marked.select(F.explode("signs").alias("opens")).groupBy("opens").agg(F.count("*").alias("n_opens"))
+    pairs = before.where("n_both >= 0.95 * n_closes").join(opened, "opens").where("n_both > 0.5 * n_opens")
+    return pairs.groupBy("closes").agg(F.max_by("opens", F.struct(F.col("n_both") / F.col("n_opens"), "opens")).alias("opens")).select("opens", "closes")
+
+
 def judged(envelope: DataFrame, distilled: DataFrame) -> DataFrame:
     """(src_table, row_key, origin, field, ending, at_limit, posterior) of each text of both tables.
 
-    Null and empty texts have no row; rows repeated whole are judged alike; either table may be empty.  Tables of
-    counts are at most as large as sources x fields x limits x endings (histograms: x distinct lengths, rounded above 65,536).
+    Null and empty texts have no row; rows repeated whole are judged alike; either table may be empty.  Tables of counts
+    have one row for each source, field, limit and ending, histograms one for each source, field and distinct length: no
+    more than the longest text has characters, however many texts there are.
     """
-    rows = materialise(spread(texts(envelope, distilled)).mapInArrow(_features, FEATURES), "truncation-features")
-    rounded = lambda c: F.when(F.col(c) <= EXACT, F.col(c)).otherwise(F.expr(f"bigint(pow(2.0D, floor(log2({c}) * 256) / 256))"))
-    units = rows.where("chars > 0").select("src_table", "origin", "field", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), rounded("chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), rounded("bytes").alias("length")))).alias("u")).select("src_table", "origin", "field", "u.unit", "u.length")
+    features = materialise(spread(texts(envelope, distilled)).mapInArrow(_features, FEATURES), "truncation-features")
+    blocks = F.broadcast(learnt_blocks(features).agg(F.collect_list(F.struct("opens", "closes")).alias("blocks")))  # one row of at most 500 pairs
+    place = lambda sign: F.element_at(F.concat("places", F.array(F.lit(-1))), F.when(F.array_contains("signs", sign), F.array_position("signs", sign).cast("int")).otherwise(-1))
+    is_open = F.exists("blocks", lambda b: F.array_contains("signs", b["opens"]) & (place(b["opens"]) > place(b["closes"])))
+    closed = F.col("last").isNotNull() & F.exists("blocks", lambda b: b["closes"] == F.col("last"))
+    settled = F.col("ending").isin(MARKED, BROKEN) | (F.size("signs") == 0)
+    rows = features.join(blocks).withColumn("ending", F.when(settled, F.col("ending")).when(is_open, OPEN).when(closed & (F.col("ending") != OPEN), FULL).otherwise(F.col("ending"))).drop("signs", "places", "last", "blocks")
+    units = rows.where("chars > 0").select("src_table", "origin", "field", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("length")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("length")))).alias("u")).select("src_table", "origin", "field", "u.unit", "u.length")
     histogram = units.groupBy("src_table", "origin", "field", "unit", "length").count().withColumnRenamed("count", "n")
     limits = histogram.groupBy("src_table", "origin", "field", "unit").applyInPandas(limits_of, "src_table string, origin string, field string, unit string, length bigint, censored double")
     limits = materialise(limits, "truncation-limits")
-    at = lambda unit: limits.where(F.col("unit") == unit).select("src_table", "origin", "field", rounded("length").alias(unit), F.col("censored").alias(f"by_{unit}"))
+    at = lambda unit: limits.where(F.col("unit") == unit).select("src_table", "origin", "field", F.col("length").alias(unit), F.col("censored").alias(f"by_{unit}"))
     placed = rows.join(at("chars"), ["src_table", "origin", "field", "chars"], "left").join(at("bytes"), ["src_table", "origin", "field", "bytes"], "left")
     placed = placed.withColumn("censored", F.greatest(F.coalesce("by_chars", F.lit(0.0)), F.coalesce("by_bytes", F.lit(0.0)))).withColumn("at_limit", F.col("censored") > 0)
     # Each limit is judged by its own censoring posterior; there are as many of these as candidate limits.
