@@ -116,20 +116,59 @@ def test_labels_come_from_structure(small):
     assert got["0 | Ruth Tovash | r@x.example"] == {(4, 15, "name"), (18, 29, "email")} and got["1 | NaN | q@x.example"] == {(10, 21, "email")}
 
 
-def test_held_out_accuracy():
-    """Table cells under a header, of rows that training (on sf0.1, which contains sf0.01) never saw, by exact span."""
+def held_out():
+    """Labelled lines of documents that training leaves out, which aren't among its lines either."""
     import pyarrow.parquet as pq
 
-    def lines(folder):
-        texts = pq.read_table(f"/root/testdata/{folder}/documents.parquet", columns=["text"]).column(0).to_pylist()
-        return {line: gold for text in texts for line, gold in pii_training.labelled(text or "") if gold and line[:1].isdigit()}
+    seen, _ = pii_training.sample("/root/testdata/sf0.1")
+    documents = pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["doc_id", "text"])
+    lines = {line: gold for doc_id, text in zip(*(c.to_pylist() for c in documents.columns)) if doc_id % pii_training.HELD_OUT == 0 for line, gold in pii_training.labelled(text or "") if gold}
+    return {line: gold for line, gold in lines.items() if line not in seen}
+
 
-    seen, unseen = lines("sf0.1"), lines("check_s")
+def test_held_out_accuracy():
+    """Table cells under a header, of documents that training never saw, by exact span."""
     right = wanted = found = 0
-    for line in unseen.keys() - seen.keys():
-        got = set(op.segment(line, F.weights))
-        right, wanted, found = right + len(got & unseen[line]), wanted + len(unseen[line]), found + len(got)
-    assert wanted > 3000 and right / wanted > 0.97 and right / found > 0.97
+    for line, gold in held_out().items():
+        if line[:1].isdigit():
+            got = set(op.segment(line, F.weights))
+            right, wanted, found = right + len(got & gold), wanted + len(gold), found + len(got)
+    assert wanted > 1000 and right / wanted > 0.97 and right / found > 0.97
+
+
+def test_names_outside_the_list():
+    """Held-out lines whose given names are replaced by names the list lacks."""
+    others = ["Zbigniew", "Anneliese", "Ngozi", "Thandiwe", "Xiomara", "Bogdan", "Sunniva", "Oisin"]
+    assert not set(others) & op.GIVEN
+    right = wanted = 0
+    for n, (line, gold) in enumerate(held_out().items()):
+        for a, b, kind in gold:
+            given = line[a:b].split(" ")[0]
+            if kind == "name" and given in op.GIVEN:
+                other = others[n % len(others)]
+                got = op.segment(line[:a] + other + line[a + len(given) :], F.weights)
+                wanted, right = wanted + 1, right + ((a, b + len(other) - len(given), kind) in got)
+    print(f"names outside the list: {right} of {wanted} found")
+    assert wanted > 500 and right / wanted > 0.8
+
+
+UNHEARD = [("Ask Zbigniew Brzezinski about it.", "Zbigniew Brzezinski"), ("We met Anneliese Okonkwo yesterday.", "Anneliese Okonkwo"), ("Contact Ngozi Adichie", "Ngozi Adichie"), ("Dr. Li", "Li"), ("Dr. Li is in", "Li")]
+
+
+@pytest.mark.parametrize("text,name", UNHEARD)
+def test_names_by_shape_and_context(text, name):
+    assert spans(text) == [(name, "name")]
+
+
+@pytest.mark.parametrize("text", ["The Amber Falcon corpus holds 27 recordings, the Western Osprey set only 29.", "We compare a Quick Sort with Simple Merge on the Falcon Creek station data.", "Total Sum, Item 7: call @cached first.", "ask the Silver Pine team"])
+def test_phrases_in_capitals_are_no_names(text):
+    assert F(text) == []
+
+
+def test_an_address_over_a_line_end():
+    assert spans("Ship to 12 Willowmere Terrace,\nKilmory, VT 00674 now") == [("12 Willowmere Terrace,\nKilmory, VT 00674", "address")]
+    assert spans("35 bis rue des Tilleuls\\n99227 Valmont\\n") == [("35 bis rue des Tilleuls\\n99227 Valmont", "address")]
+    assert [k for _, k in spans("11 Thistle Ave\n+44 20 7946 0766")] == ["address", "phone"] or [k for _, k in spans("11 Thistle Ave\n+44 20 7946 0766")] == ["phone"]
 
 
 def test_tables(spark):

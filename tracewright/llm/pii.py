@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -76,11 +77,22 @@ _IDS = [
     ("pass", re.compile(r"(?<![\w.\-])(?=[A-Z0-9]*\d)[A-Z][A-Z0-9]{7,8}(?![\w\-])")),
     ("digits", re.compile(r"(?<![\w.\-])\d{7,12}(?![\w\-]|\.\d)")),
 ]
-#: What every phone or identity number has.
+#: Where a phone or identity number may begin, from the beginnings of the forms above.
 _NUMBERLIKE = re.compile(
-    r"\+\d|00\d\d[ \-/]\d|\(\d{3}\) ?\d{3}|\d{3}[.\-]\d{3}[.\-]\d|0\d[ .]\d\d[ .]\d\d|0\d{2,4}[ \-/]\d{3}|[A-Z]{2} ?\d\d ?\d\d ?\d\d|\d{3}[ \-]\d\d[ \-]\d{4}"
-    r"|[12] ?\d\d ?\d\d ?(?:\d\d|2[AB]) ?\d{3}|\d\d \d{3} \d{3} \d{3}|\d{7}|[A-Z]{2}\d\d ?[A-Z0-9]{4}|(?<![\w.\-])[A-Z](?=[A-Z]{0,8}\d)[A-Z0-9]{7}"
+    r"\+\d|\(\d{3}\) ?\d{3}|(?<![\w.\-])(?:00\d\d[ \-/]\d|\d{3}[.\-]\d{3}[.\-]\d|0\d[ .]\d\d[ .]\d\d|0\d{2,4}[ \-/]\d{3}|[A-Z]{2} ?\d\d ?\d\d ?\d\d|\d{3}[ \-]\d\d[ \-]\d{4}"
+    r"|[12] ?\d\d ?\d\d ?(?:\d\d|2[AB]) ?\d{3}|\d\d \d{3} \d{3} \d{3}|\d{7}|[XYZ]-?\d{7}|[A-Z]{2}\d\d ?[A-Z0-9]{4}|[A-Z](?=[A-Z]{0,8}\d)[A-Z0-9]{7})"
 )
+_NUMBER_STARTS = re.compile(f"(?={_NUMBERLIKE.pattern})")
+_NUMBER_FORMS = [(n, k, r, kind) for n, (k, r, kind) in enumerate([(*f, PHONE) for f in _PHONES] + [(*f, ID) for f in _IDS])]
+_BY_LETTER = [f for f in _NUMBER_FORMS if f[1] in ("dni", "nino", "iban", "pass")]
+_BY_DIGIT = [f for f in _NUMBER_FORMS if f[1] not in ("plus", "area", "zeros", "pairs", "trunk", "nino", "iban", "pass")]
+_BY_ZERO = [f for f in _NUMBER_FORMS if f[1] not in ("plus", "area", "nino", "iban", "pass")]
+#: The forms that may begin with a character.
+_BEGINNING = {"+": [f for f in _NUMBER_FORMS if f[1] == "plus"], "(": [f for f in _NUMBER_FORMS if f[1] == "area"], "0": _BY_ZERO}
+_LETTERS = re.compile(r"[A-Za-z]{2}")
+_DIGIT = re.compile(r"\d")
+#: What every name and address has.
+_CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ'’]")
 _ID_LABEL = re.compile(r"(?:\b(?:SSN|CPF|CNPJ|DNI|NIE|NIF|NIR|NHS|PESEL|BSN|SIN|IBAN|CURP|NINO|NI number|NI no\.?|national insurance(?: number| no\.?)?|social security(?: number| no\.?)?|passport(?: number| no\.?)?|Reisepass(?:nummer)?|pasaporte|passeport|Steuer-?ID|Steuernummer|Steueridentifikationsnummer|tax id|ID(?: card)?(?: number| no\.?)|identity (?:card|number)(?: no\.?)?|Personalausweis(?:nummer)?|personnummer|codice fiscale|numéro de sécurité sociale|driver'?s licen[cs]e(?: no\.?)?)\s*(?:[:#=]|no\.?|nr\.?|is)?\s*[:#]?\s*)$", re.I)
 _PHONE_LABEL = re.compile(r"(?:\b(?:phone|tel|tél|telephone|telefon|telefone|teléfono|téléphone|mobile|mobil|cell|fax|call|text|ring|dial|whatsapp|sms|appeler(?: le| au)?|joignable au|erreichbar unter|unter|llamar(?: al)?|ligue(?: para)?|contact|or text)\.?\s*(?:no\.?|nr\.?|number)?\s*[:=]?\s*[\"'(]?\s*)$", re.I)
 
@@ -111,13 +123,26 @@ _TAILS = [
 ]
 _STREET = [(k, re.compile(rf"(?<![\w.\-/]){p}")) for k, p in _STREETS]
 _TAIL = [(k, re.compile(p)) for k, p in _TAILS]
+#: How a line begins that may end an address begun in the line before.
+_NEXT_LINE = re.compile(rf"(?:[A-Z]{{1,2}}-)?\d{{4,5}} {_CAP}|{_CAP}(?: {_CAP})?,? (?:{_STATE},? \d{{5}}|[A-Z]{{1,2}}\d[A-Z\d]? ?\d[A-Z]{{2}})(?!\w)")
 #: What every street has, from the same words as the forms above.
 _STREETLIKE = re.compile(rf" {_SUFFIX}(?![a-z])|{_GERMAN} \d| {_GERMAN_APART} \d|{_ROMANCE}[ A-ZÀ-ÖØ-Þ]| {_FRENCH}[ A-ZÀ-ÖØ-Þ]|Box \d")
 
+#: Words that take persons, before or after which a name may stand; and words of one kind that say the opposite.
+_CUES = set("ask asked met meet contact call email mail write told thank thanks dear hi hello attn cc colleague author owner reviewer maintainer person participant patient student supervisor advisor professor user signed".split())
+_LINKS = set("by from to with for and or of per via von par de por".split())
+_ARTICLES = set("the a an this that our their its der die das le la les el los las un une ein eine".split())
+_FOLLOWING = set("about and or to for in on at by with from of is was has had will would can could said says wrote writes wants asked asks who whose before after when if as but not yesterday today tomorrow now please via this that".split())
+#: Capitalised words at the beginning of sentences and lines that begin no name.
+_OPENERS = r"(?:The|This|That|These|Those|An?|In|On|At|For|From|With|And|Or|If|When|While|Run|See|Use|Call|Clone|Send|Ship|Thanks|Ask|Contact|Met|Meet|Email|Mail|Write|Tell|Dear|Hi|Hello|By|To|Please|We|You|They|He|She|It|As|But|Envie|Die|Der|Das|Le|La|Les|El|Los|Las|Um|Uma)"
+_OPEN = rf"(?<![\w\-])(?!{_OPENERS} )"
+_WORD_BEFORE = re.compile(r"([^\W\d_]+)[\s(:]*$")
+_WORD_AFTER = re.compile(r"\s+([^\W\d_]+)")
+
 _NAME_FORMS = [
-    ("full", re.compile(rf"(?<![\w\-]){_CAP}(?:-{_CAP})? {_FAMILY}(?![\w])")),
-    ("middle", re.compile(rf"(?<![\w\-]){_CAP}(?:-{_CAP})? (?:[A-Z]\. ?){{1,2}}{_FAMILY}(?![\w])")),
-    ("double", re.compile(rf"(?<![\w\-]){_CAP}(?:-{_CAP})? {_CAP} {_FAMILY}(?![\w])")),
+    ("full", re.compile(rf"{_OPEN}{_CAP}(?:-{_CAP})? {_FAMILY}(?![\w])")),
+    ("middle", re.compile(rf"{_OPEN}{_CAP}(?:-{_CAP})? (?:[A-Z]\. ?){{1,2}}{_FAMILY}(?![\w])")),
+    ("double", re.compile(rf"{_OPEN}{_CAP}(?:-{_CAP})? {_CAP} {_FAMILY}(?![\w])")),
     ("initials", re.compile(rf"(?<![\w.\-])(?:[A-Z]\. ?){{1,2}}{_FAMILY}(?![\w])")),
     ("comma", re.compile(rf"(?<![\w\-]){_FAMILY}, {_CAP}(?:-{_CAP})?(?: [A-Z]\.| {_CAP})?(?![\w])")),
     ("comma1", re.compile(rf"(?<![\w\-]){_FAMILY}, {_CAP}(?:-{_CAP})?(?![\w])")),
@@ -138,12 +163,13 @@ _CELL_AFTER = re.compile(r"\s*(?:$|[|,;]|\s{2}|\t)")
 _ROW = re.compile(r"^\s*(?:\[?\d+\]?)\s*(?:[|,;\t]|\s{2})")
 _COMMON = re.compile(
     # Words that begin or end capitalised phrases that are no names.
-    r"\b(?:The|This|That|These|A|An|In|On|At|For|From|With|And|Or|If|When|While|Run|See|Use|Call|Clone|Send|Ship|Thanks|Table|Row|Figure|Step|Main|Loop|Random|Forest|Naive|Bayes|Monte|Carlo|Traceback|Error|Warning|File|Data|Exercise|Section|Chapter|Ridge|Lasso|Northern|Southern|Eastern|Western|North|South|East|West|New|Lantern|Heron|Kestrel|Copper|Street|Road|Lane|Avenue|Drive|Court|Terrace|Way|Row|Flat|Apt|January|February|March|April|May|June|July|August|September|October|November|December|Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday|Calle|Rua|Via|Data|Set|Model|Network|Gradient|Descent|Support|Vector|Machine|Markov|Chain|Neural|Deep|Learning|Bayesian|Gaussian|Fourier|Transform|University|Institute|Laboratory|Lab|Museum|Project|Group|Team|Station|Corpus|Questions|Call|Contact|Author|Envie|Adresse|Die|Der|Das|Le|La|El|Los|Las|Um|Uma)\b"
+    r"\b(?:The|This|That|These|A(?!\.)|An|In|On|At|For|From|With|And|Or|If|When|While|Run|See|Use|Call|Clone|Send|Ship|Thanks|Table|Row|Figure|Step|Main|Loop|Random|Forest|Naive|Bayes|Monte|Carlo|Traceback|Error|Warning|File|Data|Exercise|Section|Chapter|Lasso|North|South|East|West|New|Street|Road|Lane|Avenue|Drive|Court|Terrace|Way|Row|Flat|Apt|January|February|March|April|May|June|July|August|September|October|November|December|Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday|Calle|Rua|Via|Data|Set|Model|Network|Gradient|Descent|Support|Vector|Machine|Markov|Chain|Neural|Deep|Learning|Bayesian|Gaussian|Fourier|Transform|University|Institute|Laboratory|Lab|Museum|Project|Group|Team|Station|Corpus|Questions|We|You|They|He|She|It|Our|Call|Contact|Author|Envie|Adresse|Die|Der|Das|Le|La|El|Los|Las|Um|Uma)\b"
 )
 
 
 def _luhnless(kind: str, digits: str, text: str) -> float:
-    """1 if the format's check digits hold, -1 if not, 0 where there are none."""
+    """1 if the format's check digits hold, -1 if not, 0 where there are none. Only check digits that hold are evidence: wrong
+    ones may be misspelt, and say nothing for the number."""
     d = [int(c) for c in digits]
     if kind == "cpf" and len(d) == 11:
         ok = all((sum(x * w for x, w in zip(d[:n], range(n + 1, 1, -1))) * 10 % 11 % 10) == d[n] for n in (9, 10))
@@ -160,8 +186,8 @@ def _luhnless(kind: str, digits: str, text: str) -> float:
 Candidate = tuple[int, int, str, dict[str, float]]
 
 
-def candidates(line: str) -> list[Candidate]:
-    """(start, end, type, features) of each candidate segment of a line."""
+def candidates(line: str, blind: bool = False) -> list[Candidate]:
+    """(start, end, type, features) of each candidate segment of a line; ``blind`` hides the list of given names."""
     out: list[Candidate] = []
     row = bool(_ROW.match(line))
 
@@ -185,35 +211,40 @@ def candidates(line: str) -> list[Candidate]:
             if "@" not in text and re.search(r"\sat\s", text) and not re.search(r"dot", text, re.I):
                 f["email:loose"] = 1.0
             add(a, b, EMAIL, f)
-    digits = sum(map(line.count, "0123456789"))
-    if digits and _NUMBERLIKE.search(line):
-        for form, pattern in _PHONES:
-            for m in pattern.finditer(line):
-                a, b = m.span()
-                n = sum(c.isdigit() for c in m.group())
-                if not 8 <= n <= 15:
+    digits = _DIGIT.search(line) is not None
+    upto: dict[int, int] = {}
+    for start in _NUMBER_STARTS.finditer(line) if digits else ():
+        at = start.start()
+        c = line[at]
+        for i, form, pattern, kind in _BEGINNING.get(c) or (_BY_DIGIT if c.isdigit() else _BY_LETTER):
+            if at < upto.get(i, 0) or not (m := pattern.match(line, at)):
+                continue
+            upto[i] = b = m.end()
+            text = m.group()
+            # Labels have letters, which columns of numbers don't.
+            worded = _LETTERS.search(line, max(0, at - 60), at) is not None
+            id_label = worded and _ID_LABEL.search(line, max(0, at - 60), at) is not None
+            phone_label = worded and _PHONE_LABEL.search(line, max(0, at - 40), at) is not None
+            f = {f"{'phone' if kind == PHONE else 'id'}:{form}": 1.0}
+            if kind == PHONE:
+                if not 8 <= sum(c.isdigit() for c in text) <= 15:
                     continue
-                f = {f"phone:{form}": 1.0}
-                if _PHONE_LABEL.search(line, max(0, a - 40), a):
+                if phone_label:
                     f["phone:label"] = 1.0
-                if _ID_LABEL.search(line, max(0, a - 60), a):
+                if id_label:
                     f["phone:idlabel"] = 1.0
-                add(a, b, PHONE, f)
-        for form, pattern in _IDS:
-            for m in pattern.finditer(line):
-                a, b = m.span()
-                text = m.group()
+            else:
                 if form == "digits" and len(text) == 11:
                     continue
-                f = {f"id:{form}": 1.0}
-                check = _luhnless(form, "".join(c for c in text if c.isdigit()), text)
-                if check:
-                    f["id:valid" if check > 0 else "id:invalid"] = 1.0
-                if _ID_LABEL.search(line, max(0, a - 60), a):
+                if _luhnless(form, "".join(c for c in text if c.isdigit()), text) > 0:
+                    f["id:valid"] = 1.0
+                if id_label:
                     f["id:label"] = 1.0
-                if _PHONE_LABEL.search(line, max(0, a - 40), a):
+                if phone_label:
                     f["id:phonelabel"] = 1.0
-                add(a, b, ID, f)
+            add(at, b, kind, f)
+    if not _CAPITAL.search(line):
+        return out
     if digits and _STREETLIKE.search(line):
         for form, pattern in _STREET:
             for m in pattern.finditer(line):
@@ -232,42 +263,45 @@ def candidates(line: str) -> list[Candidate]:
                     add(a, end, ADDRESS, f)
     if not _NAMELIKE.search(line):
         return out
-    named = _NAMED.search(line) is not None
-    labelled = row or _LABELLIKE.search(line) is not None
-    if named or labelled:
-        for form, pattern in _NAME_FORMS:
-            for m in pattern.finditer(line):
-                a, b = m.span()
-                text = m.group()
-                words = re.split(r"[ ,]+", text)
-                if _IS_TITLE.match(words[0]):
-                    continue
-                known = [w in GIVEN or w in _UPPER_GIVEN for w in words]
-                label = _NAME_LABEL.search(line, max(0, a - 30), a) is not None
-                cell = row and _CELL_BEFORE.search(line, max(0, a - 4), a) and _CELL_AFTER.match(line, b)
-                if not (any(known) or label or cell):
-                    continue
-                f = {f"name:{form}": 1.0}
-                where = {"full": 0, "middle": 0, "double": 0, "capslast": 0, "comma": 1, "comma1": 1, "caps": 1, "caps1": 1}.get(form)
-                if where is not None:
-                    f["name:given" if known[min(where, len(known) - 1)] else "name:unknown"] = 1.0
-                if form == "double" and not known[1]:
-                    f["name:oddmiddle"] = 1.0
-                if known[-1] and form in ("full", "middle", "double"):
-                    f["name:givenlast"] = 1.0
-                if form in ("comma", "caps") and len(words) > 2 and not (words[-1] in GIVEN or re.fullmatch(r"[A-Z]\.", words[-1])):
-                    f["name:oddmiddle"] = 1.0
-                if _COMMON.search(text):
-                    f["name:common"] = 1.0
-                if label:
-                    f["name:label"] = 1.0
-                if line.lstrip().startswith("#") and not label:
-                    f["name:heading"] = 1.0
-                if form.startswith("comma") and row and not cell:
-                    f["name:split"] = 1.0
-                if line[b : b + 1] == "-" or line[max(0, a - 1) : a] in ("-", "/", "_", "."):
-                    f["name:glued"] = 1.0
-                add(a, b, NAME, f)
+    for form, pattern in _NAME_FORMS:
+        for m in pattern.finditer(line):
+            a, b = m.span()
+            text = m.group()
+            words = re.split(r"[ ,]+", text)
+            if _IS_TITLE.match(words[0]):
+                continue
+            known = [not blind and (w in GIVEN or w in _UPPER_GIVEN) for w in words]
+            label = _NAME_LABEL.search(line, max(0, a - 30), a) is not None
+            cell = row and _CELL_BEFORE.search(line, max(0, a - 4), a) and _CELL_AFTER.match(line, b)
+            f = {f"name:{form}": 1.0}
+            where = {"full": 0, "middle": 0, "double": 0, "capslast": 0, "comma": 1, "comma1": 1, "caps": 1, "caps1": 1}.get(form)
+            if where is not None:
+                f["name:given" if known[min(where, len(known) - 1)] else "name:unknown"] = 1.0
+            if form == "double" and not known[1] and not blind:
+                f["name:oddmiddle"] = 1.0
+            if known[-1] and form in ("full", "middle", "double"):
+                f["name:givenlast"] = 1.0
+            if form in ("comma", "caps") and len(words) > 2 and not (known[-1] or blind or re.fullmatch(r"[A-Z]\.", words[-1])):
+                f["name:oddmiddle"] = 1.0
+            if _COMMON.search(text):
+                f["name:common"] = 1.0
+            if label:
+                f["name:label"] = 1.0
+            if not (any(known) or label or cell):
+                # Nothing but its shape and what stands around it speaks for this one.
+                f["name:unheard"] = 1.0
+                before, after = _WORD_BEFORE.search(line, max(0, a - 30), a), _WORD_AFTER.match(line, b)
+                word = before.group(1).lower() if before else ""
+                f["name:cue" if word in _CUES else "name:link" if word in _LINKS else "name:article" if word in _ARTICLES else "name:other"] = 1.0
+                if after and after.group(1)[0].islower() and after.group(1) not in _FOLLOWING:
+                    f["name:noun"] = 1.0
+            if line.lstrip().startswith("#") and not label:
+                f["name:heading"] = 1.0
+            if form.startswith("comma") and row and not cell:
+                f["name:split"] = 1.0
+            if line[b : b + 1] == "-" or line[max(0, a - 1) : a] in ("-", "/", "_", "."):
+                f["name:glued"] = 1.0
+            add(a, b, NAME, f)
     for m in _TITLED.finditer(line):
         a, b = m.span(1)
         f = {"name:titled": 1.0}
@@ -318,15 +352,16 @@ def segment(line: str, weights: dict[str, float]) -> list[tuple[int, int, str]]:
     return out[::-1]
 
 
-def fit(lines: list[tuple[str, set[tuple[int, int, str]]]], rounds: int = 60, rate: float = 0.5, decay: float = 1e-3) -> dict[str, float]:
+def fit(lines: list[tuple[str, set[tuple[int, int, str]]]], rounds: int = 60, rate: float = 0.5, decay: float = 1e-3, blind: int = 0) -> dict[str, float]:
     """Weights that maximise the penalised conditional likelihood of labelled lines [(line, {(start, end, type)})].
 
     Expected feature counts come from the forward-backward recursions over each line's lattice; steps are scaled by
-    past gradients.  The number of lines is bounded by the caller's sample.
+    past gradients.  The number of lines is bounded by the caller's sample.  One line of ``blind`` is learnt from without the
+    list of given names, as lines look whose names it lacks.
     """
     lattices = []
     for line, gold in lines:
-        found = sorted(candidates(line), key=lambda c: (c[1], -c[0]))
+        found = sorted(candidates(line, blind=blind > 0 and zlib.crc32(line.encode("utf-8", "replace")) % blind == 0), key=lambda c: (c[1], -c[0]))
         if found:
             lattices.append(([(c[0], c[1]) for c in found], [c[3] for c in found], [c[:3] in gold for c in found]))
     weights: dict[str, float] = {}
@@ -366,7 +401,6 @@ def fit(lines: list[tuple[str, set[tuple[int, int, str]]]], rounds: int = 60, ra
 
 # --- whole texts ----------------------------------------------------------------------------------------------------
 _LINES = re.compile(r"\n|\\n")
-_DIGIT = re.compile(r"\d")
 
 
 def maybe(line: str) -> bool:
@@ -387,32 +421,43 @@ class Finder:
 
     def line(self, line: str) -> tuple[tuple[int, int, str], ...]:
         plain = line.replace("\\t", "  ").replace('\\"', ' "') if "\\" in line else line
-        if not maybe(plain):
-            return ()
         return tuple(segment(plain, self.weights))
 
     def __call__(self, text: str | None) -> list[tuple[int, int, str]]:
         if not text:
             return []
         out: list[tuple[int, int, str]] = []
-        known, at = self.known, 0
-        if len(known) > self.REMEMBERED:
-            known.clear()
-        for whole in text.split("\n"):
-            inner = at
-            for part in whole.split("\\n") if "\\n" in whole else (whole,):
-                if len(part) > 3:
-                    found = known.get(part)
-                    if found is None:
-                        found = self.line(part)
-                        if len(part) < 400:
-                            known[part] = found
-                    for a, b, kind in found:
-                        out.append((inner + a, inner + b, kind))
-                inner += len(part) + 2
-            at += len(whole) + 1
+        if len(self.known) > self.REMEMBERED:
+            self.known.clear()
+        parts = [(part, 2 if last < n else 1) for whole in text.split("\n") for pieces in ((whole.split("\\n"),) if "\\n" in whole else ((whole,),)) for n in (len(pieces),) for last, part in enumerate(pieces, 1)]
+        at, taken = 0, 0
+        for i, (part, gap) in enumerate(parts):
+            if len(part) > 3:
+                found = self.remembered(part)
+                if i + 1 < len(parts) and _NEXT_LINE.match(parts[i + 1][0]) and _DIGIT.search(part):
+                    found = self.over_the_end(part, parts[i + 1][0], gap) or found
+                for a, b, kind in found:
+                    if at + a >= taken:
+                        out.append((at + a, at + b, kind))
+                        taken = at + b
+            at += len(part) + gap
         return out
 
+    def remembered(self, part: str) -> tuple[tuple[int, int, str], ...]:
+        found = self.known.get(part)
+        if found is None:
+            found = self.line(part)
+            if len(part) < 400:
+                self.known[part] = found
+        return found
+
+    def over_the_end(self, part: str, following: str, gap: int) -> list[tuple[int, int, str]]:
+        """A line's mentions where an address goes on in the next line; else none."""
+        found, end = self.line(f"{part} {following}"), len(part)
+        if not any(a < end < b and kind == ADDRESS for a, b, kind in found):
+            return []
+        return [(a, b if b <= end else b - 1 + gap, kind) for a, b, kind in found if a < end]
+
 
 def replaced(text: str | None, finder: Finder) -> str | None:
     """The text with each mention replaced by its type in brackets."""

@@ -2,65 +2,70 @@
 
 #: What training gave.
 TRAINED: dict[str, float] = {
-    "address:before": 0.878,
-    "address:before1": 0.878,
-    "address:bias": 0.573,
-    "address:cell": 1.694,
-    "address:english": 0.409,
-    "address:french": 0.399,
-    "address:german": 0.101,
-    "address:more": -1.504,
-    "address:none": -2.273,
-    "address:postcode": 1.508,
-    "address:romance": -0.037,
-    "address:state": 2.036,
-    "address:town": -1.43,
-    "address:townstate": -0.906,
-    "email:bias": 1.426,
-    "email:cell": 1.738,
-    "email:evading": 1.219,
-    "email:login": -3.812,
-    "email:plain": 1.267,
-    "id:cpf": 0.508,
-    "id:digits": -1.736,
-    "id:dni": 0.462,
-    "id:invalid": 1.07,
-    "id:label": 2.766,
-    "id:nino": 1.252,
-    "id:nir": 0.256,
-    "id:pass": 0.595,
-    "id:pesel": 0.295,
-    "id:ssn": 0.587,
-    "id:tax": 0.382,
-    "id:valid": 0.512,
-    "id_number:bias": -0.942,
-    "id_number:cell": -1.736,
-    "name:bias": 2.553,
-    "name:caps": 2.467,
-    "name:caps1": 2.336,
-    "name:cell": 1.072,
-    "name:comma": 5.762,
-    "name:comma1": 5.755,
-    "name:common": -1.435,
-    "name:double": 0.671,
-    "name:full": 0.484,
-    "name:given": 2.803,
-    "name:givenlast": -1.293,
-    "name:glued": -0.025,
-    "name:heading": -0.929,
-    "name:initials": -4.418,
-    "name:label": 3.867,
-    "name:middle": -0.663,
-    "name:oddmiddle": -0.759,
-    "name:titled": 0.56,
-    "name:unknown": -0.0,
-    "phone:area": 1.015,
-    "phone:bias": 1.188,
-    "phone:cell": 1.348,
-    "phone:label": -0.234,
-    "phone:pairs": -0.407,
-    "phone:plus": 1.46,
-    "phone:three": -0.726,
-    "phone:trunk": -0.452,
-    "phone:zeros": 0.831,
+    "address:before": 0.832,
+    "address:before1": 0.832,
+    "address:bias": 0.854,
+    "address:cell": 1.57,
+    "address:english": 0.901,
+    "address:french": 0.342,
+    "address:german": 0.087,
+    "address:more": -1.578,
+    "address:none": -2.363,
+    "address:postcode": 1.543,
+    "address:romance": 0.103,
+    "address:state": 2.008,
+    "address:town": -1.448,
+    "address:townstate": -0.86,
+    "email:bias": 1.445,
+    "email:cell": 1.722,
+    "email:evading": 1.227,
+    "email:login": -3.791,
+    "email:plain": 1.29,
+    "id:cpf": 0.918,
+    "id:digits": -1.768,
+    "id:dni": 0.405,
+    "id:label": 2.846,
+    "id:nino": 0.992,
+    "id:nir": 0.396,
+    "id:pass": 0.515,
+    "id:pesel": 0.537,
+    "id:ssn": 0.462,
+    "id:tax": 0.242,
+    "id:valid": 0.439,
+    "id_number:bias": -0.775,
+    "id_number:cell": -1.768,
+    "name:article": -1.867,
+    "name:bias": 2.815,
+    "name:caps": 2.344,
+    "name:caps1": 2.247,
+    "name:cell": 1.452,
+    "name:comma": 3.24,
+    "name:comma1": 3.231,
+    "name:common": -2.775,
+    "name:double": 0.819,
+    "name:full": 0.315,
+    "name:given": 2.713,
+    "name:givenlast": -0.821,
+    "name:glued": -0.096,
+    "name:heading": -0.79,
+    "name:initials": -3.917,
+    "name:label": 3.738,
+    "name:link": -0.58,
+    "name:middle": 0.643,
+    "name:noun": -1.847,
+    "name:oddmiddle": -0.605,
+    "name:other": -1.905,
+    "name:split": -0.834,
+    "name:titled": 0.5,
+    "name:unheard": -2.231,
+    "name:unknown": -0.544,
+    "phone:area": 1.071,
+    "phone:bias": 1.176,
+    "phone:cell": 1.318,
+    "phone:label": -0.169,
+    "phone:pairs": -0.279,
+    "phone:plus": 1.414,
+    "phone:three": -0.71,
+    "phone:trunk": -0.461,
+    "phone:zeros": 0.804,
 }
