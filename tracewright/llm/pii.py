@@ -130,7 +130,8 @@ _STREETLIKE = re.compile(rf" {_SUFFIX}(?![a-z])|{_GERMAN} \d| {_GERMAN_APART} \d
 
 #: Words that take persons, before or after which a name may stand; and words of one kind that say the opposite.
 _CUES = set("ask asked met meet contact call email mail write told thank thanks dear hi hello attn cc colleague author owner reviewer maintainer person participant patient student supervisor advisor professor user signed".split())
-_LINKS = set("by from to with for and or of per via von par de por".split())
+_AGENTS = set("by from to for per via von par de por".split())
+_JOINS = set("with and or of on in at".split())
 _ARTICLES = set("the a an this that our their its der die das le la les el los las un une ein eine".split())
 _FOLLOWING = set("about and or to for in on at by with from of is was has had will would can could said says wrote writes wants asked asks who whose before after when if as but not yesterday today tomorrow now please via this that".split())
 #: Capitalised words at the beginning of sentences and lines that begin no name.
@@ -151,6 +152,8 @@ _NAME_FORMS = [
     ("caps1", re.compile(rf"(?<![\w\-]){_ALLCAPS},? {_CAP}(?:-{_CAP})?(?![\w])")),
     ("capslast", re.compile(rf"(?<![\w\-]){_CAP}(?:-{_CAP})? {_ALLCAPS}(?![\w])")),
 ]
+#: Forms that are candidates without a known given name, label or cell; capitalised words joined by commas are lists mostly.
+_UNHEARD_FORMS = ("full", "middle", "double", "initials")
 _TITLED = re.compile(rf"(?<![\w]){_TITLE}\.? ({_FAMILY})(?![\w])")
 #: What every name has: capitals, particles, initials and commas as the forms above join them.
 _NAMELIKE = re.compile(rf"(?<!\w)[A-ZÀ-ÖØ-Þ](?:[\w'’\-]{{0,{LONGEST}}}+[.,]? |\.)(?:[A-Z]\. ?){{0,3}}{_PARTICLES}[A-ZÀ-ÖØ-Þ][\w'’.]")
@@ -270,29 +273,33 @@ def candidates(line: str, blind: bool = False) -> list[Candidate]:
             words = re.split(r"[ ,]+", text)
             if _IS_TITLE.match(words[0]):
                 continue
-            known = [not blind and (w in GIVEN or w in _UPPER_GIVEN) for w in words]
+            listed = [w in GIVEN or w in _UPPER_GIVEN for w in words]
+            known = [False] * len(words) if blind else listed
             label = _NAME_LABEL.search(line, max(0, a - 30), a) is not None
             cell = row and _CELL_BEFORE.search(line, max(0, a - 4), a) and _CELL_AFTER.match(line, b)
-            f = {f"name:{form}": 1.0}
+            unheard = not (any(known) or label or cell)
+            if unheard and form not in _UNHEARD_FORMS:
+                continue
+            f = {f"name:unheard:{form}" if unheard else f"name:{form}": 1.0}
             where = {"full": 0, "middle": 0, "double": 0, "capslast": 0, "comma": 1, "comma1": 1, "caps": 1, "caps1": 1}.get(form)
             if where is not None:
                 f["name:given" if known[min(where, len(known) - 1)] else "name:unknown"] = 1.0
-            if form == "double" and not known[1] and not blind:
+            if form == "double" and not listed[1]:
                 f["name:oddmiddle"] = 1.0
             if known[-1] and form in ("full", "middle", "double"):
                 f["name:givenlast"] = 1.0
-            if form in ("comma", "caps") and len(words) > 2 and not (known[-1] or blind or re.fullmatch(r"[A-Z]\.", words[-1])):
+            if form in ("comma", "caps") and len(words) > 2 and not (listed[-1] or re.fullmatch(r"[A-Z]\.", words[-1])):
                 f["name:oddmiddle"] = 1.0
             if _COMMON.search(text):
                 f["name:common"] = 1.0
             if label:
                 f["name:label"] = 1.0
-            if not (any(known) or label or cell):
+            if unheard:
                 # Nothing but its shape and what stands around it speaks for this one.
                 f["name:unheard"] = 1.0
                 before, after = _WORD_BEFORE.search(line, max(0, a - 30), a), _WORD_AFTER.match(line, b)
                 word = before.group(1).lower() if before else ""
-                f["name:cue" if word in _CUES else "name:link" if word in _LINKS else "name:article" if word in _ARTICLES else "name:other"] = 1.0
+                f["name:cue" if word in _CUES else "name:agent" if word in _AGENTS else "name:join" if word in _JOINS else "name:article" if word in _ARTICLES else "name:other"] = 1.0
                 if after and after.group(1)[0].islower() and after.group(1) not in _FOLLOWING:
                     f["name:noun"] = 1.0
             if line.lstrip().startswith("#") and not label:

@@ -2,20 +2,20 @@
 
 #: What training gave.
 TRAINED: dict[str, float] = {
-    "address:before": 0.832,
-    "address:before1": 0.832,
-    "address:bias": 0.854,
-    "address:cell": 1.57,
-    "address:english": 0.901,
-    "address:french": 0.342,
-    "address:german": 0.087,
-    "address:more": -1.578,
-    "address:none": -2.363,
-    "address:postcode": 1.543,
-    "address:romance": 0.103,
-    "address:state": 2.008,
-    "address:town": -1.448,
-    "address:townstate": -0.86,
+    "address:before": 0.879,
+    "address:before1": 0.879,
+    "address:bias": 0.661,
+    "address:cell": 1.617,
+    "address:english": 0.555,
+    "address:french": 0.371,
+    "address:german": 0.118,
+    "address:more": -1.542,
+    "address:none": -2.332,
+    "address:postcode": 1.433,
+    "address:romance": 0.158,
+    "address:state": 2.003,
+    "address:town": -1.449,
+    "address:townstate": -0.89,
     "email:bias": 1.445,
     "email:cell": 1.722,
     "email:evading": 1.227,
@@ -34,31 +34,35 @@ TRAINED: dict[str, float] = {
     "id:valid": 0.439,
     "id_number:bias": -0.775,
     "id_number:cell": -1.768,
-    "name:article": -1.867,
-    "name:bias": 2.815,
-    "name:caps": 2.344,
-    "name:caps1": 2.247,
-    "name:cell": 1.452,
-    "name:comma": 3.24,
-    "name:comma1": 3.231,
-    "name:common": -2.775,
-    "name:double": 0.819,
-    "name:full": 0.315,
-    "name:given": 2.713,
-    "name:givenlast": -0.821,
-    "name:glued": -0.096,
-    "name:heading": -0.79,
-    "name:initials": -3.917,
-    "name:label": 3.738,
-    "name:link": -0.58,
-    "name:middle": 0.643,
-    "name:noun": -1.847,
-    "name:oddmiddle": -0.605,
-    "name:other": -1.905,
-    "name:split": -0.834,
-    "name:titled": 0.5,
-    "name:unheard": -2.231,
-    "name:unknown": -0.544,
+    "name:agent": -0.015,
+    "name:article": -1.833,
+    "name:bias": 2.684,
+    "name:caps": 2.176,
+    "name:caps1": 2.094,
+    "name:cell": 1.133,
+    "name:comma": 5.67,
+    "name:comma1": 5.657,
+    "name:common": -1.95,
+    "name:double": 0.901,
+    "name:full": 0.553,
+    "name:given": 2.723,
+    "name:givenlast": -0.965,
+    "name:glued": -0.029,
+    "name:heading": -0.714,
+    "name:initials": -4.167,
+    "name:join": -0.842,
+    "name:label": 3.76,
+    "name:middle": 0.248,
+    "name:noun": -1.865,
+    "name:oddmiddle": -0.572,
+    "name:other": -0.874,
+    "name:titled": 0.541,
+    "name:unheard": -1.682,
+    "name:unheard:double": -0.0,
+    "name:unheard:full": -1.726,
+    "name:unheard:initials": -0.294,
+    "name:unheard:middle": 0.243,
+    "name:unknown": 1.146,
     "phone:area": 1.071,
     "phone:bias": 1.176,
     "phone:cell": 1.318,
