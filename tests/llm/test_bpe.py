@@ -106,6 +106,32 @@ def test_shares_are_met_and_repeats_capped(spark):
     assert sorted(map(tuple, m.collect())) == sorted(map(tuple, mixture(spark, rows, targets).collect()))
 
 
+@pytest.mark.parametrize("edge", [20_000, 40, 3])
+def test_cut_ranges_give_what_sorting_everything_gives(spark, monkeypatch, edge):
+    """Against drawing from one sorted list: the same documents before the last range, and budgets met."""
+    monkeypatch.setattr(mixing, "EDGE", edge)
+    monkeypatch.setattr(mixing, "BINS", 16)
+    rng = random.Random(5)
+    rows = [(i, " ".join(["word"] * rng.randrange(1, 12)), rng.choice("ab"), None, 0) for i in range(900)] + [(7777, "some words", "a", None, 0)] * 200
+    docs = spark.createDataFrame(rows, SCHEMA)
+    targets = spark.createDataFrame([("a", 0.3, 2), ("b", 0.7, 2)], TARGETS)
+    keyed = mixing.weighed(docs, targets).toPandas().sort_values(["sort_key", "doc_id"])
+    m = mixing.mixed(docs, targets, total=3000).toPandas()
+    for source, budget in (("a", 900), ("b", 2100)):
+        own = keyed[keyed.source == source]
+        upto = own.n_tokens.cumsum()
+        used = m[m.source == source]
+        assert abs((used.n_tokens * used.repeats).sum() - budget) <= (1 if edge > 1000 else 6)  # half a document of the range at most
+        certain = own[upto <= budget - (300 if edge > 1000 else 60)]
+        assert set(certain.doc_id) <= set(used.doc_id)
+
+
+def test_more_targets_than_are_broadcast_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "TARGETS", 1)
+    with pytest.raises(ValueError):
+        mixture(spark, [(1, "a", "s", None, 0)], [("s", 0.5, 1), ("t", 0.5, 1)])
+
+
 def test_weights_are_followed(spark):
     """Dense prose is drawn before dumps that compress badly."""
     rows = [(i, "plain english words stand here " * 4, "s", None, 0) for i in range(200)] + [(1000 + i, "x9Q" + "!#@8" * 30, "s", None, 0) for i in range(200)]
