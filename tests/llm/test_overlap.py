@@ -89,6 +89,59 @@ def test_near_copies_are_met_however_many_there_are(spark):
     assert all(got(spark, [e], [tr[t - 1001]]) for _, t in meet[:3])
 
 
+def changed(rng, words, n):
+    """The words with n edits: replaced, removed, or another put before."""
+    out = list(words)
+    for i in sorted(rng.sample(range(len(words)), n), reverse=True):
+        kind = rng.randrange(3)
+        out[i : i + 1] = [f"new{rng.randrange(10**9)}"] if kind == 0 else [] if kind == 1 else [f"new{rng.randrange(10**9)}", out[i]]
+    return out
+
+
+def test_recall_by_length(spark):
+    """Records of 1 to 200 words with up to a fifth of them edited at random places: the share of true pairs that is found."""
+    rng = random.Random(21)
+    ev, tr = [], []
+    for n in [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 15, 20, 25, 30, 39, 45, 60, 100, 200]:
+        for _ in range(40):
+            words = sentence(rng, n, 10**6).split()
+            ev.append(" ".join(words))
+            tr.append(" ".join([*sentence(rng, 3, 10**6).split(), *changed(rng, words, rng.randrange(op.spare_words(n) + 1)), *sentence(rng, 3, 10**6).split()]))
+    found = set(got(spark, ev, tr))
+    true = [(1 + i, 1001 + i) for i, (a, b) in enumerate(zip(ev, tr)) if op.share_in_order(op.words_of(a), op.words_of(b)) >= 0.8 - 1e-9]
+    short = [p for p in true if len(ev[p[0] - 1].split()) < op.SHORT]
+    assert len(true) > 750 and found >= set(short)
+    assert len(found & set(true)) / len(true) > 0.995
+
+
+def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
+    rng = random.Random(8)
+    ev = [sentence(rng, rng.randrange(8, 60)) for _ in range(50)]
+    tr = [" ".join(changed(rng, e.split(), 1)) for e in ev] + [sentence(rng, 30) for _ in range(50)]
+    first = got(spark, ev, tr)
+    monkeypatch.setattr(op, "FULL", -1.0)
+    assert got(spark, ev, tr) == first == brute(ev, tr)
+
+
+def test_runs_of_one_word_count_whole(spark):
+    e = "start " + "la " * 900 + "end of it"
+    [r] = op.same_records(frame(spark, [e], 1), frame(spark, [e + " more"], 1001)).collect()
+    assert r.share_in_order == 1.0 and r.overlap > 0.85
+
+
+def test_classes_hold_copies_once(spark):
+    ev, tr = frame(spark, ["alpha beta gamma delta"] * 3, 1), frame(spark, ["alpha beta gamma delta"] * 20 + ["Alpha, beta gamma delta!", "alpha beta gamma delta more"], 1001)
+    found, e, t = op.same_classes(ev, tr)
+    assert sorted((r.e_id, r.t_id, r.share) for r in found.collect()) == [(1, 1001, 1.0), (1, 1022, 1.0)]
+    assert e.count() == 3 and t.groupBy("class_id").count().orderBy("class_id").collect()[0]["count"] == 21
+    assert op.same_records(ev, tr).count() == 66
+
+
+def test_fractions(spark):
+    ev, tr = frame(spark, ["alpha beta gamma delta", "none of this", None], 1), frame(spark, ["alpha beta gamma delta"], 1001)
+    assert [tuple(r) for r in op.fractions(op.same_records(ev, tr), ev).collect()] == [("test", 3, 1, pytest.approx(1 / 3), pytest.approx(1 / 3))]
+
+
 def test_edges(spark):
     assert got(spark, [None, "", "...", "one two three"], [None, "", "!", "one two three"]) == [(4, 1004)]
     assert got(spark, [], ["a"]) == [] and got(spark, ["a"], []) == []

@@ -27,10 +27,21 @@ def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_pairs(spark, sf_dir).select("eval_row_id", "train_row_id")
 
 
+def p1_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of classes of equal texts with the number of rows on each side, for tables in which copies abound."""
+    found, ev, tr = overlap.same_classes(_evaluation(spark, sf_dir), _training(spark, sf_dir))
+    rows = lambda members, key, name: members.groupBy(F.col("class_id").alias(key)).agg(F.count("*").alias(name))
+    return found.join(rows(ev, "e_id", "eval_rows"), "e_id").join(rows(tr, "t_id", "train_rows"), "t_id")
+
+
 def p1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.by_split_and_source(p1_pairs(spark, sf_dir), _evaluation(spark, sf_dir), _training(spark, sf_dir))
 
 
+def p1_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlap.fractions(p1_pairs(spark, sf_dir), _evaluation(spark, sf_dir))
+
+
 def _coded(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return table(spark, sf_dir, "envelope"), table(spark, sf_dir, "stage0_distilled")
 
@@ -71,5 +82,5 @@ def p8_placeholders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.with_placeholders(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p1_report, p3_found, p3_report, p4_found, p4_masked, p6_ids, p7_mix, p7_shares, p8_found, p8_placeholders)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_pairs, p1_classes, p1_report, p1_fractions, p3_found, p3_report, p4_found, p4_masked, p6_ids, p7_mix, p7_shares, p8_found, p8_placeholders)}
 ORACLES: dict[str, str] = {}
