@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -64,8 +65,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     _WRITTEN.append(path)
+    schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    forget(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
+def forget(spark: SparkSession) -> None:
+    """Lets executors delete the shuffle files of jobs that are over. Spark does so only once the driver's collector has met
+    what refers to them, which in a large heap is long after."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
 
 
 def spread(df: DataFrame) -> DataFrame:
