@@ -95,12 +95,13 @@ class Chunker:
         chunks, _, counts, bits = self.counted(records)
         return chunks, counts, bits
 
-    def counted(self, records: list[list[str]], wanted_keys: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def counted(self, records: list[list[str]], wanted_keys: np.ndarray | None = None, short: bool = True) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(distinct chunks of one record after another, how often it has each, number of chunks of each record, bitmaps of
         words as 4 numbers a record).
 
         Evaluation records have the pairs and words by which short ones are looked up among their chunks; training records,
-        for which the bitmap of ``wanted_keys`` is given, whatever of their chunks, pairs and words is in it.
+        for which the bitmap of ``wanted_keys`` is given, whatever of their chunks, pairs and words is in it. Without ``short``
+        there are no pairs and words.
         """
         sizes = np.fromiter(map(len, records), np.int64, len(records))
         h = self.hashes([w for words in records for w in words])
@@ -127,12 +128,12 @@ class Chunker:
                 digest *= np.uint64(0x94D049BB133111EB)
                 chunks.append(((digest & ~np.uint64(0xFF)) | np.uint64(way << 7) | np.minimum(lengths, 127).astype(np.uint64)).view(np.int64))
             of.append(owner[starts])
-        pairs, words = self.short_keys(h, first)
-        if wanted_keys is None:
+        pairs, words = self.short_keys(h, first) if short else (None, None)
+        if short and wanted_keys is None:
             at = self.looked_up(records, first)
             chunks.append(np.where(at < 0, words[~at], pairs[at]))
             of.append(owner[np.where(at < 0, ~at, at)])
-        else:
+        elif short:
             chunks += [pairs, words]
             of += [owner, owner]
         chunks, of = np.concatenate(chunks), np.concatenate(of)
@@ -212,7 +213,7 @@ def _powers(base: np.ndarray, exponent: np.ndarray) -> np.ndarray:
 CHUNKED = "row_id bigint, class binary, n_words int, chunks array<bigint>, times array<int>, b0 bigint, b1 bigint, b2 bigint, b3 bigint"
 
 
-def _chunk(batches: Iterator[pa.RecordBatch], wanted_keys: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+def _chunk(batches: Iterator[pa.RecordBatch], wanted_keys: np.ndarray | None = None, short: bool = True) -> Iterator[pa.RecordBatch]:
     chunker = Chunker()
     for batch in batches:
         for at in range(0, batch.num_rows, 1000):
@@ -226,7 +227,7 @@ def _chunk(batches: Iterator[pa.RecordBatch], wanted_keys: np.ndarray | None = N
                     records.append(words)
             if not ids:
                 continue
-            chunks, times, counts, bits = chunker.counted(records, wanted_keys)
+            chunks, times, counts, bits = chunker.counted(records, wanted_keys, short)
             places = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
             lists, repeats = pa.ListArray.from_arrays(places, pa.array(chunks)), pa.ListArray.from_arrays(places, pa.array(times.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
@@ -235,11 +236,11 @@ def _chunk(batches: Iterator[pa.RecordBatch], wanted_keys: np.ndarray | None = N
             )
 
 
-def chunked(records: DataFrame, wanted_keys: bytes | None = None) -> DataFrame:
+def chunked(records: DataFrame, wanted_keys: bytes | None = None, short: bool = True) -> DataFrame:
     """(row_id, class, n_words, chunks, bitmap in four columns) of each record (row_id, text) that has words."""
 
     def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _chunk(batches, None if wanted_keys is None else np.frombuffer(wanted_keys, np.uint8))
+        return _chunk(batches, None if wanted_keys is None else np.frombuffer(wanted_keys, np.uint8), short)
 
     return spread(records.select("row_id", "text").where("row_id is not null and text is not null")).mapInArrow(chunk, CHUNKED)
 
@@ -363,7 +364,8 @@ def same_classes(evaluation: DataFrame, training: DataFrame) -> tuple[DataFrame,
     missing = F.floor(F.col("n_words") * (1 - SAME) + 1e-9).cast("bigint")
     ev_chunks = ev_firsts.select(entries, missing.alias("m"), F.col("row_id").alias("id"), *bits).select(F.col("c.chunks").alias("chunk"), (F.col("m") + F.shiftleft(F.col("c.times").cast("bigint"), 32)).alias("spare"), "id", *bits)
     wanted_keys, full = key_filter(ev_chunks)
-    tr = materialise(chunked(training, wanted_keys), "overlap-train")
+    any_short = ev.where(F.col("n_words") < SHORT).limit(1).count() > 0
+    tr = materialise(chunked(training, wanted_keys, any_short), "overlap-train")
     tr_firsts = _first_of_class(tr)
     columns = [F.col("c.chunks").alias("chunk"), (-F.col("c.times").cast("bigint")).alias("spare"), "id"]
     if full <= FULL:
@@ -382,7 +384,7 @@ def same_classes(evaluation: DataFrame, training: DataFrame) -> tuple[DataFrame,
         .agg(F.greatest(F.sum(F.when(F.col("way"), F.col("words")).otherwise(0)), F.sum(F.when(F.col("way"), 0).otherwise(F.col("words")))).alias("shared_words")),
         "overlap-candidates",
     )
-    texts = lambda df, key, name: df.select(F.col("row_id").alias(key), F.col("text").alias(name)).dropDuplicates([key])
+    texts = lambda df, key, name: df.select(F.col("row_id").alias(key), F.col("text").alias(name)).where(f"{key} is not null")
     settled = (
         pairs.join(texts(training, "t_id", "t_text"), "t_id")
         .join(texts(evaluation, "e_id", "e_text"), "e_id")
@@ -390,7 +392,7 @@ def same_classes(evaluation: DataFrame, training: DataFrame) -> tuple[DataFrame,
         .mapInArrow(_settle, "e_id bigint, t_id bigint, shared_words bigint, share double")
     )
     sizes = ev.select(F.col("row_id").alias("e_id"), "n_words").dropDuplicates(["e_id"])
-    found = materialise(settled.join(sizes, "e_id").select("e_id", "t_id", (F.col("shared_words") / F.col("n_words")).alias("overlap"), "share"), "overlap-pairs")
+    found = materialise(settled.join(sizes, "e_id").select("e_id", "t_id", (F.col("shared_words") / F.col("n_words")).alias("overlap"), "share").dropDuplicates(["e_id", "t_id"]), "overlap-pairs")
     members = lambda rows: rows.select("class", "row_id").distinct().join(rows.groupBy("class").agg(F.min("row_id").alias("class_id")), "class").select("class_id", "row_id")
     return found, members(ev), members(tr)
 
