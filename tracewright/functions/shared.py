@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import atexit
-import gc
 import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,18 +66,22 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
     _WRITTEN.append(path)
-    schema = df.schema
-    df.write.option("compression", "zstd").parquet(path)
-    del df
-    forget(spark)
-    return spark.read.schema(schema).parquet(path)
-
-
-def forget(spark: SparkSession) -> None:
-    """Lets executors delete the shuffle files of jobs that are over. Spark does so only once the driver's collector has met
-    what refers to them, which in a large heap is long after."""
-    gc.collect()
-    spark.sparkContext._jvm.java.lang.System.gc()
+    with tidy(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Has Spark delete the shuffle files of what is run inside as soon as it is over. What is run must end in something
+    durable, as a written table: nothing else may read these shuffles."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, None)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
 
 
 def spread(df: DataFrame) -> DataFrame:
