@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.functions.shared import materialise, spread
+from tracewright.functions.shared import materialise, spread, tidy
 
 #: Words a chunk has at least, and words after these until the cut, on average.
 LEAST_CHUNK = 3
@@ -248,7 +248,8 @@ def chunked(records: DataFrame, wanted_keys: bytes | None = None, short: bool =
 def key_filter(chunks: DataFrame) -> tuple[bytes, float]:
     """(bitmap of the first bits of all chunks, how full it is); it has FILTER_BITS bits whatever the data."""
     place = F.shiftrightunsigned("chunk", 64 - FILTER_BITS.bit_length() + 1) + 1
-    rows = chunks.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()  # at most FILTER_BITS / 32768 rows of 4 kB
+    with tidy(chunks.sparkSession):
+        rows = chunks.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")).collect()  # at most FILTER_BITS / 32768 rows of 4 kB
     out = np.zeros(FILTER_BITS // 8, np.uint8)
     for row in rows:
         out[(row.bucket - 1) * 4096 : row.bucket * 4096] = np.frombuffer(row.bits, np.uint8)
@@ -363,7 +364,7 @@ def same_classes(evaluation: DataFrame, training: DataFrame) -> tuple[DataFrame,
     entries = F.explode(F.arrays_zip("chunks", "times")).alias("c")
     missing = F.floor(F.col("n_words") * (1 - SAME) + 1e-9).cast("bigint")
     ev_chunks = ev_firsts.select(entries, missing.alias("m"), F.col("row_id").alias("id"), *bits).select(F.col("c.chunks").alias("chunk"), (F.col("m") + F.shiftleft(F.col("c.times").cast("bigint"), 32)).alias("spare"), "id", *bits)
-    wanted_keys, full = key_filter(ev_chunks)
+    wanted_keys, full = key_filter(ev.select(F.explode("chunks").alias("chunk")))
     any_short = ev.where(F.col("n_words") < SHORT).limit(1).count() > 0
     tr = materialise(chunked(training, wanted_keys, any_short), "overlap-train")
     tr_firsts = _first_of_class(tr)
