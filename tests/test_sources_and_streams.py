@@ -94,3 +94,84 @@ def test_counters(spark):
     assert r.l.five == 1.5 and (r.p.pid, r.p.name, r.p.state, r.p.utime, r.p.stime) == (42, "a b) c", "S", 11, 12)
     gpu = spark.createDataFrame([("0, RTX, 5 %, 100 MiB, 200 MiB\n1, RTX, [N/A], 1, 2\nshort\n",)], "value string")
     assert [tuple(x) for x in counters.accelerator_rows(gpu).collect()] == [(0, "RTX", 5.0, 100.0, 200.0), (1, "RTX", None, 1.0, 2.0)]
+
+
+def spool_lines(spark, root, **options):
+    reader = spark.read.format("spool").option("path", root)
+    for k, v in options.items():
+        reader = reader.option(k, str(v))
+    return sorted((r.rel_path, r.byte_offset, r.raw) for r in reader.load().collect())
+
+
+@pytest.mark.parametrize("split", [1, 7, 64, 1000])
+def test_files_are_split_without_losing_lines(spark, tmp_path, split):
+    spark.dataSource.register(SpoolSource)
+    data = b"".join(b"x" * n + b"\n" for n in (1, 5, 0, 30, 2, 100, 7, 1)) + b"tail"
+    write(f"{tmp_path}/a.ndjson", data)
+    write(f"{tmp_path}/_hidden/b.ndjson", b"no\n")
+    assert spool_lines(spark, str(tmp_path), split_bytes=split, excluded="_hidden") == spool_lines(spark, str(tmp_path), excluded="_hidden")
+    assert len(spool_lines(spark, str(tmp_path), split_bytes=split, excluded="_hidden")) == 7
+
+
+def test_admission_takes_whole_lines_within_bounds(tmp_path):
+    from tracewright.sources.spool import SpoolStreamReader
+
+    write(f"{tmp_path}/in/a.ndjson", b"12345678\n" * 5)
+    write(f"{tmp_path}/in/b.ndjson", b"abc\n" * 4)
+    reader = SpoolStreamReader({"path": f"{tmp_path}/in", "trigger_bytes": "20", "progress": f"{tmp_path}/progress.json"})
+    start, batches = reader.initialOffset(), []
+    while (end := reader.latestOffset()) != start:
+        lines = [r for p in reader.partitions(start, end) for r in reader.read(p)]
+        batches.append((sum(r[3] for r in lines), len(lines)))
+        start = end
+    assert sum(n for _, n in batches) == 9 and all(size <= 20 for size, _ in batches) and len(batches) >= 4
+    # One line that is larger than the bound is still taken, and a reader begun anew goes on from the noted offset.
+    write(f"{tmp_path}/in/c.ndjson", b"y" * 100 + b"\n" + b"z\n")
+    again = SpoolStreamReader({"path": f"{tmp_path}/in", "trigger_bytes": "20", "progress": f"{tmp_path}/progress.json"})
+    end = again.latestOffset()
+    assert end["c.ndjson"] == 101 and again.latestOffset()["c.ndjson"] == 103
+    by_lines = SpoolStreamReader({"path": f"{tmp_path}/in", "trigger_lines": "3"})
+    by_lines.initialOffset()
+    assert by_lines.latestOffset() == {"a.ndjson": 27} and by_lines.latestOffset() == {"a.ndjson": 45, "b.ndjson": 4}
+
+
+def test_replayed_file_resumes(spark):
+    lines = spark.createDataFrame([(i, envelope(i)) for i in range(5)], "place bigint, value string")
+    point = captures.resume_point({}, 5)
+    first, after = captures.mock_batch(lines, 5, point, 3)
+    again, _ = captures.mock_batch(lines, 5, point, 3)
+    assert sorted(r.id for r in first.collect()) == sorted(r.id for r in again.collect()) and after["cursor"] == 3
+    rest, end = captures.mock_batch(lines, 5, captures.resume_point({"committed": 3}, 5), 10)
+    assert sorted(r.offset for r in rest.collect()) == [3, 4] and end["cursor"] == 5
+    assert captures.mock_batch(lines, 5, end, 10)[0].count() == 0
+    looped, p = captures.mock_batch(lines, 5, captures.resume_point({"committed": 4, "cycle": 0, "cursor": 4}, 5, loop=True), 7, loop=True)
+    assert sorted((r.cycle, r.offset) for r in looped.collect()) == [(0, 4), *((1, i) for i in range(5)), (2, 0)] and (p["cycle"], p["cursor"]) == (2, 1)
+    assert captures.mock_batch(lines, 5, captures.resume_point({}, 5, loop=True), 100, loop=True, max_cycles=2)[0].count() == 10
+    assert captures.resume_point({"committed": 4}, 5, "first")["cursor"] == 0 and captures.resume_point({"committed": 1}, 5, start_offset=9)["cursor"] == 5
+
+
+def test_ingestion_orders_by_arrival_and_has_a_retry_ceiling(spark, tmp_path):
+    root = str(tmp_path)
+    df = spark.createDataFrame([("z", 5, envelope(1)), ("a", 0, envelope(1)), ("b", 0, envelope(2))], "rel_path string, byte_offset bigint, raw string").coalesce(1)
+    ingest.handle(df, 0, root)
+    kept = {r.record_id: r.rel_path for r in ingest.read_accepted(spark, root).collect()}
+    assert kept == {"r1": "z", "r2": "b"}  # the one that came first, not the one whose name sorts first
+    late = spark.createDataFrame([("c", 0, envelope(3), 6), ("c", 1, envelope(4), 2), ("c", 2, envelope(1), 9)], "rel_path string, byte_offset bigint, raw string, attempts int")
+    ingest.handle(late, 1, root)
+    dlq = spark.read.schema("reason string, attempts int, byte_offset bigint, batch_id bigint").parquet(f"{root}/dlq").collect()
+    assert [(r.reason, r.attempts, r.byte_offset) for r in dlq] == [("retry_ceiling", 6, 0)]
+    for _ in range(6):  # a batch whose runs fail and fail again
+        ingest.handle(df.limit(1).selectExpr("rel_path", "byte_offset", "replace(raw, 'r1', 'r7') as raw"), 2, root)
+    assert ingest.runs_of(spark, root, 2) == 7
+    assert {r.reason for r in spark.read.schema("reason string, batch_id bigint").parquet(f"{root}/dlq").where("batch_id = 2").collect()} == {"retry_ceiling"}
+    assert ingest.accepted_before(spark, root, 5).count() == 3 and ingest.accepted_before(spark, root, 5, remember=1).count() == 0
+
+
+def test_run_bounds(spark, tmp_path):
+    rate = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 10).load()
+    query = rate.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/c").trigger(processingTime="100 milliseconds").start()
+    assert ingest.run_until(query, max_records=30, every=0.1) == "records" and not query.isActive
+    assert ingest.lag(query)["rows"] == 10
+    write(f"{tmp_path}/in/a.ndjson", b"{}\n")
+    still = spark.readStream.format("spool").option("path", f"{tmp_path}/in").load().writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/d").trigger(processingTime="100 milliseconds").start()
+    assert ingest.run_until(still, idle_seconds=4, every=0.2) == "idle"

@@ -35,9 +35,9 @@ def _done(frame: Frame, mode: str = "append") -> Frame:
 
 @query("SELECT seq_no, id FROM (SELECT seq_no, id, row_number() OVER (PARTITION BY id ORDER BY seq_no) AS nth FROM delivery WHERE rel_path IS NOT NULL) WHERE nth = 1")
 def t3_stream_dedup(spark: Spark, d: str) -> Frame:
-    # The window is longer than any file here has keys, so the first delivery of each id remains.
-    rows = _stream(spark, d, "delivery", ["rel_path", "seq_no", "id"]).where("rel_path is not null")
-    return _done(stateful.bounded_dedup(rows, "rel_path", "seq_no", "id", 1_000_000)).select("seq_no", "id")
+    # Every key is remembered, each in the group of its hash.
+    rows = stateful.spread_by_key(_stream(spark, d, "delivery", ["rel_path", "seq_no", "id"]).where("rel_path is not null"), "id", 32)
+    return _done(stateful.bounded_dedup(rows, "_group", "seq_no", "id", None)).select("seq_no", "id")
 
 
 @query()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tracewright.functions.text import canonical_text, matches_suffix
 
@@ -48,32 +49,67 @@ def started(lines: DataFrame, offset: int | None = None, first: bool = False, co
     return lines.where(F.col("byte_offset") >= at)
 
 
+@F.pandas_udf(StringType())
+def _marked(value: pd.Series, cycle: pd.Series) -> pd.Series:
+    import hashlib
+    import json
+
+    out = []
+    for v, c in zip(value, cycle):
+        try:
+            body = json.loads(v) if v is not None and c else None
+        except ValueError:
+            body = None
+        if isinstance(body, dict):
+            body["loop_cycle"] = int(c)
+            text = json.dumps(body, ensure_ascii=False)
+            body["content_sha256"] = hashlib.sha256(canonical_text(text, "content_sha256").encode("utf-8", "surrogatepass")).hexdigest()
+            v = canonical_text(json.dumps(body, ensure_ascii=False))
+        out.append(v)
+    return pd.Series(out)
+
+
+def resume_point(state: dict, lines: int, start_position: str = "new", start_offset: int | None = None, loop: bool = False) -> dict:
+    """{committed, cycle, cursor}: where a replayed file goes on. ``first`` passes over what was saved; a given offset wins over
+    the saved one; nothing lies beyond the end. Without a loop the cursor is what was committed."""
+    committed, cycle, cursor = 0, 0, None
+    if start_position != "first":
+        committed = int(state.get("committed", 0))
+        if loop:
+            cycle, cursor = int(state.get("cycle", 0)), state.get("cursor")
+        if start_offset is not None:
+            committed, cursor = start_offset, start_offset
+    committed = min(committed, lines)
+    return {"committed": committed, "cycle": cycle, "cursor": min(committed if cursor is None or not loop else int(cursor), lines)}
+
+
+def mock_batch(lines: DataFrame, total: int, point: dict, most: int, loop: bool = False, max_cycles: int = 0) -> tuple[DataFrame, dict]:
+    """(deliveries, the point after them): the next ``most`` lines (place, value) of a file of ``total`` lines from a point on.
+
+    A loop begins anew at the end, until ``max_cycles`` (0: for ever); from the second cycle on lines carry their cycle.
+    Deliveries have (offset, cycle, id, value); ids are made of place and content, so they stay the same on redelivery.
+    Commit the point once the batch is durable: until then it is delivered again."""
+    cycle, cursor, left, spans = point["cycle"], point["cursor"], most, []
+    while left and total:
+        if cursor >= total:
+            if not loop or max_cycles and cycle + 1 >= max_cycles:
+                break
+            cycle, cursor = cycle + 1, 0
+        n = min(left, total - cursor)
+        spans.append((cycle, cursor, cursor + n))
+        cursor, left = cursor + n, left - n
+    wanted = lines.sparkSession.createDataFrame(spans, "cycle int, lo bigint, hi bigint")  # one row a cycle that is touched
+    rows = lines.join(F.broadcast(wanted), (F.col("place") >= F.col("lo")) & (F.col("place") < F.col("hi"))).select("place", "value", "cycle")
+    sent = rows.withColumn("value", _marked("value", "cycle"))
+    ident = F.concat(F.lit("mock-"), F.col("place").cast("string"), F.lit("-"), F.substring(F.sha2("value", 256), 1, 12))
+    return sent.select(F.col("place").alias("offset"), "cycle", ident.alias("id"), "value"), {"committed": point["committed"], "cycle": cycle, "cursor": cursor}
+
+
 def looped(lines: DataFrame, cycles: int) -> DataFrame:
     """The lines replayed ``cycles`` times; from the second on each carries ``loop_cycle`` and a new content hash, so its
     key differs. Lines are multiplied in place by an array of cycles."""
-
-
-    @F.pandas_udf("string")
-    def marked(value: pd.Series, cycle: pd.Series) -> pd.Series:
-        import hashlib
-        import json
-
-        out = []
-        for v, c in zip(value, cycle):
-            try:
-                body = json.loads(v) if v is not None and c else None
-            except ValueError:
-                body = None
-            if isinstance(body, dict):
-                body["loop_cycle"] = int(c)
-                text = json.dumps(body, ensure_ascii=False)
-                body["content_sha256"] = hashlib.sha256(canonical_text(text, "content_sha256").encode("utf-8", "surrogatepass")).hexdigest()
-                v = canonical_text(json.dumps(body, ensure_ascii=False))
-            out.append(v)
-        return pd.Series(out)
-
     rows = lines.withColumn("cycle", F.explode(F.sequence(F.lit(0), F.lit(cycles - 1))))
-    return rows.withColumn("value", marked("value", "cycle"))
+    return rows.withColumn("value", _marked("value", "cycle"))
 
 
 def disturbed(lines: DataFrame, order: list[str], duplicate_every: int = 0, poison_every: int = 0, oversize_every: int = 0, size: int = 1 << 20) -> DataFrame:
