@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.functions.ordering import running_sum
+
 
 def finite(c: Column) -> Column:
     """The value where it is finite, else null: NaN and infinities never enter an aggregate."""
@@ -16,12 +18,11 @@ def finite(c: Column) -> Column:
 def at_ranks(frame: DataFrame, key: str, value: str, ranks: Callable[[Column], list[Column]]) -> DataFrame:
     """(key, v0, v1, ...): the finite values of a key at given ranks (from 0) of their order, computed from its number n.
 
-    Equal values are counted before anything is shuffled and running counts find the ranks, so no group is collected
-    into an array, however many rows a key has."""
+    Equal values are counted before anything is shuffled; running counts over range partitions find the ranks, so no task
+    sorts or holds a key, however many rows and distinct values it has."""
     counts = frame.select(key, finite(F.col(value)).alias("_v")).where("_v is not null").groupBy(key, "_v").agg(F.count("*").alias("_c"))
     sizes = counts.groupBy(key).agg(F.sum("_c").alias("_n"))
-    upto = F.sum("_c").over(Window.partitionBy(key).orderBy("_v"))
-    placed = counts.withColumn("_to", upto).join(sizes, key)
+    placed = running_sum(counts, [key], ["_v"], "_to", "_c").join(sizes, key)
     found = [F.min(F.when(F.col("_to") > r, F.col("_v"))).alias(f"v{i}") for i, r in enumerate(ranks(F.col("_n")))]
     return placed.groupBy(key).agg(F.max("_n").alias("_n"), *found)
 

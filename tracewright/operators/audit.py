@@ -56,6 +56,11 @@ def provenance(records: DataFrame, key: str, text: str) -> DataFrame:
     return records.select(key, F.sha2(canonical_json(text), 256).alias("canonical_sha256"), F.octet_length(text).alias("bytes"))
 
 
+def manifest(records: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, text_sha256, chars): what a subset holds, by hashes and lengths; no text."""
+    return records.select(key, F.sha2(text, 256).alias("text_sha256"), F.length(text).alias("chars"))
+
+
 def training_output(entities: Column, classifications: Column, provenance_: Column) -> Column:
     """A teacher's output in the form training reads: true labels always a list, empty parts as empty, provenance kept."""
     none = F.array().cast("array<string>")

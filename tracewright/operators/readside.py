@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewright.functions.ordering import running_sum
 from tracewright.functions.shared import materialise
 from tracewright.functions.text import micros
 
@@ -40,6 +41,26 @@ def since(frame: DataFrame, seq: int, most: int = 400) -> DataFrame:
     return frame.orderBy(F.col("seq").desc()).limit(most).where(F.col("seq") > seq).orderBy("seq")
 
 
+def not_seen(frame: DataFrame, seen: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys a ledger doesn't have; rows with a null key are never in it. The ledger is made distinct first."""
+    return frame.join(seen.select(*keys).distinct(), keys, "left_anti")
+
+
+def deltas(frame: DataFrame, time: str, *keys: str) -> DataFrame:
+    """(second, keys, n, total): what came in each second and how much that makes, for a feed of a snapshot and its changes."""
+    per = frame.groupBy(F.date_trunc("second", time).alias("second"), *keys).agg(F.count("*").alias("n"))
+    return running_sum(per, list(keys), ["second"], "total", "n")
+
+
+def replayed_from(frame: DataFrame, time: str, start) -> DataFrame:
+    """Deliveries from a time on, in the order they came; the filter reaches the scan."""
+    return frame.where(F.col(time) >= F.lit(start))
+
+
+def records_per_generation(real: Column, generation: Column) -> Column:
+    return F.round(real / F.greatest(F.lit(1), generation), 6)
+
+
 def prefix_lookup(digests: DataFrame, ledger: DataFrame, width: int = 12) -> DataFrame:
     """The newest generation whose digest begins with each given prefix: an equi-join on the shared width, not a theta-join."""
     short = ledger.withColumn("_p", F.substring("digest", 1, width)).groupBy("_p").agg(F.max("generation").alias("generation"), F.max_by("digest", "generation").alias("digest"))

@@ -74,13 +74,13 @@ def proj26_span_sets(spark: Spark, d: str) -> Frame:
     return table(spark, d, "stage0_heldout").where("labels is not null").select("row_id", F.size(shaping.span_set(F.flatten(F.map_values("labels")))).alias("n_spans"))
 
 
-_PRED = "p AS (SELECT row_id, coalesce(labels['technology'], []) AS gold, list_filter(coalesce(labels['technology'], []), lambda x: instr(substr(text, 1, 300), x) > 0) AS pred, coalesce(labels['tool'], []) AS other FROM stage0_heldout WHERE text IS NOT NULL), q AS (SELECT row_id, list_distinct(gold) AS gold, list_distinct(list_concat(pred, other[1:1])) AS pred FROM p)"
+_PRED = "p AS (SELECT row_id, coalesce(labels['technology'], []) AS gold, list_filter(coalesce(labels['technology'], []), lambda x: instr(text, x) % 3 <> 0) AS pred, coalesce(labels['tool'], []) AS other FROM stage0_heldout WHERE text IS NOT NULL), q AS (SELECT row_id, list_distinct(gold) AS gold, list_distinct(list_concat(pred, other[1:1])) AS pred FROM p)"
 
 
 def _predicted(spark: Spark, d: str) -> Frame:
     none = F.array().cast("array<string>")
     gold = F.coalesce(F.try_element_at("labels", F.lit("technology")), none)
-    seen = F.filter(gold, lambda x: F.instr(F.substring("text", 1, 300), x) > 0)
+    seen = F.filter(gold, lambda x: F.instr(F.col("text"), x) % 3 != 0)
     other = F.slice(F.coalesce(F.try_element_at("labels", F.lit("tool")), none), 1, 1)
     return table(spark, d, "stage0_heldout").where("text is not null").select("row_id", "split", F.array_distinct(gold).alias("gold"), F.array_distinct(F.concat(seen, other)).alias("pred"))
 
@@ -208,9 +208,11 @@ def f11_trainable(spark: Spark, d: str) -> Frame:
     return table(spark, d, "events").select("event_id", routing.trainable(F.col("event_id") % 5 == 0, admission).alias("trainable"))
 
 
-@query("WITH t AS (SELECT event_id AS seq FROM events ORDER BY event_id DESC LIMIT 400) SELECT seq FROM t WHERE seq > 9700 ORDER BY seq")
+@query("WITH t AS (SELECT event_id AS seq FROM events ORDER BY event_id DESC LIMIT 400) SELECT seq FROM t WHERE seq > (SELECT max(event_id) FROM events WHERE event_type = 'error') - 300 ORDER BY seq")
 def f21_since_cursor(spark: Spark, d: str) -> Frame:
-    return readside.since(table(spark, d, "events").select(F.col("event_id").alias("seq")), 9700)
+    e = table(spark, d, "events")
+    cursor = e.where("event_type = 'error'").agg(F.max("event_id").alias("m")).first().m - 300  # where a reader left off
+    return readside.since(e.select(F.col("event_id").alias("seq")), cursor)
 
 
 @query(f"WITH {_DEC} SELECT event_id, event_type = CASE WHEN value > 40 THEN 'click' ELSE 'view' END AS hit FROM d")
@@ -288,20 +290,17 @@ def w10_hash_chain(spark: Spark, d: str) -> Frame:
 
 @query("SELECT event_id, 500 + row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS seq FROM events")
 def w11_resumed_numbers(spark: Spark, d: str) -> Frame:
-    return table(spark, d, "events").select("event_id", (F.lit(500) + F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))).cast("bigint").alias("seq"))
+    return ordered.resumed_numbers(table(spark, d, "events").select("user_id", "event_id"), "user_id", ["event_id"], 500).select("event_id", "seq")
 
 
 @query("WITH n AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS step FROM events) SELECT user_id, event_id, step FROM n WHERE step % 10 = 0")
 def w12_cadence(spark: Spark, d: str) -> Frame:
-    step = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")).cast("bigint")
-    return table(spark, d, "events").select("user_id", "event_id", step.alias("step")).where("step % 10 = 0")
+    return ordered.cadence(table(spark, d, "events").select("user_id", "event_id"), "user_id", ["event_id"], 10)
 
 
 @query("WITH n AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS consumed FROM events) SELECT user_id, floor(consumed / 20)::BIGINT AS publish_no, min(event_id) AS event_id FROM n WHERE consumed >= 20 GROUP BY ALL")
 def w13_publishes(spark: Spark, d: str) -> Frame:
-    n = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id"))
-    rows = table(spark, d, "events").select("user_id", "event_id", n.alias("consumed")).where("consumed >= 20")
-    return rows.groupBy("user_id", F.floor(F.col("consumed") / 20).alias("publish_no")).agg(F.min("event_id").alias("event_id"))
+    return ordered.publishes(table(spark, d, "events").select("user_id", "event_id"), "user_id", "event_id", 20)
 
 
 @query("WITH n AS (SELECT user_id, event_id, floor((row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1) / 4)::BIGINT AS batch_no FROM events) SELECT user_id, batch_no, count(*) AS n, min(event_id) AS first_id, max(event_id) AS last_id FROM n GROUP BY ALL HAVING count(*) = 4")
@@ -352,9 +351,10 @@ def t15_gaps(spark: Spark, d: str) -> Frame:
     return table(spark, d, "events").select("event_id", (gap / 1e6).alias("gap_seconds")).where("gap_seconds > 36000")
 
 
-@query("SELECT event_type, count(*) AS n FROM events WHERE event_id > 9000 GROUP BY event_type")
+@query("WITH s AS (SELECT date_trunc('second', ts)::TIMESTAMP AS second, event_type, count(*) AS n FROM events GROUP BY ALL) SELECT second, event_type, n, sum(n) OVER (PARTITION BY event_type ORDER BY second)::BIGINT AS total FROM s")
 def t16_deltas(spark: Spark, d: str) -> Frame:
-    return table(spark, d, "events").where("event_id > 9000").groupBy("event_type").agg(F.count("*").alias("n"))
+    rows = readside.deltas(table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type")
+    return rows.withColumn("second", F.col("second").cast("timestamp_ntz"))
 
 
 # --- statistics --------------------------------------------------------------------------------------------------------
@@ -383,8 +383,7 @@ def a17_percentile_soak(spark: Spark, d: str) -> Frame:
 
 @query("WITH r AS (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS back FROM events) SELECT user_id, round(avg(value), 6) AS mean_recent FROM r WHERE back <= 50 GROUP BY user_id")
 def a18_recent_mean(spark: Spark, d: str) -> Frame:
-    back = F.row_number().over(Window.partitionBy("user_id").orderBy(F.col("event_id").desc()))
-    return table(spark, d, "events").withColumn("back", back).where("back <= 50").groupBy("user_id").agg(F.round(F.avg("value"), 6).alias("mean_recent"))
+    return ordered.recent_mean(table(spark, d, "events"), "user_id", "event_id", "value")
 
 
 @query("SELECT max(event_id) AS event_id, max(user_id) AS user_id, max(value) AS value FROM events")
@@ -421,7 +420,7 @@ def a27_norm(spark: Spark, d: str) -> Frame:
 
 @query("SELECT round(count(*) FILTER (event_id % 5 <> 0) / greatest(1, max(user_id)), 6) AS records_per_generation FROM events")
 def a8_records_per_generation(spark: Spark, d: str) -> Frame:
-    return table(spark, d, "events").agg(F.round(F.count_if(F.col("event_id") % 5 != 0) / F.greatest(F.lit(1), F.max("user_id")), 6).alias("records_per_generation"))
+    return table(spark, d, "events").agg(readside.records_per_generation(F.count_if(F.col("event_id") % 5 != 0), F.max("user_id")).alias("records_per_generation"))
 
 
 # --- read side ---------------------------------------------------------------------------------------------------------
@@ -443,6 +442,14 @@ def f15_newest_deployable(spark: Spark, d: str) -> Frame:
     return readside.newest_deployable(ledger.where("false"), ledger)
 
 
+@query("SELECT event_id AS generation, sha256('m' || event_id) AS digest FROM events WHERE event_type = 'purchase' ORDER BY event_id DESC LIMIT 1")
+def f15_manifest_first(spark: Spark, d: str) -> Frame:
+    e = table(spark, d, "events")
+    ledger = e.select(F.col("event_id").alias("generation"), F.sha2(F.col("event_id").cast("string"), 256).alias("digest"))
+    manifests = e.select(F.col("event_id").alias("generation"), F.when(F.col("event_type") == "purchase", F.sha2(F.concat(F.lit("m"), F.col("event_id").cast("string")), 256)).alias("digest"))
+    return readside.newest_deployable(manifests, ledger)
+
+
 @query("WITH l AS (SELECT event_id AS generation, sha256(user_id::VARCHAR) AS digest FROM events) SELECT user_id, max(generation) AS generation FROM (SELECT DISTINCT user_id, substr(sha256(user_id::VARCHAR), 1, 12) AS prefix FROM events) u JOIN l ON starts_with(l.digest, u.prefix) GROUP BY user_id")
 def j4_prefix_lookup(spark: Spark, d: str) -> Frame:
     e = table(spark, d, "events")

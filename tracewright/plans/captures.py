@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewright.functions.shared import table
 from tracewright.functions.text import redact
-from tracewright.operators import capture, envelopes, landing, ordered, reporting
+from tracewright.operators import audit, capture, envelopes, landing, ordered, promotion, readside, reporting
 from tracewright.plans.registry import query
 from tracewright.sources import captures
 
@@ -76,7 +78,9 @@ def s11_replay(spark: Spark, d: str) -> Frame:
     return captures.looped(table(spark, d, "envelope").select("seq_no", "value"), 2).where("cycle > 0")
 
 
-@query()
+@query(f"""WITH {_LINES}, n AS (SELECT rel_path, byte_offset, raw, row_number() OVER (PARTITION BY rel_path ORDER BY byte_offset) AS n FROM lines),
+f AS (SELECT rel_path, byte_offset, n, CASE WHEN n % 7 = 0 THEN substr(rpad(raw, 4096, 'x'), 1, 4096) WHEN n % 5 = 0 THEN '{{"envelope_version": 1, "record_id":' ELSE raw END AS raw FROM n)
+SELECT rel_path, byte_offset, raw, unnest(CASE WHEN n % 3 = 0 THEN [1, 2] ELSE [1] END)::INT AS copy_no FROM f""")
 def s12_faults(spark: Spark, d: str) -> Frame:
     return captures.disturbed(_lines(spark, d).select("rel_path", "byte_offset", "raw"), ["byte_offset"], 3, 5, 7, 4096)
 
@@ -88,7 +92,8 @@ def s24_generated(spark: Spark, d: str) -> Frame:
 
 @query("SELECT seq_no, delivered_at::TIMESTAMP AS delivered_at FROM delivery WHERE delivered_at >= TIMESTAMPTZ '2026-08-03 06:00:00+00' ORDER BY seq_no")
 def t8_replay_from_time(spark: Spark, d: str) -> Frame:
-    return table(spark, d, "delivery").where("delivered_at >= timestamp'2026-08-03 06:00:00'").select("seq_no", F.col("delivered_at").cast("timestamp_ntz").alias("delivered_at"))
+    rows = readside.replayed_from(table(spark, d, "delivery"), "delivered_at", datetime.datetime(2026, 8, 3, 6, tzinfo=datetime.UTC))
+    return rows.select("seq_no", F.col("delivered_at").cast("timestamp_ntz").alias("delivered_at"))
 
 
 @query(f"WITH {_LINES} SELECT rel_path, byte_offset, floor((row_number() OVER (PARTITION BY rel_path ORDER BY byte_offset) - 1) / 16)::BIGINT AS round FROM lines")
@@ -99,7 +104,7 @@ def l12_interleaved(spark: Spark, d: str) -> Frame:
 @query("SELECT rel_path, row_number() OVER (ORDER BY rel_path) AS place FROM (SELECT DISTINCT rel_path FROM raw_capture WHERE rel_path IS NOT NULL)")
 def l4_path_order(spark: Spark, d: str) -> Frame:
     files = table(spark, d, "raw_capture").where("rel_path is not null").select("rel_path").distinct()
-    return files.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("rel_path")).cast("bigint"))
+    return captures.path_order(files)
 
 
 @query("SELECT rel_path, byte_offset, 'raw-' || substr(sha256(rel_path || '#' || byte_offset), 1, 32) AS record_id, sha256(raw || chr(10)) AS line_sha256 FROM raw_capture")
@@ -204,8 +209,7 @@ def proj13_training_examples(spark: Spark, d: str) -> Frame:
 
 @query("SELECT seq_no, CASE WHEN attempts > 5 THEN 'retry_ceiling' END AS reason, count(*) OVER (PARTITION BY id ORDER BY seq_no) AS nth FROM delivery")
 def w20_retry_ceiling(spark: Spark, d: str) -> Frame:
-    nth = F.count("*").over(Window.partitionBy("id").orderBy("seq_no"))
-    return table(spark, d, "delivery").select("seq_no", F.when(F.col("attempts") > 5, "retry_ceiling").alias("reason"), nth.alias("nth"))
+    return ordered.delivery_attempts(table(spark, d, "delivery").select("id", "seq_no", "attempts"), "id", "seq_no").select("seq_no", "reason", "nth")
 
 
 _ROUTES = """v AS (SELECT seq_no, CASE WHEN record_id IS NULL OR record_id = '' THEN 'missing_record_id' WHEN content_sha256 IS NULL OR NOT regexp_matches(content_sha256, '^[0-9a-fA-F]{64}$') THEN 'invalid_content_sha256' END AS reason, CASE WHEN record_id <> '' AND content_sha256 <> '' THEN record_id || '|' || lower(content_sha256) END AS key FROM envelope),
@@ -266,7 +270,7 @@ def k2_dead_letters(spark: Spark, d: str) -> Frame:
 
 @query("SELECT seq_no, sha256(value) AS text_sha256, length(value)::INT AS chars FROM envelope")
 def k8_manifest(spark: Spark, d: str) -> Frame:
-    return table(spark, d, "envelope").select("seq_no", F.sha2("value", 256).alias("text_sha256"), F.length("value").alias("chars"))
+    return audit.manifest(table(spark, d, "envelope"), "seq_no", "value")
 
 
 @query(f"WITH {_FILES} SELECT sum(committed)::BIGINT AS committed, sum(greatest(0, size - committed))::BIGINT AS backlog FROM files")
@@ -281,11 +285,13 @@ def j5_files_with_cursors(spark: Spark, d: str) -> Frame:
     return files.drop("committed").join(saved, "rel_path", "left").fillna(0, ["committed"])
 
 
-@query("SELECT e.seq_no FROM envelope e WHERE NOT EXISTS (SELECT 1 FROM envelope s WHERE s.seq_no < 1000 AND s.record_id = e.record_id AND s.content_sha256 = e.content_sha256)")
+@query("""WITH k AS (SELECT e.*, d.batch_id, max(d.batch_id) OVER () AS newest FROM envelope e JOIN delivery d USING (seq_no))
+SELECT seq_no FROM k WHERE batch_id = newest AND NOT EXISTS (SELECT 1 FROM k s WHERE s.batch_id < s.newest AND s.record_id = k.record_id AND s.content_sha256 = k.content_sha256)""")
 def j2_not_seen(spark: Spark, d: str) -> Frame:
-    e = table(spark, d, "envelope")
-    seen = e.where("seq_no < 1000").select("record_id", "content_sha256").distinct()
-    return e.join(seen, ["record_id", "content_sha256"], "left_anti").select("seq_no")
+    """What the newest batch brings that no earlier one had."""
+    delivered = table(spark, d, "delivery").select("seq_no", "batch_id")
+    rows = table(spark, d, "envelope").select("seq_no", "record_id", "content_sha256").join(delivered, "seq_no").join(F.broadcast(table(spark, d, "envelope").select("seq_no").join(delivered, "seq_no").agg(F.max("batch_id").alias("newest"))))  # one row
+    return readside.not_seen(rows.where("batch_id = newest"), rows.where("batch_id < newest"), ["record_id", "content_sha256"]).select("seq_no")
 
 
 @query("SELECT seq_no FROM envelope WHERE observed_model.model_id IN ('orin-7b', 'orin-7b-chat', 'tern-code-3')")
@@ -330,21 +336,32 @@ def w18_first_of_key(spark: Spark, d: str) -> Frame:
     return ordered.first_of_key(table(spark, d, "delivery").select("id", F.col("seq_no").alias("first_seq_no")), "id", "first_seq_no")
 
 
-@query()
+@query("SELECT row_id FROM (SELECT row_id, row_number() OVER (PARTITION BY source.name, sha256(input) ORDER BY row_id) AS nth FROM stage0_distilled WHERE input IS NOT NULL) WHERE nth = 1")
+def w18_pair_window(spark: Spark, d: str) -> Frame:
+    """Pair inputs new to their source's window of the last 200,000; the SQL is right for sources of no more inputs."""
+    rows = table(spark, d, "stage0_distilled").where("input is not null").select(F.coalesce("source.name", F.lit("")).alias("source"), "row_id", F.sha2("input", 256).alias("digest"))
+    return ordered.fifo_deduplicated(rows, "source", "row_id", "digest", 200_000).select("row_id")
+
+
+@query(
+    """WITH RECURSIVE d AS (SELECT rel_path, seq_no, id, row_number() OVER (PARTITION BY rel_path ORDER BY seq_no) AS n FROM delivery WHERE rel_path IS NOT NULL),
+f AS (SELECT rel_path, n, seq_no, true AS fresh, [id] AS seen FROM d WHERE n = 1 UNION ALL
+SELECT d.rel_path, d.n, d.seq_no, NOT list_contains(f.seen, d.id), CASE WHEN list_contains(f.seen, d.id) THEN f.seen ELSE list_append(f.seen, d.id)[-100:] END FROM f JOIN d ON d.rel_path = f.rel_path AND d.n = f.n + 1)
+SELECT d.rel_path, d.seq_no, d.id FROM f JOIN d USING (rel_path, n) WHERE f.fresh"""
+)
 def w17_fifo_dedup(spark: Spark, d: str) -> Frame:
     return ordered.fifo_deduplicated(table(spark, d, "delivery").select("rel_path", "seq_no", "id").where("rel_path is not null"), "rel_path", "seq_no", "id", 100)
 
 
 @query("SELECT rel_path, seq_no, batch_id, row_number() OVER (PARTITION BY rel_path ORDER BY seq_no DESC) AS back FROM delivery QUALIFY back <= 3")
 def k6_retained(spark: Spark, d: str) -> Frame:
-    w = Window.partitionBy("rel_path").orderBy(F.col("seq_no").desc())
-    return table(spark, d, "delivery").select("rel_path", "seq_no", "batch_id", F.row_number().over(w).cast("bigint").alias("back")).where("back <= 3")
+    return promotion.newest(table(spark, d, "delivery").select("rel_path", "seq_no", "batch_id"), "rel_path", ["seq_no"], 3)
 
 
 @query("SELECT 'envelope' AS origin, count(*) AS n FROM envelope UNION ALL SELECT 'delivery', count(*) FROM delivery")
 def l11_union(spark: Spark, d: str) -> Frame:
-    part = lambda t: table(spark, d, t).agg(F.count("*").alias("n")).select(F.lit(t).alias("origin"), "n")
-    return part("envelope").unionByName(part("delivery"))
+    both = captures.merged(**{t: table(spark, d, t).select("seq_no") for t in ("envelope", "delivery")})
+    return both.groupBy("origin").agg(F.count("*").alias("n"))
 
 
 @query("SELECT CASE WHEN request = '' AND response = '' THEN 'both_missing' WHEN request = '' THEN 'req_missing' WHEN response = '' THEN 'resp_missing' ELSE 'full' END AS side, count(*) AS n FROM (SELECT coalesce(record_id, '') AS request, coalesce(content_sha256, '') AS response FROM envelope) GROUP BY 1")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from tracewright.functions.ordering import numbered
 from tracewright.functions.text import canonical_text, matches_suffix
 
 
@@ -105,6 +106,36 @@ def mock_batch(lines: DataFrame, total: int, point: dict, most: int, loop: bool
     return sent.select(F.col("place").alias("offset"), "cycle", ident.alias("id"), "value"), {"committed": point["committed"], "cycle": cycle, "cursor": cursor}
 
 
+def path_order(files: DataFrame, path: str = "rel_path") -> DataFrame:
+    """Paths with their place in string order, counted over range partitions."""
+    return numbered(files.withColumn("_all", F.lit(0)), ["_all"], [path], "place").drop("_all")
+
+
+def sampled_lines(lines: DataFrame, share: float, group: str = "rel_path", place: str = "byte_offset") -> DataFrame:
+    """A share of each group's lines, at least one, by the rank of a hash of their place: the same whatever the partitions."""
+    h = F.sha2(F.concat(group, F.lit("#"), F.col(place).cast("string")), 256)
+    ranked = numbered(lines.select(group, place).distinct().withColumn("_h", h), [group], ["_h"], "_k")
+    sizes = lines.select(group, place).distinct().groupBy(group).agg(F.count("*").alias("_n"))
+    return ranked.join(sizes, group).where(F.col("_k") <= F.ceil(F.col("_n") * share)).select(group, place)
+
+
+def both_empty(*sides: Column) -> Column:
+    """Whether nothing but white space stands on any side."""
+    out = F.lit(True)
+    for c in sides:
+        out = out & (F.coalesce(F.trim(c), F.lit("")) == "")
+    return out
+
+
+def merged(**streams: DataFrame) -> DataFrame:
+    """Several streams of one form as one, each row with its ``origin``."""
+    parts = [frame.withColumn("origin", F.lit(name)) for name, frame in streams.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def looped(lines: DataFrame, cycles: int) -> DataFrame:
     """The lines replayed ``cycles`` times; from the second on each carries ``loop_cycle`` and a new content hash, so its
     key differs. Lines are multiplied in place by an array of cycles."""
