@@ -84,6 +84,33 @@ def tidy(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(setting) if before is None else spark.conf.set(setting, before)
 
 
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small text file of any file system Spark knows; None where there is none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(conf)
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Written beside and renamed over the old one, so readers see the old text or the new."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place, beside = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    stream = place.getFileSystem(conf).create(beside)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    over = spark.sparkContext._gateway.new_array(rename, 1)
+    over[0] = rename.OVERWRITE
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(place.toUri(), conf).rename(beside, place, over)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """For stages that compute long on each row: more partitions where the input has fewer than there are cores (one
     small file, say). Inputs of many splits, as any large table has, stay as they are and aren't shuffled."""

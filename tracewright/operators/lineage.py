@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 import numpy as np
@@ -9,8 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tracewright.functions.shared import read_text, write_text
 from tracewright.operators.ordered import streamed
-from tracewright.sources.documents import read_state, write_state
 
 
 def resumed(checkpoints: DataFrame, config_digest: str, adapter_keys: list[str], allow_drift: bool = False) -> DataFrame:
@@ -86,17 +87,23 @@ def serving(warmup: DataFrame) -> DataFrame:
     return warmup.select("lineage", "ord", F.sum(F.col("published").cast("bigint")).over(w).alias("generation"))
 
 
+def _live(spark: SparkSession, root: str) -> int | None:
+    text = read_text(spark, f"{root}/current.json")
+    return json.loads(text)["generation"] if text else None
+
+
 def publish(rows: DataFrame, root: str) -> int:
     """Writes an immutable snapshot as the next generation and then points readers at it; gives its number.
 
     Readers that hold an older generation keep it; a writer that dies before the pointer moves leaves the old one live."""
-    generation = (read_state(f"{root}/current.json", {}).get("generation") or 0) + 1
+    spark = rows.sparkSession
+    generation = (_live(spark, root) or 0) + 1
     rows.write.mode("overwrite").parquet(f"{root}/generation={generation}")
-    write_state(f"{root}/current.json", {"generation": generation})
+    write_text(spark, f"{root}/current.json", json.dumps({"generation": generation}))
     return generation
 
 
 def served(spark: SparkSession, root: str, generation: int | None = None) -> DataFrame | None:
     """The live snapshot, or a given one; None before anything is published."""
-    number = generation or read_state(f"{root}/current.json", {}).get("generation")
+    number = generation or _live(spark, root)
     return spark.read.parquet(f"{root}/generation={number}") if number else None
