@@ -175,3 +175,23 @@ def test_run_bounds(spark, tmp_path):
     write(f"{tmp_path}/in/a.ndjson", b"{}\n")
     still = spark.readStream.format("spool").option("path", f"{tmp_path}/in").load().writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/d").trigger(processingTime="100 milliseconds").start()
     assert ingest.run_until(still, idle_seconds=4, every=0.2) == "idle"
+
+
+def test_journal(spark, tmp_path):
+    from tracewright.sources import journal
+
+    j = journal.Journal(f"{tmp_path}/j/one.wal" if os.makedirs(f"{tmp_path}/j") is None else "", bound=100)
+    places = [j.append(f"record {i}".encode()) for i in range(5)]
+    assert j.room(4) == 0 and j.replay() == [f"record {i}".encode() for i in range(5)]
+    j.commit(places[0])
+    assert len(j.replay()) == 4 and j.size == places[4]
+    j.commit(places[3])
+    assert j.replay() == [b"record 4"] and j.size == 12 and j.room(4) == 4
+    with pytest.raises(journal.Full):
+        j.append(b"x" * 100)
+    with open(j.path, "ab") as f:
+        f.write(b"\0\0\0\x09torn")
+    again = journal.Journal(j.path, bound=100)
+    assert again.size == 12 and os.path.getsize(j.path) == 12 and again.replay() == [b"record 4"]
+    assert [(r.place, bytes(r.record)) for r in journal.replayed(spark, f"{tmp_path}/j").collect()] == [(0, b"record 4")]
+    assert list(journal.frames(b"")) == [] and list(journal.frames(b"\xff\xff\xff\xff")) == []

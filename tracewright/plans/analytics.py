@@ -148,10 +148,10 @@ def f7_output_reason(spark: Spark, d: str) -> Frame:
     return rows.select("row_id", shaping.output_reason(F.col("output.entities"), F.col("output.classifications"), ["technology", "tool"], {"confidence": ["high", "low"]}).alias("reason"))
 
 
-@query("WITH e AS (SELECT row_id, unnest(map_entries(output.entities)) AS x FROM stage0_distilled), s AS (SELECT row_id, x.key AS label, list_distinct(list_filter(list_transform(x.value, lambda v: trim(v)), lambda v: v <> ''))[1:12] AS v FROM e) SELECT row_id, label, len(v)::INT AS n FROM s WHERE label IN ('technology', 'tool') AND len(v) > 0")
+@query("WITH e AS (SELECT row_id, unnest(map_entries(output.entities)) AS x FROM stage0_distilled), s AS (SELECT row_id, x.key AS label, list_distinct(list_filter(list_transform(x.value, lambda v: trim(v)), lambda v: v <> ''))[1:12] AS v FROM e) SELECT row_id, label, len(v)::INT AS n, array_to_string(list_sort(v), '|') AS texts FROM s WHERE label IN ('technology', 'tool') AND len(v) > 0")
 def proj24_shaped_entities(spark: Spark, d: str) -> Frame:
     rows = table(spark, d, "stage0_distilled").where("output.entities is not null")
-    return rows.select("row_id", F.explode(shaping.shaped_entities(F.col("output.entities"), ["technology", "tool"])).alias("label", "v")).select("row_id", "label", F.size("v").alias("n"))
+    return rows.select("row_id", F.explode(shaping.shaped_entities(F.col("output.entities"), ["technology", "tool"])).alias("label", "v")).select("row_id", "label", F.size("v").alias("n"), F.array_join(F.array_sort("v"), "|").alias("texts"))
 
 
 @query("SELECT row_id, coalesce(len(list_filter(flatten(map_values(output.entities)), lambda x: x <> '')), 0) = 0 AND coalesce(len(output.classifications), 0) = 0 AS empty_target FROM stage0_distilled")

@@ -10,7 +10,7 @@ from tracewright.functions.scorer import DictionaryScorer, scored
 from tracewright.functions.shared import table
 from tracewright.operators import audit, capture, routing
 from tracewright.plans.registry import query
-from tracewright.sources import contract
+from tracewright.sources import captures, contract
 
 Spark, Frame = SparkSession, DataFrame
 
@@ -51,11 +51,11 @@ def k9_provenance(spark: Spark, d: str) -> Frame:
     return audit.provenance(table(spark, d, "envelope"), "seq_no", "value")
 
 
-@query("SELECT row_id, coalesce(cardinality(output.entities), 0)::INT AS n_entities, len(output.classifications)::INT AS n_tasks FROM stage0_distilled")
+@query("SELECT row_id, coalesce(cardinality(output.entities), 0)::INT AS n_entities, len(output.classifications)::INT AS n_tasks, array_to_string(list_transform(output.classifications, lambda c: c.task || '=' || array_to_string(c.true_label, '+')), ';') AS labels, teacher.source_uri AS provenance FROM stage0_distilled")
 def proj18_training_output(spark: Spark, d: str) -> Frame:
     out = audit.training_output(F.col("output.entities"), F.col("output.classifications"), F.col("teacher.source_uri"))
     rows = table(spark, d, "stage0_distilled").select("row_id", out.alias("o"))
-    return rows.select("row_id", F.size("o.entities").alias("n_entities"), F.size("o.classifications").alias("n_tasks"))
+    return rows.select("row_id", F.size("o.entities").alias("n_entities"), F.size("o.classifications").alias("n_tasks"), F.array_join(F.transform("o.classifications", lambda c: F.concat(c["task"], F.lit("="), F.array_join(c["true_label"], "+"))), ";").alias("labels"), "o.provenance")
 
 
 _WORDS = {"technology": ["Rust", "Go", "Python", "Kafka", "Redis"], "tool": ["git", "docker", "kubectl"]}
@@ -66,7 +66,9 @@ def _scored(spark: Spark, d: str) -> Frame:
     return scored(texts, "text", DictionaryScorer(_WORDS, {"coding": ["release", "commit"], "operations": ["restart", "drill"]}))
 
 
-@query()
+@query(r"""WITH w AS (SELECT unnest([('Rust', 'technology'), ('Go', 'technology'), ('Python', 'technology'), ('Kafka', 'technology'), ('Redis', 'technology'), ('git', 'tool'), ('docker', 'tool'), ('kubectl', 'tool')]) AS w),
+p AS (SELECT row_id, text, w[1] AS word, w[2] AS label, unnest(range(1, length(text) + 1)) AS i FROM stage0_heldout, w WHERE contains(text, w[1]))
+SELECT row_id, label, word AS text, (i - 1)::INT AS start, (i - 1 + length(word))::INT AS "end" FROM p WHERE substr(text, i, length(word)) = word AND NOT regexp_matches(CASE WHEN i > 1 THEN substr(text, i - 1, 1) ELSE ' ' END, '[\pL\pN_]') AND NOT regexp_matches(substr(text || ' ', i + length(word), 1), '[\pL\pN_]')""")
 def m1_extraction(spark: Spark, d: str) -> Frame:
     return _scored(spark, d).select("row_id", F.explode("spans").alias("s")).select("row_id", "s.label", "s.text", "s.start", "s.end")
 
@@ -77,7 +79,9 @@ def m2_classification(spark: Spark, d: str) -> Frame:
     return _scored(spark, d).select("row_id", F.round(p["coding"], 6).alias("coding"), F.round(p["operations"], 6).alias("operations"))
 
 
-@query()
+@query("""WITH c AS (SELECT row_id, 1 + (len(lower(text)) - len(replace(lower(text), 'release', ''))) / 7 + (len(lower(text)) - len(replace(lower(text), 'commit', ''))) / 6 AS a, 1 + (len(lower(text)) - len(replace(lower(text), 'restart', ''))) / 7 + (len(lower(text)) - len(replace(lower(text), 'drill', ''))) / 5 AS b FROM stage0_heldout WHERE text IS NOT NULL),
+t AS (SELECT row_id, CASE WHEN a >= b THEN 'coding' ELSE 'operations' END AS task, greatest(a, b) / (a + b) AS score FROM c)
+SELECT row_id, task, round(score, 6) AS score, CASE WHEN score < 0.6 OR task = 'operations' THEN 'review' ELSE 'allow' END AS action FROM t""")
 def m6_analyzed(spark: Spark, d: str) -> Frame:
     """Scored, then routed on the best label: extraction to decision in one plan."""
     policy = routing.Policy("demo", 1, ("m",), {"coding": "allow", "operations": "review"}, 0.6)
@@ -88,28 +92,16 @@ def m6_analyzed(spark: Spark, d: str) -> Frame:
     return rows.select("row_id", "task", F.round("score", 6).alias("score"), routing.action(policy, F.col("task"), F.col("reasons")).alias("action"))
 
 
-@query("SELECT seq_no, coalesce(nullif(kind, ''), 'raw_document') || ':' || coalesce(created_at, '') AS shown FROM envelope")
-def n2_fallbacks(spark: Spark, d: str) -> Frame:
-    kind = F.coalesce(F.nullif(F.col("kind"), F.lit("")), F.lit("raw_document"))
-    return table(spark, d, "envelope").select("seq_no", F.concat(kind, F.lit(":"), F.coalesce("created_at", F.lit(""))).alias("shown"))
-
-
 @query("SELECT row_id FROM stage0_corpus WHERE NOT (coalesce(trim(text), '') = '' AND coalesce(trim(license_note), '') = '') ORDER BY row_id")
 def n7_both_empty_dropped(spark: Spark, d: str) -> Frame:
-    empty = lambda c: F.coalesce(F.trim(c), F.lit("")) == ""
-    return table(spark, d, "stage0_corpus").where(~(empty("text") & empty("license_note"))).select("row_id")
+    return table(spark, d, "stage0_corpus").where(~captures.both_empty(F.col("text"), F.col("license_note"))).select("row_id")
 
 
 @query("WITH r AS (SELECT rel_path, byte_offset, row_number() OVER (PARTITION BY rel_path ORDER BY sha256(rel_path || '#' || byte_offset)) AS k, count(*) OVER (PARTITION BY rel_path) AS n FROM (SELECT DISTINCT rel_path, byte_offset FROM raw_capture WHERE rel_path IS NOT NULL AND byte_offset IS NOT NULL)) SELECT rel_path, byte_offset FROM r WHERE k <= ceil(n * 0.02)")
 def n1_sample_per_folder(spark: Spark, d: str) -> Frame:
     """A deterministic share of each file by the rank of a hash: a sampling operator."""
-    from pyspark.sql import Window
-
-    rows = table(spark, d, "raw_capture").where("rel_path is not null and byte_offset is not null").select("rel_path", "byte_offset").distinct()
-    w = Window.partitionBy("rel_path")
-    h = F.sha2(F.concat("rel_path", F.lit("#"), F.col("byte_offset").cast("string")), 256)
-    ranked = rows.withColumn("k", F.row_number().over(w.orderBy(h))).withColumn("n", F.count("*").over(w))
-    return ranked.where(F.col("k") <= F.ceil(F.col("n") * 0.02)).select("rel_path", "byte_offset")
+    rows = table(spark, d, "raw_capture").where("rel_path is not null and byte_offset is not null")
+    return captures.sampled_lines(rows, 0.02)
 
 
 @query("SELECT row_id, 'USER:' || chr(10) || input || chr(10) || chr(10) || 'SOURCE:' || chr(10) || source.name AS rendered FROM stage0_distilled WHERE input IS NOT NULL AND source.name IS NOT NULL")

@@ -55,17 +55,18 @@ def t1_ingested_once(spark: Spark, d: str) -> Frame:
     return ingest.read_accepted(spark, root).select("record_id", F.lower("content_sha256").alias("content_sha256"))
 
 
-@query("SELECT count(*) AS n FROM envelope")
+@query("""WITH e AS (SELECT value, CASE WHEN json_valid(value) THEN value::JSON END AS j FROM envelope), k AS (SELECT *, json_valid(value) AND json_type(CASE WHEN json_valid(value) THEN value END) = 'OBJECT' AS object FROM e)
+SELECT count(*) AS n, count(*) FILTER (NOT coalesce(object, false)) AS unreadable FROM k""")
 def t2_ingest_routes_everything(spark: Spark, d: str) -> Frame:
-    """Accepted, duplicate, dead-letter and quarantine rows of a run add up to what came in."""
+    """Accepted, duplicate, dead-letter and quarantine rows of a run add up to what came in; what can't be read is dead."""
     root = f"{shared_dir(spark)}/ingest-{uuid.uuid4().hex}"
     rows = _stream(spark, d, "envelope", ["source_ref", "seq_no", "value"]).select(F.col("source_ref.uri").alias("rel_path"), F.col("seq_no").alias("byte_offset"), F.col("value").alias("raw"))
     ingest.start(rows, root, f"{root}/checkpoint").awaitTermination()
-    tables = [spark.read.schema("batch_id bigint").parquet(f"{root}/{t}") for t in ("accepted", "dlq", "quarantine", "duplicates")]
+    tables = [spark.read.schema("reason string, batch_id bigint").parquet(f"{root}/{t}") for t in ("accepted", "dlq", "quarantine", "duplicates")]
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t)
-    return out.agg(F.count("*").alias("n"))
+    return out.agg(F.count("*").alias("n"), F.count_if(F.col("reason").isin("envelope_not_json", "envelope_not_object")).alias("unreadable"))
 
 
 @query("SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, event_type, count(*) AS n FROM events WHERE ts < time_bucket(INTERVAL 1 hour, (SELECT max(ts) - INTERVAL 10 minutes FROM events)) GROUP BY ALL")
