@@ -167,3 +167,17 @@ def test_snapshots(spark, tmp_path):
     write_text(spark, f"{root}/t", "é1")
     write_text(spark, f"{root}/t", "é2")
     assert read_text(spark, f"{root}/t") == "é2" and read_text(spark, f"{root}/none") is None
+
+
+def test_small_decisions(spark):
+    from tracewright.operators import envelopes, readside
+
+    rows = spark.createDataFrame([(True, True, 10.0), (False, False, 0.0), (True, False, 9999.0), (True, True, 3600.0), (None, None, None)], "b boolean, t boolean, i double")
+    assert [r.c for r in rows.select(readside.watchdog(F.col("b"), F.col("t"), F.col("i")).alias("c")).collect()] == [0, 11, 12, 13, 13]
+    texts = [("the cat and the dog is in the house",), ("der Hund und die Katze ist nicht da",), ("el perro y la casa de los gatos",), ("xyzzy",), ("",), (None,)]
+    assert [r.l for r in spark.createDataFrame(texts, "t string").select(promotion.language(F.col("t")).alias("l")).collect()] == ["en", "de", "es", None, None, None]
+    values = ['{"example": {"input": "a", "output": {"x": 1}}}', '{"labels": {"y": 2}, "source": {"uri": "u://v"}}', '{"labels": {"y": 2}, "text": "t", "source": {"uri": "u"}}', '{"labels": {"y": 2}}', '{"example": {"output": 1}}', "broken", None]
+    df = spark.createDataFrame([(v,) for v in values], "value string")
+    got = [r.e and r.e.input for r in df.select(envelopes.loop_example(F.col("value")).alias("e")).collect()]
+    assert got == ["a", "u://v", "t", None, None, None, None]
+    assert tuple(envelopes.labelled_counts(df).first()) == (3, 4)

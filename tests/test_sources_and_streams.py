@@ -195,3 +195,47 @@ def test_journal(spark, tmp_path):
     assert again.size == 12 and os.path.getsize(j.path) == 12 and again.replay() == [b"record 4"]
     assert [(r.place, bytes(r.record)) for r in journal.replayed(spark, f"{tmp_path}/j").collect()] == [(0, b"record 4")]
     assert list(journal.frames(b"")) == [] and list(journal.frames(b"\xff\xff\xff\xff")) == []
+
+
+def test_start_positions(spark):
+    import datetime
+
+    day = lambda n: datetime.datetime(2026, 1, n, tzinfo=datetime.UTC)
+    lines = spark.createDataFrame([(i * 10, day(i + 1)) for i in range(5)], "byte_offset bigint, delivered_at timestamp")
+    at = lambda *a, **k: sorted(r.byte_offset for r in captures.started_at(lines, *a, **k).collect())
+    assert at("first", committed=40) == [0, 10, 20, 30, 40] and at("last") == [40] and at("new") == [] and at("new", committed=20) == [20, 30, 40]
+    assert at("by_offset", offset=30) == [30, 40] and at("by_timestamp", time=day(4)) == [30, 40]
+    assert captures.started_at(lines.where("false"), "last").count() == 0
+    for bad in (("by_offset",), ("by_timestamp",), ("middle",)):
+        with pytest.raises(ValueError):
+            captures.started_at(lines, *bad)
+
+
+def test_rotation(tmp_path):
+    from tracewright.sources import sinks
+
+    path = str(tmp_path / "log")
+    assert not sinks.rotate(path, 10)
+    write(path, b"".join(b"line %d\n" % i for i in range(20_000)))
+    assert not sinks.rotate(path, 1 << 30, 5) and sinks.rotate(path, 1000, 5)
+    assert open(path, "rb").read().splitlines() == [b"line %d" % i for i in range(19_995, 20_000)]
+    assert sinks.rotate(path, 1) and not os.path.exists(path) and os.path.exists(f"{path}.1")
+
+
+def test_teacher_is_asked_again_and_must_answer_with_one_object(spark):
+    from tracewright.sources import contract
+
+    def ask(text):
+        if text == "late" and not os.path.exists(marker):
+            open(marker, "w").close()
+            raise TimeoutError("busy")
+        return {"good": '{"b": 1, "a": "x"}', "late": '{"a": 2}', "list": "[1]", "broken": '{"a": 1} and more', "more": '{"a": 1, "z": 2}'}[text]
+
+    import tempfile
+
+    marker = f"{tempfile.mkdtemp()}/m"
+    df = spark.createDataFrame([(t, t) for t in ("good", "late", "list", "broken", "more")], "request_sha256 string, text string")
+    rows = {r.request_sha256: r for r in contract.answered(df, ask, wait=0.01, keys=("a", "b")).collect()}
+    assert (rows["good"].output, rows["good"].attempts) == ('{"a": "x", "b": 1}', 1) and (rows["late"].output, rows["late"].attempts) == ('{"a": 2}', 2)
+    assert all(rows[k].output is None and rows[k].attempts == 3 and rows[k].error for k in ("list", "broken", "more"))
+    assert contract.answered(df.where("false"), ask).count() == 0

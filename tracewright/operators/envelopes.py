@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.functions.text import canonical_text, is_sha256
+from tracewright.functions.text import blank_to_null, canonical_text, is_sha256
 
 KINDS = ("labelled_example", "tool_task_pair", "raw_document")
 #: Reasons that quarantine a message; every other one sends it to the dead letters.
@@ -173,6 +173,23 @@ def dead_letters(deliveries: DataFrame, reasons: DataFrame) -> DataFrame:
     )
 
 
+def loop_example(value: Column) -> Column:
+    """struct(input, output) as the loop reads labelled envelopes: their example, else their labels with the text or, where
+    there is none, the source's uri; null (a reject) without an input."""
+    j = lambda p: blank_to_null(F.get_json_object(value, p))
+    own = F.when(j("$.example").startswith("{"), F.struct(j("$.example.input").alias("input"), j("$.example.output").alias("output")))
+    labelled = F.when(j("$.labels").startswith("{"), F.struct(F.coalesce(j("$.text"), j("$.source.uri")).alias("input"), j("$.labels").alias("output")))
+    chosen = F.coalesce(own, labelled)
+    return F.when(chosen["input"].isNotNull(), chosen)
+
+
+def labelled_counts(envelopes: DataFrame, value: str = "value") -> DataFrame:
+    """(trained, rejected): how many envelopes give the loop an example, and how many none."""
+    n = F.count("*")
+    given = F.count_if(loop_example(F.col(value)).isNotNull())
+    return envelopes.agg(given.alias("trained"), (n - given).alias("rejected"))
+
+
 def training_example(value: Column) -> Column:
     """struct(input, output) of an envelope: its example, else its labels with a text; null without both."""
     j = lambda p: F.get_json_object(value, p)

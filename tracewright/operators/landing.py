@@ -51,6 +51,6 @@ def admitted(records: DataFrame, schema_digest: str, policy_digest: str) -> Data
 
 
 def allowed(frame: DataFrame, allowlist: DataFrame, column: str = "model") -> DataFrame:
-    """Semi-join against ids and aliases: ``allowlist`` (model_id, aliases array), as small as a configuration."""
+    """Semi-join against ids and aliases: ``allowlist`` (model_id, aliases array). Spark broadcasts it if it is small."""
     names = allowlist.select(F.explode(F.array_union(F.array("model_id"), F.coalesce("aliases", F.array().cast("array<string>")))).alias(column)).distinct()
-    return frame.join(F.broadcast(names), column, "left_semi")
+    return frame.join(names, column, "left_semi")

@@ -86,6 +86,18 @@ def chunks(frame: DataFrame, text: str, size: int, overlap: int) -> DataFrame:
     return rows.withColumn("chunk", F.substring(F.col(text), F.col("start_char") + 1, F.lit(size))).drop(text)
 
 
+#: Frequent words of languages.
+STOP_WORDS = {"de": "der die das und ist nicht ein eine mit von auf für den dem", "en": "the and of to is in that for with not are this on as", "es": "el la los las de que y en un una por con para no", "fr": "le la les des et est une un dans pour que qui ne pas", "pt": "o a os as de que e em um uma para com não do"}
+
+
+def language(text: Column, least: int = 2) -> Column:
+    """The language whose frequent words a text has most of; null under ``least`` of them; ties by name."""
+    words = F.split(F.lower(text), r"[^\p{L}]+")
+    hits = [F.struct((-F.size(F.filter(words, lambda w, s=s: w.isin(s.split())))).alias("n"), F.lit(name).alias("name")) for name, s in sorted(STOP_WORDS.items())]
+    best = F.array_min(F.array(*hits))
+    return F.when(best["n"] <= -least, best["name"])
+
+
 def split_by_document(document: Column, shares: dict[str, float], seed: int = 42) -> Column:
     """The split of a document by its hash: all its pieces fall into the same one. Shares hold on average."""
     place = F.pmod(F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), document), 256), 1, 12), 16, 10).cast("bigint"), F.lit(10_000))

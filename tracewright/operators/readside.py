@@ -27,6 +27,12 @@ def heartbeats(services: DataFrame, beats: DataFrame, now: Column, limit: float)
     return joined.select("service", freshness(F.col("state"), F.col("age"), limit).alias("state"), "age")
 
 
+def watchdog(bridge_alive: Column, trainer_alive: Column, idle_seconds: Column, limit: float = 3600) -> Column:
+    """The code with which a supervised loop ends: 11 without bridge, 12 without trainer, 13 without records for too long;
+    0 as long as it goes on. What isn't known of a part counts as alive, of the records as none since ever."""
+    return F.when(~F.coalesce(bridge_alive, F.lit(True)), 11).when(~F.coalesce(trainer_alive, F.lit(True)), 12).when(F.coalesce(idle_seconds, F.lit(float("inf"))) >= limit, 13).otherwise(0)
+
+
 def feed(frame: DataFrame, view: str) -> DataFrame:
     """all, real, synthetic, or the rows of one action."""
     if view == "all":

@@ -256,10 +256,26 @@ def w5_non_finite(spark: Spark, d: str) -> Frame:
     return ordered.non_finite_streaks(_losses(spark, d), "lineage", ["ts", "event_id"], "loss").select("event_id", "non_finite")
 
 
-@query()
+def drift_sql(samples: str) -> str:
+    """The drift monitor of the two drift queries as a recursion over samples (lineage, ord, loss)."""
+    return f"""WITH RECURSIVE s AS ({samples}), e AS (SELECT *, row_number() OVER (PARTITION BY lineage ORDER BY ord) AS n FROM s),
+m AS (SELECT DISTINCT lineage, 0::BIGINT AS n, NULL::BIGINT AS ord, 0::DOUBLE AS total, 0 AS cnt, NULL::DOUBLE AS base, 0 AS bad, 0 AS resets, -10::BIGINT AS last, 0 AS streak, false AS hit, NULL::VARCHAR AS why FROM e
+UNION ALL SELECT lineage, n, ord, CASE WHEN hit OR closes THEN 0 ELSE t END, CASE WHEN hit OR closes THEN 0 ELSE c END, CASE WHEN NOT hit THEN b END, CASE WHEN hit THEN 0 ELSE d END, resets + hit::INT, CASE WHEN hit THEN n ELSE last END, CASE WHEN hit THEN 0 ELSE k END, hit, why
+FROM (SELECT *, why IS NOT NULL AND n - last >= 10 AS hit FROM (SELECT *, CASE WHEN closes AND base IS NULL THEN t / 5 ELSE base END AS b, CASE WHEN k > 1 THEN 'non_finite_loss' WHEN closes AND signal AND d >= 2 THEN 'loss_window_exceeded' END AS why
+FROM (SELECT *, CASE WHEN closes THEN CASE WHEN signal THEN bad + 1 ELSE 0 END ELSE bad END AS d FROM (SELECT *, closes AND base IS NOT NULL AND t / 5 > base * 1.2 AS signal FROM (SELECT *, fine AND c = 5 AS closes
+FROM (SELECT e.lineage, e.n, e.ord, NOT isnan(e.loss) AS fine, m.total + CASE WHEN isnan(e.loss) THEN 0 ELSE e.loss END AS t, m.cnt + (NOT isnan(e.loss))::INT AS c, CASE WHEN isnan(e.loss) THEN m.streak + 1 ELSE 0 END AS k, m.base, m.bad, m.resets, m.last FROM m JOIN e ON e.lineage = m.lineage AND e.n = m.n + 1))))))
+)
+SELECT lineage, ord, n AS step, round(base, 6) AS baseline_loss, CASE WHEN cnt > 0 THEN round(total / cnt, 6) END AS rolling_loss, bad::BIGINT AS bad_windows, resets::BIGINT AS resets, hit AS reset_required, why AS reason FROM m WHERE n > 0"""
+
+
+def rounded_drift(verdicts: Frame) -> Frame:
+    return verdicts.withColumn("baseline_loss", F.round("baseline_loss", 6)).withColumn("rolling_loss", F.round("rolling_loss", 6))
+
+
+@query(drift_sql("SELECT user_id::VARCHAR AS lineage, event_id AS ord, CASE WHEN event_id % 97 = 0 THEN 'NaN'::DOUBLE ELSE value END AS loss FROM events"))
 def w6_drift_with_resets(spark: Spark, d: str) -> Frame:
     rows = _losses(spark, d).select("lineage", F.col("event_id").alias("ord"), "loss", F.lit(1.0).alias("ema_norm"))
-    return ordered.drift(rows, ordered.DriftPolicy(eval_window=5, min_windows=2, loss_ratio=1.2, max_non_finite=1, reset_cooldown_steps=10))
+    return rounded_drift(ordered.drift(rows, ordered.DriftPolicy(eval_window=5, min_windows=2, loss_ratio=1.2, max_non_finite=1, reset_cooldown_steps=10)))
 
 
 _EMA = "e AS (SELECT user_id AS lineage, list(value ORDER BY ts, event_id) AS v FROM events GROUP BY user_id)"

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions.shared import shared_dir, table
 from tracewright.operators.ordered import DriftPolicy
+from tracewright.plans.analytics import drift_sql, rounded_drift
 from tracewright.plans.registry import query
 from tracewright.streaming import ingest, stateful
 
@@ -40,10 +41,10 @@ def t3_stream_dedup(spark: Spark, d: str) -> Frame:
     return _done(stateful.bounded_dedup(rows, "_group", "seq_no", "id", None)).select("seq_no", "id")
 
 
-@query()
+@query(drift_sql("SELECT user_id::VARCHAR AS lineage, event_id AS ord, value AS loss FROM events"))
 def t12_stream_drift(spark: Spark, d: str) -> Frame:
     rows = _stream(spark, d, "events", ["user_id", "event_id", "value"]).select(F.col("user_id").alias("lineage"), F.col("event_id").alias("ord"), F.col("value").alias("loss"), F.lit(1.0).alias("ema_norm"))
-    return _done(stateful.drift(rows, DriftPolicy(eval_window=5, min_windows=2, loss_ratio=1.2, reset_cooldown_steps=10)))
+    return rounded_drift(_done(stateful.drift(rows, DriftPolicy(eval_window=5, min_windows=2, loss_ratio=1.2, reset_cooldown_steps=10))))
 
 
 @query("SELECT DISTINCT j->>'$.record_id' AS record_id, lower(j->>'$.content_sha256') AS content_sha256 FROM (SELECT value::JSON AS j FROM envelope WHERE json_valid(value))")

@@ -50,6 +50,30 @@ def started(lines: DataFrame, offset: int | None = None, first: bool = False, co
     return lines.where(F.col("byte_offset") >= at)
 
 
+def started_at(lines: DataFrame, position: str, offset: int | None = None, time=None, committed: int | None = None, place: str = "byte_offset", at: str = "delivered_at", newest: int | None = None) -> DataFrame:
+    """Lines from a named start position.
+
+    ``first``: all, whatever was saved. ``new``: after what is committed, or nothing yet there if nothing is. ``last``: from the
+    newest line on. ``by_offset``, ``by_timestamp``: from a given place or time on, which must be given. ``newest`` is the
+    largest place, where the caller knows it; otherwise it is looked up."""
+    if position == "first":
+        return lines
+    if position == "by_timestamp":
+        if time is None:
+            raise ValueError("by_timestamp needs a time")
+        return lines.where(F.col(at) >= F.lit(time))
+    if position == "by_offset":
+        if offset is None:
+            raise ValueError("by_offset needs an offset")
+        return lines.where(F.col(place) >= offset)
+    if position == "new" and committed is not None:
+        return lines.where(F.col(place) >= committed)
+    if position not in ("new", "last"):
+        raise ValueError(f"unknown start position: {position}")
+    end = newest if newest is not None else lines.agg(F.max(place).alias("m")).first().m
+    return lines.where((F.col(place) >= end) if position == "last" else (F.col(place) > end)) if end is not None else lines
+
+
 @F.pandas_udf(StringType())
 def _marked(value: pd.Series, cycle: pd.Series) -> pd.Series:
     import hashlib

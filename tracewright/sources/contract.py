@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,3 +104,39 @@ def cached_labels(documents: DataFrame, cache: DataFrame, contract_digest: str,
 def unanswered(labelled: DataFrame, text: str = "text") -> DataFrame:
     """Each request still to be put to a teacher, once."""
     return labelled.where("output is null").groupBy("request_sha256").agg(F.min(text).alias(text))
+
+
+ANSWERS = "request_sha256 string, output string, attempts int, error string"
+
+
+def answered(requests: DataFrame, ask: Callable[[str], str], text: str = "text", attempts: int = 3, wait: float = 0.5, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(request_sha256, output, attempts, error) of each request put to a teacher: ``ask`` gives its answer as text.
+
+    An answer must be one JSON object, with nothing around it and, if ``keys`` are given, no others.  What fails is asked
+    again after ``wait`` seconds, twice as long each time; after ``attempts`` the last error stands and the output is null.
+    Append the outputs to the cache, so nothing is asked twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(key, *_answer(ask, t, attempts, wait, keys)) for key, t in zip(*(c.to_pylist() for c in batch.columns))]
+            columns = list(zip(*rows)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.int32(), pa.string()))], names=["request_sha256", "output", "attempts", "error"])
+
+    return requests.select("request_sha256", text).mapInArrow(run, ANSWERS)
+
+
+def _answer(ask: Callable[[str], str], text: str, attempts: int, wait: float, keys: tuple[str, ...]) -> tuple[str | None, int, str | None]:
+    error = None
+    for n in range(1, attempts + 1):
+        try:
+            value = json.loads(ask(text))
+            if not isinstance(value, dict):
+                raise ValueError("no object")
+            if keys and (more := sorted(set(value) - set(keys))):
+                raise ValueError(f"unknown keys: {','.join(more)}")
+            return json.dumps(value, sort_keys=True, ensure_ascii=False), n, None
+        except Exception as e:  # noqa: BLE001
+            error = f"{type(e).__name__}: {e}"
+            if n < attempts:
+                time.sleep(wait * 2 ** (n - 1))
+    return None, attempts, error
