@@ -123,6 +123,19 @@ def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
     assert got(spark, ev, tr) == first == brute(ev, tr)
 
 
+@pytest.mark.parametrize("hot,held", [(20, 1000), (50, 7), (1, 1)])
+def test_common_chunks_are_cut_into_parts(spark, monkeypatch, hot, held):
+    rng = random.Random(6)
+    stock = sentence(rng, 12)
+    ev = [stock + " " + sentence(rng, 30) for _ in range(25)]
+    tr = [stock + " " + sentence(rng, 30) for _ in range(60)] + [" ".join(changed(rng, e.split(), 2)) for e in ev]
+    whole = [tuple(r) for r in op.same_records(frame(spark, ev, 1), frame(spark, tr, 1001)).orderBy("eval_row_id", "train_row_id").collect()]
+    monkeypatch.setattr(op, "HOT", hot)
+    monkeypatch.setattr(op, "HELD", held)
+    parts = [tuple(r) for r in op.same_records(frame(spark, ev, 1), frame(spark, tr, 1001)).orderBy("eval_row_id", "train_row_id").collect()]
+    assert parts == whole and [p[:2] for p in whole] == brute(ev, tr)
+
+
 def test_runs_of_one_word_count_whole(spark):
     e = "start " + "la " * 900 + "end of it"
     [r] = op.same_records(frame(spark, [e], 1), frame(spark, [e + " more"], 1001)).collect()

@@ -17,7 +17,8 @@ meet in a chunk must pass a test that no true case fails: bitmaps of hashed word
 missing.  Training records give only the chunks that pass a bitmap of the evaluation records' chunks (``FILTER_BITS``, so at
 most 8 MB whatever the data; where it fills up, an exact join takes its place before the wider rows are shuffled).  A chunk
 that is common on both sides costs the product of the two numbers in comparisons of bitmaps, done as products of matrices;
-only pairs that pass are written.
+such chunks are cut into a grid of parts of both sides, so no task has more than ``HOT`` comparisons for one, and only pairs
+that pass are written.
 """
 
 from __future__ import annotations
@@ -48,6 +49,9 @@ SHORT = 40
 #: Size of the bitmap of evaluation chunks, and how full it may be to be enough on its own.
 FILTER_BITS, FULL = 1 << 26, 0.25
 
+#: Comparisons that one chunk may give a task, and evaluation rows of one chunk that a task holds.
+HOT, HELD = 4_000_000, 50_000
+
 #: Odd factors of the two rolling hashes.
 _WAYS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -307,19 +311,19 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        chunk, spare, ids, *b = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        rows = [chunk, spare, ids, np.stack(b, axis=1).view(np.uint64)]
+        chunk, spare, ids, part, *b = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        rows = [chunk, spare, ids, part, np.stack(b, axis=1).view(np.uint64)]
         if kept is not None:
             rows = [np.concatenate(x) for x in zip(kept, rows)]
-        fresh = np.append(True, (rows[0][1:] != rows[0][:-1]) | (rows[2][1:] != rows[2][:-1]) | (rows[1][1:] != rows[1][:-1]))
-        fresh[0] = (rows[0][0], rows[1][0], rows[2][0]) != last or kept is not None
-        last = (rows[0][-1], rows[1][-1], rows[2][-1])
+        fresh = np.append(True, np.any([x[1:] != x[:-1] for x in rows[:4]], axis=0))
+        fresh[0] = tuple(x[0] for x in rows[:4]) != last or kept is not None
+        last = tuple(x[-1] for x in rows[:4])
         if not fresh.all():  # rows repeated whole
             rows = [x[fresh] for x in rows]
             if not len(rows[0]):
                 continue
-        chunk, spare, ids, bits = rows
-        first = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1]))
+        chunk, spare, ids, part, bits = rows
+        first = np.flatnonzero(np.append(True, (chunk[1:] != chunk[:-1]) | (part[1:] != part[:-1])))
         end = np.append(first[1:], len(chunk))
         middle = first + np.add.reduceat(spare >= 0, first, dtype=np.int64)
         times, missing = np.where(spare >= 0, spare >> 32, -spare), spare & 0xFFFFFFFF
@@ -350,6 +354,27 @@ def _first_of_class(rows: DataFrame) -> DataFrame:
     return rows.join(firsts.hint("merge"), "row_id", "left_semi")
 
 
+def _in_parts(ev_chunks: DataFrame, tr_chunks: DataFrame) -> DataFrame:
+    """The chunk rows of both sides with the ``part`` of their chunk in which they meet.
+
+    Most chunks have one part. Of those common on both sides, each evaluation row is in one row of a grid and each
+    training row in one of its columns, and both are in all cells of these, so every pair meets in one cell."""
+    number = lambda rows, e, t: rows.select("chunk", F.lit(e).cast("bigint").alias("e"), F.lit(t).cast("bigint").alias("t"))
+    counts = number(ev_chunks, 1, 0).unionAll(number(tr_chunks, 0, 1)).groupBy("chunk").agg(F.sum("e").alias("e"), F.sum("t").alias("t"))
+    rows = F.ceil(F.col("e") / HELD)
+    hot = materialise(counts.where(F.col("e") * F.col("t") > HOT).select("chunk", rows.alias("grid_rows"), F.greatest(F.lit(1), F.least(F.col("t"), F.ceil(F.col("e") / rows * F.col("t") / HOT))).alias("grid_columns")), "overlap-hot")
+    if not hot.limit(1).count():
+        return ev_chunks.unionByName(tr_chunks).select("chunk", "spare", "id", F.lit(0).cast("bigint").alias("part"), "b0", "b1", "b2", "b3")
+    one = F.lit(1).cast("bigint")
+    n_rows, n_columns = F.coalesce("grid_rows", one), F.coalesce("grid_columns", one)
+    own = lambda n: F.pmod(F.xxhash64("id"), n)
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
+    ev = ev_chunks.join(hot, "chunk", "left").withColumn("_column", upto(n_columns)).withColumn("part", own(n_rows) * n_columns + F.col("_column"))
+    tr = tr_chunks.join(hot, "chunk", "left").withColumn("_row", upto(n_rows)).withColumn("part", F.col("_row") * n_columns + own(n_columns))
+    columns = ["chunk", "spare", "id", "part", "b0", "b1", "b2", "b3"]
+    return ev.select(*columns).unionByName(tr.select(*columns))
+
+
 def same_classes(evaluation: DataFrame, training: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(pairs of classes, members of evaluation classes, members of training classes).
 
@@ -377,9 +402,9 @@ def same_classes(evaluation: DataFrame, training: DataFrame) -> tuple[DataFrame,
         met = tr_firsts.select(F.col("row_id").alias("id"), entries).select(*columns).join(ev_chunks.select("chunk").distinct().hint("merge"), "chunk", "left_semi")
         tr_chunks = met.distinct().join(tr.select(F.col("row_id").alias("id"), *bits).dropDuplicates(["id"]).hint("merge"), "id").select("chunk", "spare", "id", *bits)
     pairs = materialise(
-        ev_chunks.unionByName(tr_chunks)
-        .repartition("chunk")
-        .sortWithinPartitions("chunk", F.col("spare").desc(), "id")
+        _in_parts(ev_chunks, tr_chunks)
+        .repartition("chunk", "part")
+        .sortWithinPartitions("chunk", "part", F.col("spare").desc(), "id")
         .mapInArrow(_meet, "e_id bigint, t_id bigint, way boolean, words bigint")
         .groupBy("e_id", "t_id")
         .agg(F.greatest(F.sum(F.when(F.col("way"), F.col("words")).otherwise(0)), F.sum(F.when(F.col("way"), 0).otherwise(F.col("words")))).alias("shared_words")),
