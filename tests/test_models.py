@@ -181,3 +181,7 @@ def test_small_decisions(spark):
     got = [r.e and r.e.input for r in df.select(envelopes.loop_example(F.col("value")).alias("e")).collect()]
     assert got == ["a", "u://v", "t", None, None, None, None]
     assert tuple(envelopes.labelled_counts(df).first()) == (3, 4)
+    from tracewright.functions.text import is_json
+
+    texts = [('{"a": [1, 2]}', True), ("[1]", True), ('{"a": 1},', False), ('{"a": 1}\n{}', False), ("{", False), ("1, 2", False), ("", False), ('"x"', True)]
+    assert [r.j for r in spark.createDataFrame([(t,) for t, _ in texts], "t string").select(is_json(F.col("t")).alias("j")).collect()] == [j for _, j in texts]

@@ -32,6 +32,12 @@ def json_at(c: Column | str, path: str) -> Column:
     return F.get_json_object(c, path)
 
 
+def is_json(c: Column) -> Column:
+    """Whether a text is one JSON value and nothing else; Spark's own parser stops after the first value."""
+    listed = F.try_parse_json(F.concat(F.lit("["), c, F.lit("]")))
+    return listed.isNotNull() & F.try_variant_get(listed, "$[0]", "variant").isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull()
+
+
 def matches_suffix(c: Column, patterns: list[str]) -> Column:
     """Whether a path ends with a ``*suffix`` pattern or is one of the exact names."""
     test = F.lit(False)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewright.functions.text import blank_to_null, canonical_text, is_sha256
+from tracewright.functions.text import blank_to_null, canonical_text, is_json, is_sha256
 
 KINDS = ("labelled_example", "tool_task_pair", "raw_document")
 #: Reasons that quarantine a message; every other one sends it to the dead letters.
@@ -180,7 +180,7 @@ def loop_example(value: Column) -> Column:
     own = F.when(j("$.example").startswith("{"), F.struct(j("$.example.input").alias("input"), j("$.example.output").alias("output")))
     labelled = F.when(j("$.labels").startswith("{"), F.struct(F.coalesce(j("$.text"), j("$.source.uri")).alias("input"), j("$.labels").alias("output")))
     chosen = F.coalesce(own, labelled)
-    return F.when(chosen["input"].isNotNull(), chosen)
+    return F.when(chosen["input"].isNotNull() & is_json(value), chosen)  # paths are read out of broken JSON too
 
 
 def labelled_counts(envelopes: DataFrame, value: str = "value") -> DataFrame:

@@ -93,8 +93,8 @@ STOP_WORDS = {"de": "der die das und ist nicht ein eine mit von auf für den dem
 def language(text: Column, least: int = 2) -> Column:
     """The language whose frequent words a text has most of; null under ``least`` of them; ties by name."""
     words = F.split(F.lower(text), r"[^\p{L}]+")
-    hits = [F.struct((-F.size(F.filter(words, lambda w, s=s: w.isin(s.split())))).alias("n"), F.lit(name).alias("name")) for name, s in sorted(STOP_WORDS.items())]
-    best = F.array_min(F.array(*hits))
+    hits = lambda known: -F.size(F.filter(words, lambda w: w.isin(known)))
+    best = F.array_min(F.array(*[F.struct(hits(known.split()).alias("n"), F.lit(name).alias("name")) for name, known in sorted(STOP_WORDS.items())]))
     return F.when(best["n"] <= -least, best["name"])
 
 

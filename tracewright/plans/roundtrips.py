@@ -134,13 +134,13 @@ def proj27_classification(spark: Spark, d: str) -> Frame:
     return table(spark, d, "stage0_distilled").select("row_id", label.alias("label"))
 
 
-_GRAPH = "t AS (SELECT p_partkey AS task, CASE WHEN p_size % 3 = 0 THEN 'accepted' ELSE 'open' END AS state FROM part), n AS (SELECT p_partkey AS task, p_partkey // 2 AS needs FROM part)"
+_GRAPH = "t AS (SELECT p_partkey AS task, CASE WHEN p_size % 3 = 0 THEN 'accepted' ELSE 'open' END AS state FROM part), n AS (SELECT p_partkey AS task, floor((p_partkey - 1) / 2.0)::BIGINT AS needs FROM part)"
 
 
 def _graph(spark: Spark, d: str) -> tuple[Frame, Frame]:
     p = table(spark, d, "part")
     tasks = p.select(F.col("p_partkey").cast("string").alias("task"), F.when(F.col("p_size") % 3 == 0, "accepted").otherwise("open").alias("state"))
-    return tasks, p.select(F.col("p_partkey").cast("string").alias("task"), F.floor(F.col("p_partkey") / 2).cast("string").alias("needs"))
+    return tasks, p.select(F.col("p_partkey").cast("string").alias("task"), F.floor((F.col("p_partkey") - 1) / 2).cast("string").alias("needs"))
 
 
 @query(f"WITH {_GRAPH} SELECT n.task::VARCHAR AS task, 'unknown_dependency:' || n.needs AS error FROM n WHERE n.needs NOT IN (SELECT task FROM t) UNION ALL SELECT n.task::VARCHAR, 'accepted_before:' || n.needs FROM n JOIN t a ON a.task = n.task JOIN t b ON b.task = n.needs WHERE a.state = 'accepted' AND b.state <> 'accepted'")
