@@ -50,7 +50,7 @@ SHORT = 40
 FILTER_BITS, FULL = 1 << 26, 0.25
 
 #: Comparisons that one chunk may give a task, and evaluation rows of one chunk that a task holds.
-HOT, HELD = 4_000_000, 50_000
+HOT, HELD = 500_000_000, 50_000
 
 #: Odd factors of the two rolling hashes.
 _WAYS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -354,15 +354,21 @@ def _first_of_class(rows: DataFrame) -> DataFrame:
     return rows.join(firsts.hint("merge"), "row_id", "left_semi")
 
 
-def _in_parts(ev_chunks: DataFrame, tr_chunks: DataFrame) -> DataFrame:
+def _in_parts(ev: DataFrame, tr: DataFrame, ev_chunks: DataFrame, tr_chunks: DataFrame) -> DataFrame:
     """The chunk rows of both sides with the ``part`` of their chunk in which they meet.
 
     Most chunks have one part. Of those common on both sides, each evaluation row is in one row of a grid and each
     training row in one of its columns, and both are in all cells of these, so every pair meets in one cell."""
-    number = lambda rows, e, t: rows.select("chunk", F.lit(e).cast("bigint").alias("e"), F.lit(t).cast("bigint").alias("t"))
-    counts = number(ev_chunks, 1, 0).unionAll(number(tr_chunks, 0, 1)).groupBy("chunk").agg(F.sum("e").alias("e"), F.sum("t").alias("t"))
+    chunk = F.explode("chunks").alias("chunk")
+    # Only chunks that so many evaluation records have can be common enough; they alone are counted on the training side.
+    least = HOT / max(tr.count(), 1)
+    common = materialise(ev.select(chunk).groupBy("chunk").agg(F.count("*").alias("e")).where(F.col("e") > least), "overlap-common")
     rows = F.ceil(F.col("e") / HELD)
-    hot = materialise(counts.where(F.col("e") * F.col("t") > HOT).select("chunk", rows.alias("grid_rows"), F.greatest(F.lit(1), F.least(F.col("t"), F.ceil(F.col("e") / rows * F.col("t") / HOT))).alias("grid_columns")), "overlap-hot")
+    columns = F.greatest(F.lit(1), F.least(F.col("t"), F.ceil(F.col("e") / rows * F.col("t") / HOT)))
+    hot = common
+    if common.limit(1).count():
+        met = tr.select(chunk).join(common.select("chunk"), "chunk", "left_semi").groupBy("chunk").agg(F.count("*").alias("t"))
+        hot = materialise(common.join(met, "chunk").where(F.col("e") * F.col("t") > HOT).select("chunk", rows.alias("grid_rows"), columns.alias("grid_columns")), "overlap-hot")
     if not hot.limit(1).count():
         return ev_chunks.unionByName(tr_chunks).select("chunk", "spare", "id", F.lit(0).cast("bigint").alias("part"), "b0", "b1", "b2", "b3")
     one = F.lit(1).cast("bigint")
@@ -402,7 +408,7 @@ def same_classes(evaluation: DataFrame, training: DataFrame) -> tuple[DataFrame,
         met = tr_firsts.select(F.col("row_id").alias("id"), entries).select(*columns).join(ev_chunks.select("chunk").distinct().hint("merge"), "chunk", "left_semi")
         tr_chunks = met.distinct().join(tr.select(F.col("row_id").alias("id"), *bits).dropDuplicates(["id"]).hint("merge"), "id").select("chunk", "spare", "id", *bits)
     pairs = materialise(
-        _in_parts(ev_chunks, tr_chunks)
+        _in_parts(ev, tr, ev_chunks, tr_chunks)
         .repartition("chunk", "part")
         .sortWithinPartitions("chunk", "part", F.col("spare").desc(), "id")
         .mapInArrow(_meet, "e_id bigint, t_id bigint, way boolean, words bigint")
