@@ -195,7 +195,7 @@ def training_example(value: Column) -> Column:
     j = lambda p: F.get_json_object(value, p)
     own = F.when(F.coalesce(j("$.example.input"), j("$.example.text")).isNotNull() & j("$.example.output").isNotNull(), F.struct(F.coalesce(j("$.example.input"), j("$.example.text")).alias("input"), j("$.example.output").alias("output")))
     labelled = F.when(j("$.labels").isNotNull() & F.coalesce(j("$.text"), j("$.document.text")).isNotNull(), F.struct(F.coalesce(j("$.text"), j("$.document.text")).alias("input"), j("$.labels").alias("output")))
-    return F.coalesce(own, labelled)
+    return F.when(is_json(value), F.coalesce(own, labelled))  # paths are read out of broken JSON too
 
 
 def well_formed(c: Column) -> Column:

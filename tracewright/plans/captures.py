@@ -201,10 +201,12 @@ def proj8_built_envelopes(spark: Spark, d: str) -> Frame:
     return capture.envelopes(rows.where("reason is null"), "task_trace", 2, "0" * 64)
 
 
-@query()
+@query("""WITH v AS (SELECT seq_no, CASE WHEN json_valid(value) THEN value::JSON END AS j FROM envelope)
+SELECT seq_no, coalesce(j->>'$.text', j->>'$.document.text') AS input, coalesce(json_keys(j, '$.labels')::VARCHAR, '') AS output_keys FROM v WHERE j->'$.labels' IS NOT NULL AND json_type(j, '$.labels') <> 'NULL' AND coalesce(j->>'$.text', j->>'$.document.text') IS NOT NULL""")
 def proj13_training_examples(spark: Spark, d: str) -> Frame:
     rows = table(spark, d, "envelope").select("seq_no", envelopes.training_example(F.col("value")).alias("e"))
-    return rows.where("e is not null").select("seq_no", "e.input", "e.output")
+    keys = F.json_object_keys("e.output")
+    return rows.where("e is not null").select("seq_no", "e.input", F.concat(F.lit("["), F.array_join(keys, ", "), F.lit("]")).alias("output_keys"))
 
 
 @query("SELECT seq_no, CASE WHEN attempts > 5 THEN 'retry_ceiling' END AS reason, count(*) OVER (PARTITION BY id ORDER BY seq_no) AS nth FROM delivery")
