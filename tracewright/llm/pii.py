@@ -94,6 +94,7 @@ _DIGIT = re.compile(r"\d")
 #: What every name and address has.
 _CAPITAL = re.compile(r"[A-ZÀ-ÖØ-Þ][a-zß-öø-ÿ'’]")
 _ID_LABEL = re.compile(r"(?:\b(?:SSN|CPF|CNPJ|DNI|NIE|NIF|NIR|NHS|PESEL|BSN|SIN|IBAN|CURP|NINO|NI number|NI no\.?|national insurance(?: number| no\.?)?|social security(?: number| no\.?)?|passport(?: number| no\.?)?|Reisepass(?:nummer)?|pasaporte|passeport|Steuer-?ID|Steuernummer|Steueridentifikationsnummer|tax id|ID(?: card)?(?: number| no\.?)|identity (?:card|number)(?: no\.?)?|Personalausweis(?:nummer)?|personnummer|codice fiscale|numéro de sécurité sociale|driver'?s licen[cs]e(?: no\.?)?)\s*(?:[:#=]|no\.?|nr\.?|is)?\s*[:#]?\s*)$", re.I)
+_BESIDE = re.compile(r"[^\W\d_]{2,}\.? [/|] $")
 _PHONE_LABEL = re.compile(r"(?:\b(?:phone|tel|tél|telephone|telefon|telefone|teléfono|téléphone|mobile|mobil|cell|fax|call|text|ring|dial|whatsapp|sms|appeler(?: le| au)?|joignable au|erreichbar unter|unter|llamar(?: al)?|ligue(?: para)?|contact|or text)\.?\s*(?:no\.?|nr\.?|number)?\s*[:=]?\s*[\"'(]?\s*)$", re.I)
 
 _SUFFIX = r"(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Court|Ct|Terrace|Ter|Way|Row|Place|Pl|Square|Sq|Boulevard|Blvd|Close|Crescent|Parkway|Pkwy|Highway|Hwy|Walk|Gardens|Grove|Hill|Mews|Alley|Circle|Cir)\.?"
@@ -166,7 +167,7 @@ _CELL_AFTER = re.compile(r"\s*(?:$|[|,;]|\s{2}|\t)")
 _ROW = re.compile(r"^\s*(?:\[?\d+\]?)\s*(?:[|,;\t]|\s{2})")
 _COMMON = re.compile(
     # Words that begin or end capitalised phrases that are no names.
-    r"\b(?:The|This|That|These|A(?!\.)|An|In|On|At|For|From|With|And|Or|If|When|While|Run|See|Use|Call|Clone|Send|Ship|Thanks|Table|Row|Figure|Step|Main|Loop|Random|Forest|Naive|Bayes|Monte|Carlo|Traceback|Error|Warning|File|Data|Exercise|Section|Chapter|Lasso|North|South|East|West|New|Street|Road|Lane|Avenue|Drive|Court|Terrace|Way|Row|Flat|Apt|January|February|March|April|May|June|July|August|September|October|November|December|Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday|Calle|Rua|Via|Data|Set|Model|Network|Gradient|Descent|Support|Vector|Machine|Markov|Chain|Neural|Deep|Learning|Bayesian|Gaussian|Fourier|Transform|University|Institute|Laboratory|Lab|Museum|Project|Group|Team|Station|Corpus|Questions|We|You|They|He|She|It|Our|Call|Contact|Author|Envie|Adresse|Die|Der|Das|Le|La|El|Los|Las|Um|Uma)\b"
+    r"\b(?:The|This|That|These|A(?!\.)|An|In|On|At|For|From|With|And|Or|If|When|While|Run|See|Use|Call|Clone|Send|Ship|Thanks|Table|Row|Figure|Step|Traceback|Error|Warning|File|Data|Exercise|Section|Chapter|Lasso|North|South|East|West|New|Street|Road|Lane|Avenue|Drive|Court|Terrace|Way|Row|Flat|Apt|January|February|March|April|May|June|July|August|September|October|November|December|Monday|Tuesday|Wednesday|Thursday|Friday|Saturday|Sunday|Calle|Rua|Via|Data|Set|Model|Network|Gradient|Descent|Support|Vector|Machine|Markov|Chain|Neural|Deep|Learning|Bayesian|Gaussian|Fourier|Transform|University|Institute|Laboratory|Lab|Museum|Project|Group|Team|Station|Corpus|Questions|We|You|They|He|She|It|Our|Call|Contact|Author|Envie|Adresse|Die|Der|Das|Le|La|El|Los|Las|Um|Uma)\b"
 )
 
 
@@ -243,6 +244,8 @@ def candidates(line: str, blind: bool = False) -> list[Candidate]:
                     f["id:valid"] = 1.0
                 if id_label:
                     f["id:label"] = 1.0
+                elif _BESIDE.search(line, max(0, at - 24), at):
+                    f["id:beside"] = 1.0  # after a name and a dividing sign, as in a record's line
                 if phone_label:
                     f["id:phonelabel"] = 1.0
             add(at, b, kind, f)

@@ -2,74 +2,75 @@
 
 #: What training gave.
 TRAINED: dict[str, float] = {
-    "address:before": 0.879,
-    "address:before1": 0.879,
-    "address:bias": 0.661,
-    "address:cell": 1.617,
-    "address:english": 0.555,
-    "address:french": 0.371,
-    "address:german": 0.118,
-    "address:more": -1.542,
-    "address:none": -2.332,
-    "address:postcode": 1.433,
-    "address:romance": 0.158,
-    "address:state": 2.003,
-    "address:town": -1.449,
-    "address:townstate": -0.89,
+    "address:before": 0.885,
+    "address:before1": 0.885,
+    "address:bias": 0.639,
+    "address:cell": 1.607,
+    "address:english": 0.51,
+    "address:french": 0.377,
+    "address:german": 0.125,
+    "address:more": -1.544,
+    "address:none": -2.336,
+    "address:postcode": 1.413,
+    "address:romance": 0.171,
+    "address:state": 1.994,
+    "address:town": -1.452,
+    "address:townstate": -0.893,
     "email:bias": 1.445,
     "email:cell": 1.722,
     "email:evading": 1.227,
     "email:login": -3.791,
     "email:plain": 1.29,
-    "id:cpf": 0.918,
-    "id:digits": -1.768,
+    "id:beside": 0.746,
+    "id:cpf": 0.862,
+    "id:digits": -1.761,
     "id:dni": 0.405,
-    "id:label": 2.846,
-    "id:nino": 0.992,
-    "id:nir": 0.396,
+    "id:label": 2.876,
+    "id:nino": 0.927,
+    "id:nir": 0.395,
     "id:pass": 0.515,
-    "id:pesel": 0.537,
-    "id:ssn": 0.462,
-    "id:tax": 0.242,
+    "id:pesel": 0.536,
+    "id:ssn": 0.41,
+    "id:tax": 0.246,
     "id:valid": 0.439,
-    "id_number:bias": -0.775,
-    "id_number:cell": -1.768,
-    "name:agent": -0.015,
-    "name:article": -1.833,
-    "name:bias": 2.684,
-    "name:caps": 2.176,
-    "name:caps1": 2.094,
-    "name:cell": 1.133,
-    "name:comma": 5.67,
-    "name:comma1": 5.657,
-    "name:common": -1.95,
-    "name:double": 0.901,
-    "name:full": 0.553,
+    "id_number:bias": -0.802,
+    "id_number:cell": -1.761,
+    "name:agent": -0.022,
+    "name:article": -1.798,
+    "name:bias": 2.615,
+    "name:caps": 2.21,
+    "name:caps1": 2.117,
+    "name:cell": 1.173,
+    "name:comma": 5.667,
+    "name:comma1": 5.659,
+    "name:common": -0.619,
+    "name:double": 0.824,
+    "name:full": 0.594,
     "name:given": 2.723,
-    "name:givenlast": -0.965,
-    "name:glued": -0.029,
-    "name:heading": -0.714,
-    "name:initials": -4.167,
-    "name:join": -0.842,
-    "name:label": 3.76,
-    "name:middle": 0.248,
-    "name:noun": -1.865,
-    "name:oddmiddle": -0.572,
-    "name:other": -0.874,
-    "name:titled": 0.541,
-    "name:unheard": -1.682,
+    "name:givenlast": -1.002,
+    "name:glued": -0.025,
+    "name:heading": -0.682,
+    "name:initials": -4.145,
+    "name:join": -1.328,
+    "name:label": 3.762,
+    "name:middle": 0.228,
+    "name:noun": -1.443,
+    "name:oddmiddle": -0.731,
+    "name:other": -1.098,
+    "name:titled": 0.561,
+    "name:unheard": -1.918,
     "name:unheard:double": -0.0,
-    "name:unheard:full": -1.726,
-    "name:unheard:initials": -0.294,
-    "name:unheard:middle": 0.243,
-    "name:unknown": 1.146,
-    "phone:area": 1.071,
+    "name:unheard:full": -1.997,
+    "name:unheard:initials": -0.249,
+    "name:unheard:middle": 0.351,
+    "name:unknown": 0.796,
+    "phone:area": 1.072,
     "phone:bias": 1.176,
-    "phone:cell": 1.318,
+    "phone:cell": 1.317,
     "phone:label": -0.169,
     "phone:pairs": -0.279,
     "phone:plus": 1.414,
-    "phone:three": -0.71,
-    "phone:trunk": -0.461,
+    "phone:three": -0.709,
+    "phone:trunk": -0.46,
     "phone:zeros": 0.804,
 }
