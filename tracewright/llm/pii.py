@@ -190,8 +190,9 @@ def _luhnless(kind: str, digits: str, text: str) -> float:
 Candidate = tuple[int, int, str, dict[str, float]]
 
 
-def candidates(line: str, blind: bool = False) -> list[Candidate]:
-    """(start, end, type, features) of each candidate segment of a line; ``blind`` hides the list of given names."""
+def candidates(line: str, blind: int = 0) -> list[Candidate]:
+    """(start, end, type, features) of each candidate segment of a line; ``blind`` hides the list of given names (1) and the
+    labels before names as well (2)."""
     out: list[Candidate] = []
     row = bool(_ROW.match(line))
 
@@ -278,7 +279,7 @@ def candidates(line: str, blind: bool = False) -> list[Candidate]:
                 continue
             listed = [w in GIVEN or w in _UPPER_GIVEN for w in words]
             known = [False] * len(words) if blind else listed
-            label = _NAME_LABEL.search(line, max(0, a - 30), a) is not None
+            label = blind < 2 and _NAME_LABEL.search(line, max(0, a - 30), a) is not None
             cell = row and _CELL_BEFORE.search(line, max(0, a - 4), a) and _CELL_AFTER.match(line, b)
             unheard = not (any(known) or label or cell)
             if unheard and form not in _UNHEARD_FORMS:
@@ -362,16 +363,21 @@ def segment(line: str, weights: dict[str, float]) -> list[tuple[int, int, str]]:
     return out[::-1]
 
 
+def _hidden(line: str, blind: int) -> int:
+    number = zlib.crc32(line.encode("utf-8", "replace"))
+    return 0 if not blind or number % blind else 1 + number // blind % 2
+
+
 def fit(lines: list[tuple[str, set[tuple[int, int, str]]]], rounds: int = 60, rate: float = 0.5, decay: float = 1e-3, blind: int = 0) -> dict[str, float]:
     """Weights that maximise the penalised conditional likelihood of labelled lines [(line, {(start, end, type)})].
 
     Expected feature counts come from the forward-backward recursions over each line's lattice; steps are scaled by
     past gradients.  The number of lines is bounded by the caller's sample.  One line of ``blind`` is learnt from without the
-    list of given names, as lines look whose names it lacks.
+    list of given names, as lines look whose names it lacks, half of these without labels as well.
     """
     lattices = []
     for line, gold in lines:
-        found = sorted(candidates(line, blind=blind > 0 and zlib.crc32(line.encode("utf-8", "replace")) % blind == 0), key=lambda c: (c[1], -c[0]))
+        found = sorted(candidates(line, _hidden(line, blind)), key=lambda c: (c[1], -c[0]))
         if found:
             lattices.append(([(c[0], c[1]) for c in found], [c[3] for c in found], [c[:3] in gold for c in found]))
     weights: dict[str, float] = {}
