@@ -202,7 +202,7 @@ def proj8_built_envelopes(spark: Spark, d: str) -> Frame:
 
 
 @query("""WITH v AS (SELECT seq_no, CASE WHEN json_valid(value) THEN value::JSON END AS j FROM envelope)
-SELECT seq_no, coalesce(j->>'$.text', j->>'$.document.text') AS input, coalesce(json_keys(j, '$.labels')::VARCHAR, '') AS output_keys FROM v WHERE j->'$.labels' IS NOT NULL AND json_type(j, '$.labels') <> 'NULL' AND coalesce(j->>'$.text', j->>'$.document.text') IS NOT NULL""")
+SELECT seq_no, coalesce(j->>'$.text', j->>'$.document.text') AS input, coalesce(json_keys(j, '$.labels')::VARCHAR, '') AS output_keys FROM v WHERE (j->'$.labels') IS NOT NULL AND json_type(j, '$.labels') <> 'NULL' AND coalesce(j->>'$.text', j->>'$.document.text') IS NOT NULL""")
 def proj13_training_examples(spark: Spark, d: str) -> Frame:
     rows = table(spark, d, "envelope").select("seq_no", envelopes.training_example(F.col("value")).alias("e"))
     keys = F.json_object_keys("e.output")
