@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewright.functions import scorer
-from tracewright.functions.ordering import numbered, running_sum
+from tracewright.functions.ordering import numbered, previous, running_sum
 from tracewright.functions.shared import read_text, write_text
 from tracewright.operators import lineage, ordered, promotion, shaping
 from tracewright.plans.models import BatchScorer, Labels
@@ -29,6 +29,22 @@ def test_running_sums_within_keys_that_span_partitions(spark, partitions):
     assert numbered(df.where("false"), ["k"], ["o"], "n").count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 17])
+def test_previous_rows_within_keys_that_span_partitions(spark, partitions):
+    rows = [("hot", i, str(i) if i % 3 else None) for i in range(120)] + [(k, i, k) for k in ("a", "b", None) for i in range(3)]
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "k string, o int, v string")
+        got = {(r.k, r.o): (r.previous_v, r.previous_o, r.previous_exists) for r in previous(df, ["k"], ["o"], ["v", "o"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    values = {(k, o): v for k, o, v in rows}
+    assert got == {(k, o): (values[k, o - 1], o - 1, True) if o else (None, None, False) for k, o, _ in rows}
+    assert previous(df.where("false"), ["k"], ["o"], ["v"]).count() == 0
+
+
 def test_drift_is_the_same_however_rows_are_cut(spark):
     import random
 

@@ -64,3 +64,56 @@ def running_sum(frame: DataFrame, keys: list[str], order: list[str], name: str,
 def numbered(frame: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
     """``frame`` with each row's place within its key, from 1."""
     return running_sum(frame, keys, order, name)
+
+
+def previous(frame: DataFrame, keys: list[str], order: list[str], columns: list[str], prefix: str = "previous_") -> DataFrame:
+    """``frame`` with what the row before each one of its key has in ``columns``, and ``<prefix>exists``, whether there is one.
+
+    As ``running_sum``: one pass over range partitions; what stands before a partition's first row is the last row of the
+    partition before it, so one row a partition is looked up."""
+    types = {f.name: f.dataType.simpleString() for f in frame.schema}
+    added = [f"{prefix}{c}" for c in columns]
+    schema = ", ".join(f"`{n}` {t}" for n, t in types.items()) + "".join(f", `{a}` {types[c]}" for a, c in zip(added, columns)) + f", `{prefix}exists` boolean, _part int, _begins boolean, _ends boolean"
+
+    def shifted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, held = TaskContext.get().partitionId(), None, None
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            # The last row of what has come so far is held back, as only the end shows which one ends the partition.
+            fresh = np.zeros(n, bool)
+            for k in keys:
+                fresh |= _changes(batch.column(k), last[batch.schema.get_field_index(k)][0] if last else batch.column(k)[0])
+            fresh[0] |= last is None
+            keep = pa.array(~fresh)
+            values = []
+            for c in columns:
+                own = batch.column(c)
+                before = pa.concat_arrays([last[batch.schema.get_field_index(c)] if last else pa.nulls(1, own.type), own.slice(0, n - 1)])
+                values.append(pc.if_else(keep, before, pa.scalar(None, own.type)))
+            begins = np.zeros(n, bool)
+            begins[0] = last is None
+            out = pa.RecordBatch.from_arrays([*batch.columns, *values, keep, pa.array(np.full(n, part, np.int32)), pa.array(begins)], names=[*batch.schema.names, *added, f"{prefix}exists", "_part", "_begins"])
+            if held is not None:
+                yield _ending(held, False)
+            if n > 1:
+                yield _ending(out.slice(0, n - 1), False)
+            held = out.slice(n - 1)
+            last = [column.slice(n - 1) for column in batch.columns]
+        if held is not None:
+            yield _ending(held, True)
+
+    sort = [F.col(c) for c in [*keys, *order]]
+    rows = materialise(frame.repartitionByRange(*sort).sortWithinPartitions(*sort).mapInArrow(shifted, schema), "previous")
+    edge = F.struct(F.struct(*keys).alias("key"), F.struct(*columns).alias("values"))
+    ends = rows.where("_begins or _ends").groupBy("_part").agg(F.max(F.when(F.col("_begins"), edge)).alias("first"), F.max(F.when(F.col("_ends"), edge)).alias("last"))
+    # One row a partition.
+    before = ends.withColumn("_before", F.lag("last").over(Window.orderBy("_part"))).where(F.col("_before.key").eqNullSafe(F.col("first.key")) & F.col("_before").isNotNull()).select("_part", F.lit(True).alias("_begins"), "_before")
+    joined = rows.drop("_ends").join(F.broadcast(before), ["_part", "_begins"], "left")  # one row a partition
+    found = F.col("_before").isNotNull()
+    return joined.select(*types, *[F.when(found, F.col("_before")["values"][c]).otherwise(F.col(a)).alias(a) for a, c in zip(added, columns)], (F.col(f"{prefix}exists") | found).alias(f"{prefix}exists"))
+
+
+def _ending(batch: pa.RecordBatch, ends: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, ends))], names=[*batch.schema.names, "_ends"])

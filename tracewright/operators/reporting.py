@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright.functions.ordering import previous
 from tracewright.functions.statistics import entropy, finite, share
 from tracewright.functions.text import micros
 
@@ -103,9 +104,17 @@ def rollup_figures(frame: DataFrame, column: str) -> DataFrame:
 
 def rate_per_minute(frame: DataFrame, key: str, time: str, counter: str) -> DataFrame:
     """A counter's growth a minute between samples; null for the first and where no time passed."""
-    w = Window.partitionBy(key).orderBy(time)
-    seconds = micros(time) - F.lag(micros(time)).over(w)
-    return frame.withColumn("per_minute", F.try_divide((F.col(counter) - F.lag(counter).over(w)) * 60e6, F.nullif(seconds, F.lit(0))))
+    rows = previous(frame, [key], [time], [time, counter], "_before_")
+    seconds = micros(time) - micros(f"_before_{time}")
+    grown = F.try_divide((F.col(counter) - F.col(f"_before_{counter}")) * 60e6, F.nullif(seconds, F.lit(0)))
+    return rows.withColumn("per_minute", grown).select(*frame.columns, "per_minute")
+
+
+def gaps(frame: DataFrame, key: str, order: list[str], time: str, longest: float) -> DataFrame:
+    """Rows that come more than ``longest`` seconds after the one before them of their key, with ``gap_seconds``."""
+    rows = previous(frame, [key], order, [time], "_before_")
+    gap = (micros(time) - micros(f"_before_{time}")) / 1e6
+    return rows.withColumn("gap_seconds", gap).where(F.col("gap_seconds") > longest).select(*frame.columns, "gap_seconds")
 
 
 def norm(frame: DataFrame, key: str, value: str) -> DataFrame:

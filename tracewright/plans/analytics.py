@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions import statistics as st
 from tracewright.functions.shared import table
-from tracewright.functions.text import human_bytes, human_seconds, micros
+from tracewright.functions.text import human_bytes, human_seconds
 from tracewright.operators import ordered, readside, reporting, routing, shaping
 from tracewright.plans.registry import query
 
@@ -362,9 +362,7 @@ def f16_freshness(spark: Spark, d: str) -> Frame:
 
 @query("WITH g AS (SELECT user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS gap, event_id FROM events) SELECT event_id, gap / 1e6 AS gap_seconds FROM g WHERE gap > 36000 * 1e6")
 def t15_gaps(spark: Spark, d: str) -> Frame:
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    gap = micros("ts") - F.lag(micros("ts")).over(w)
-    return table(spark, d, "events").select("event_id", (gap / 1e6).alias("gap_seconds")).where("gap_seconds > 36000")
+    return reporting.gaps(table(spark, d, "events").select("user_id", "event_id", "ts"), "user_id", ["ts", "event_id"], "ts", 36000).select("event_id", "gap_seconds")
 
 
 @query("WITH s AS (SELECT date_trunc('second', ts)::TIMESTAMP AS second, event_type, count(*) AS n FROM events GROUP BY ALL) SELECT second, event_type, n, sum(n) OVER (PARTITION BY event_type ORDER BY second)::BIGINT AS total FROM s")

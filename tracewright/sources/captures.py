@@ -171,10 +171,9 @@ def disturbed(lines: DataFrame, order: list[str], duplicate_every: int = 0, pois
     """Every n-th line (from 1, by order) doubled, broken or blown up; oversize wins over poison.
 
     Lines are numbered within their file, so files are disturbed in parallel."""
-    w = Window.partitionBy("rel_path").orderBy(*order)
     n = F.col("_n")
     every = lambda k: (n % k == 0) if k else F.lit(False)
-    rows = lines.withColumn("_n", F.row_number().over(w))
+    rows = numbered(lines, ["rel_path"], order, "_n")
     raw = F.when(every(oversize_every), F.rpad("raw", size, "x")).when(every(poison_every), F.lit('{"envelope_version": 1, "record_id":')).otherwise(F.col("raw"))
     rows = rows.withColumn("raw", raw).withColumn("_copies", F.when(every(duplicate_every), 2).otherwise(1))
     return rows.withColumn("copy_no", F.explode(F.sequence(F.lit(1), F.col("_copies")))).drop("_n", "_copies")
@@ -182,8 +181,7 @@ def disturbed(lines: DataFrame, order: list[str], duplicate_every: int = 0, pois
 
 def interleaved(lines: DataFrame, batch: int) -> DataFrame:
     """The order in which saturated batches take turns over files: round, then file, then place."""
-    w = Window.partitionBy("rel_path").orderBy("byte_offset")
-    return lines.withColumn("round", F.floor((F.row_number().over(w) - 1) / batch))
+    return numbered(lines, ["rel_path"], ["byte_offset"], "_place").withColumn("round", F.floor((F.col("_place") - 1) / batch)).drop("_place")
 
 
 def generated(spark, rows: int, seed: int = 1) -> DataFrame:
