@@ -257,7 +257,8 @@ def judged(envelope: DataFrame, distilled: DataFrame) -> DataFrame:
     more than the longest text has characters, however many texts there are.
     """
     features = materialise(spread(texts(envelope, distilled)).mapInArrow(_features, FEATURES), "truncation-features")
-    blocks = F.broadcast(learnt_blocks(features).agg(F.collect_list(F.struct("opens", "closes")).alias("blocks")))  # one row of at most 500 pairs
+    # One row of at most 500 pairs.
+    blocks = F.broadcast(materialise(learnt_blocks(features).agg(F.collect_list(F.struct("opens", "closes")).alias("blocks")), "truncation-blocks"))
     place = lambda sign: F.element_at(F.concat("places", F.array(F.lit(-1))), F.when(F.array_contains("signs", sign), F.array_position("signs", sign).cast("int")).otherwise(-1))
     is_open = F.exists("blocks", lambda b: F.array_contains("signs", b["opens"]) & (place(b["opens"]) > place(b["closes"])))
     closed = F.col("last").isNotNull() & F.exists("blocks", lambda b: b["closes"] == F.col("last"))
