@@ -73,9 +73,12 @@ def s21_tail(spark: Spark, d: str) -> Frame:
     return rows.where("try_parse_json(raw) is not null").select("rel_path", "byte_offset")
 
 
-@query()
+@query("SELECT seq_no, c AS cycle, CASE WHEN json_valid(value) AND json_type(CASE WHEN json_valid(value) THEN value END) = 'OBJECT' THEN c END AS loop_cycle, CASE WHEN json_valid(value) AND json_type(CASE WHEN json_valid(value) THEN value END) = 'OBJECT' THEN (value::JSON)->>'$.record_id' END AS record_id FROM envelope, (VALUES (1), (2)) t(c)")
 def s11_replay(spark: Spark, d: str) -> Frame:
-    return captures.looped(table(spark, d, "envelope").select("seq_no", "value"), 2).where("cycle > 0")
+    """Every line in two more cycles; objects say which, and what can't be marked comes as it is."""
+    rows = captures.looped(table(spark, d, "envelope").select("seq_no", "value"), 3).where("cycle > 0")
+    marked = F.get_json_object("value", "$.loop_cycle").cast("int")
+    return rows.select("seq_no", "cycle", marked.alias("loop_cycle"), F.when(marked.isNotNull(), F.get_json_object("value", "$.record_id")).alias("record_id"))
 
 
 @query(f"""WITH {_LINES}, n AS (SELECT rel_path, byte_offset, raw, row_number() OVER (PARTITION BY rel_path ORDER BY byte_offset) AS n FROM lines),
