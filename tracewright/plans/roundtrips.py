@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from tracewright.functions.shared import shared_dir, table
 from tracewright.operators import envelopes, promotion, readside, routing
 from tracewright.plans.registry import query
-from tracewright.sources import captures, documents, sinks
-from tracewright.sources.spool import SpoolSource
+from tracewright.sources import captures, documents, sinks, spool
 
 Spark, Frame = SparkSession, DataFrame
 
@@ -43,7 +42,7 @@ _OFFSETS = f"WITH {_LINES} SELECT file, coalesce(sum(octet_length(encode(raw)) +
 @query(_OFFSETS)
 def s6_spool_tail(spark: Spark, d: str) -> Frame:
     """Files read as a stream until all is taken in, with byte offsets of their own."""
-    spark.dataSource.register(SpoolSource)
+    spool.register(spark)
     root, out = _staged(spark, d), _folder(spark, "spooled")
     rows = spark.readStream.format("spool").option("path", _local(root)).option("patterns", "*.txt").load()
     rows.writeStream.format("parquet").option("path", f"{out}/t").option("checkpointLocation", f"{out}/c").trigger(availableNow=True).start().awaitTermination()
@@ -54,7 +53,7 @@ def s6_spool_tail(spark: Spark, d: str) -> Frame:
 @query(_OFFSETS)
 def s17_raw_scan(spark: Spark, d: str) -> Frame:
     """The same files scanned at once, split into ranges far smaller than they are."""
-    spark.dataSource.register(SpoolSource)
+    spool.register(spark)
     read = spark.read.format("spool").option("path", _local(_staged(spark, d))).option("patterns", "*.txt").option("excluded", "_private").option("split_bytes", "50000").load()
     return read.select(F.regexp_extract("rel_path", "file=([0-9a-f]+)", 1).alias("file"), "byte_offset", "raw")
 

@@ -16,11 +16,15 @@ listing is used again.
 from __future__ import annotations
 
 import os
+import sys
 import time
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
+from tracewright.sources import documents
 from tracewright.sources.documents import read_state, write_state
 
 SCHEMA = "rel_path string, byte_offset bigint, raw string, bytes bigint, line_state string"
@@ -203,6 +207,14 @@ class SpoolSource(DataSource):
         return SpoolStreamReader(self.options)
 
 
+def register(spark: SparkSession) -> None:
+    """Makes the format ``spool`` known to a session. What plans a stream runs in a process of its own that knows no files
+    added to the session, so the source is sent there with its code."""
+    for module in (sys.modules[__name__], documents):
+        cloudpickle.register_pickle_by_value(module)
+    spark.dataSource.register(SpoolSource)
+
+
 #: Adapters a stream may name; the broker ones need their connector on the class path.
 ADAPTERS = {"dir-spool": "spool", "kafka": "kafka"}
 
